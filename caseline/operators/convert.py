@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,8 +62,6 @@ def failure_rules(kinds: Mapping[str, str], max_fail_rate: float | None = MAX_FA
 
     The limit is exceeded only above the rate, so the stop level is the next representable value.
     """
-    import math
-
     stop = 2.0 if max_fail_rate is None else math.nextafter(max_fail_rate, 1.0)
     return [Rule(f"parses({c}: {k})", failed(F.col(c), k)).at(None, stop) for c, k in kinds.items()]
 

@@ -7,6 +7,8 @@ audit log is a second, lazily evaluated view of the same rows.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -221,22 +223,28 @@ def repair_shifts(
         staged = staged.withColumn("_row", F.monotonically_increasing_id())
     suspect = (F.col("_spilled") > 0) | misplaced
     staged = staged.withColumn("_repair", F.when(suspect, _bind(cells, lambda c: attempt(c, n_extra))))
-    watched = staged.observe(observation, *summary_metrics()) if observation is not None else staged
+    watched = _watched(staged, observation)
 
     status = F.col("_repair.status")
     kept = watched.where(status.isNull() | (status == "fixed"))
     rows = kept.select(
         *[F.when(status == "fixed", F.get(F.col("_repair.after"), F.lit(i))).otherwise(F.col(c)).alias(c) for i, c in enumerate(names)]
     )
-    return Repaired(rows, _log(staged, layout, row_id), staged)
+    return Repaired(rows, _log(_watched(staged), staged, layout, row_id), staged)
 
 
-def _log(staged: DataFrame, layout: _Layout, row_id: str | None) -> DataFrame:
+def _watched(staged: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """Count outcomes in passing. The metrics also stop the optimiser from copying the whole repair
+    into each filter and column that reads its outcome."""
+    return staged.observe(observation or f"repair_{uuid.uuid4().hex}", *summary_metrics())
+
+
+def _log(watched: DataFrame, staged: DataFrame, layout: _Layout, row_id: str | None) -> DataFrame:
     # Rows without extra cells are handled in the overflow pass of a table that has any longer row.
     longer = staged.agg(F.coalesce(F.max(F.size(OVERFLOW) > 0), F.lit(False)).alias("longer")).scalar()
     before, after = F.col("_repair.before"), F.col("_repair.after")
     start = F.get(F.array(*[F.lit(c) for c in layout.names]), F.col("_repair.start") - 1)
-    return staged.where(F.col("_repair").isNotNull()).select(
+    return watched.where(F.col("_repair").isNotNull()).select(
         F.col(row_id or "_row").alias("row_n"),
         F.col("_repair.n_extra").alias("n_extra"),
         start.alias("shift_col"),
@@ -263,8 +271,6 @@ def check_repair(counts: dict, max_touched: int | None = MAX_TOUCHED) -> dict:
 
 def clean_columns(df: DataFrame) -> DataFrame:
     """Clean every text column and drop left-over overflow columns."""
-    import re
-
     kept = [f for f in df.schema if f.name != OVERFLOW and not re.fullmatch(r"V\d+", f.name)]
     return df.select(
         *[
