@@ -81,6 +81,13 @@ def label_case(text: Column) -> Column:
     return keep_capitals(title_case(text))
 
 
+def label_literal(text: str) -> Column:
+    """A fixed label with its casing, which Spark computes while planning."""
+    used = tuple(a for a in CAPITALS if a.lower() in text.lower())
+    titled = title_case(F.lit(text))
+    return keep_capitals(titled, used) if used else titled
+
+
 def title_before_bracket(text: Column) -> Column:
     """Title-case what stands before the first ``(`` and leave the bracketed code alone."""
     head = F.regexp_extract(text, r"^([^(]*)", 1)

@@ -47,7 +47,5 @@ def to_front(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def map_columns(
     df: DataFrame, chosen: Callable[[StructField], bool], change: Callable[[Column], Column]
 ) -> DataFrame:
-    """Apply ``change`` to every column whose schema field is ``chosen``."""
-    return df.select(
-        *[change(F.col(f"`{f.name}`")).alias(f.name) if chosen(f) else F.col(f"`{f.name}`") for f in df.schema]
-    )
+    """Apply ``change`` to every column whose schema field is ``chosen``; the order stays."""
+    return df.withColumns({f.name: change(F.col(f"`{f.name}`")) for f in df.schema if chosen(f)})

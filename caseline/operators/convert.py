@@ -52,9 +52,7 @@ def failed(text: Column, kind: str) -> Column:
 
 def convert(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; a cell that does not parse becomes NULL."""
-    return df.select(
-        *[parse(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns]
-    )
+    return df.withColumns({c: parse(F.col(c), kind) for c, kind in kinds.items()})
 
 
 def failure_rules(kinds: Mapping[str, str], max_fail_rate: float | None = MAX_FAIL_RATE) -> list[Rule]:

@@ -78,30 +78,40 @@ def many_to_one(
     on: Mapping[str, str],
     take: Mapping[str, str],
     null_safe: bool = False,
-    prepared: bool = False,
 ) -> DataFrame:
     """Left join that never changes the row count.
 
     ``on`` is ``{base column: lookup key}`` and ``take`` is ``{output: lookup value}``. A base row
     that would match more than one lookup row raises an error when its value is read; duplicate
     keys nobody uses are harmless. ``null_safe`` lets a missing key match a missing key.
-    ``prepared`` says that ``lookup`` comes from ``one_row_per_key`` with the same keys and values.
     """
-    right = lookup if prepared else one_row_per_key(lookup, list(on.values()), list(take.values()), null_safe)
-    condition = [
-        F.col(left).eqNullSafe(F.col(f"_k{i}")) if null_safe else F.col(left) == F.col(f"_k{i}")
-        for i, left in enumerate(on)
-    ]
-    kept = [c for c in base.columns if c not in take]
-    message = F.concat_ws(
-        " ", F.lit("more than one lookup row for"), *[F.coalesce(F.col(left).cast("string"), F.lit("NULL")) for left in on]
-    )
+    right = one_row_per_key(lookup, list(on.values()), list(take.values()), null_safe)
+    return _attach(base, right, list(on), [(0, list(take))], null_safe)
 
-    def guarded(value: str) -> Column:
-        return F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col(value))
 
-    outputs = [guarded(f"_v{i}").alias(name) for i, name in enumerate(take)]
-    return base.join(right, condition, "left").select(*kept, *outputs)
+def _attach(
+    base: DataFrame, right: DataFrame, lefts: Sequence[str], uses: Sequence[tuple[int, Sequence[str]]], null_safe: bool
+) -> DataFrame:
+    """Join a prepared lookup once per use, ``(place of its first left column, outputs)``, then read all values."""
+    n_keys = sum(1 for c in right.columns if c.startswith("_k"))
+    outputs, helpers = [], []
+    for use, (at, names) in enumerate(uses):
+        mine = {c: f"{c}_{use}" for c in right.columns}
+        keys = lefts[at : at + n_keys]
+        condition = [
+            F.col(left).eqNullSafe(F.col(f"_k{i}_{use}")) if null_safe else F.col(left) == F.col(f"_k{i}_{use}")
+            for i, left in enumerate(keys)
+        ]
+        message = F.concat_ws(
+            " ", F.lit("more than one lookup row for"), *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]
+        )
+        base = base.drop(*names) if set(names) & set(base.columns) else base
+        base = base.join(right.withColumnsRenamed(mine), condition, "left")
+        helpers += mine.values()
+        for i, name in enumerate(names):
+            value = F.when(F.col(f"_rows_{use}") > 1, F.raise_error(message)).otherwise(F.col(f"_v{i}_{use}"))
+            outputs.append(value.alias(name))
+    return base.select("*", *outputs).drop(*helpers)
 
 
 def decode(
@@ -123,9 +133,7 @@ def decode(
     right = one_row_per_key(source, ["_key"], ["_value"])
     if measure:
         right = bounded(right)
-    for code, output in columns.items():
-        base = many_to_one(base, right, {code: "_key"}, {output: "_value"}, prepared=True)
-    return base
+    return _attach(base, right, list(columns), [(i, [out]) for i, out in enumerate(columns.values())], False)
 
 
 def unique_keys_only(lookup: DataFrame, key: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseline.functions.text import clean_cell
+from caseline.operators.columns import map_columns
 from caseline.operators.rules import DATE_START
 
 OVERFLOW = "_overflow"
@@ -55,6 +56,11 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _texts(values: Sequence[str]) -> Column:
+    """Array literal of texts."""
+    return F.expr("array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")")
+
+
 def _blank(cell: Column) -> Column:
     return F.coalesce(F.trim(cell) == "", F.lit(True))
 
@@ -68,7 +74,10 @@ def _is_a_date(cell: Column) -> Column:
 
 
 class _Layout:
-    """Positions of the header columns inside the array of a row's cells."""
+    """Positions of the header columns inside the array of a row's cells.
+
+    Checks run over the array with one small expression each, whatever the number of columns.
+    """
 
     def __init__(self, names: Sequence[str], rules: ShiftRules):
         self.names = list(names)
@@ -84,22 +93,42 @@ class _Layout:
         return F.get(cells, F.lit(self.position(name) - 1))
 
     def first_violation(self, cells: Column) -> Column:
-        found = [F.when(_not_a_date(self.cell(cells, c)), self.position(c)) for c in self.dates]
-        found += [F.when(_is_a_date(self.cell(cells, c)), self.position(c)) for c in self.others]
-        return F.array_min(F.array(*found)) if found else F.lit(None).cast("int")
+        """Position of the first cell that breaks its column's date rule, NULL without one."""
+        kinds = _texts(["date" if c in self.dates else "other" if c in self.others else "" for c in self.names])
+
+        def wrong(cell: Column, i: Column) -> Column:
+            kind = F.get(kinds, i)
+            return F.when(kind == "date", _not_a_date(cell)).when(kind == "other", _is_a_date(cell)).otherwise(False)
+
+        return F.nullif(F.array_position(F.transform(cells, wrong), True), F.lit(0))
+
+    def _picked(self, cells: Column, names: Sequence[str]) -> Column:
+        """The cells of these columns, in this order."""
+        places = F.expr("array(" + ", ".join(str(self.position(c) - 1) for c in names) + ")")
+        return F.transform(places, lambda i: F.get(cells, i))
 
     def describe_violations(self, cells: Column) -> Column:
         """Violations as text, NULL without one."""
-        def line(c: str, wrong: Column, what: str) -> Column:
-            return F.when(wrong, F.concat(F.lit(f"{c}='"), F.trim(self.cell(cells, c)), F.lit(f"' ({what})")))
+        def lines(names: Sequence[str], wrong: Callable[[Column], Column], what: str) -> list[Column]:
+            if not names:
+                return []
+            texts = F.zip_with(
+                _texts(names),
+                self._picked(cells, names),
+                lambda name, cell: F.when(wrong(cell), F.concat(name, F.lit("='"), F.trim(cell), F.lit(f"' ({what})"))),
+            )
+            return [F.nullif(F.array_join(texts, "; "), F.lit(""))]
 
-        lines = [line(c, _not_a_date(self.cell(cells, c)), "expected date") for c in self.dates]
-        lines += [line(c, _is_a_date(self.cell(cells, c)), "unexpected date") for c in self.others]
-        return F.nullif(F.concat_ws("; ", *lines), F.lit(""))
+        found = lines(self.dates, _not_a_date, "expected date") + lines(self.others, _is_a_date, "unexpected date")
+        return F.nullif(F.concat_ws("; ", *found), F.lit(""))
 
     def snapshot(self, cells: Column) -> Column:
-        values = [F.concat(F.lit(f"{c}="), F.coalesce(self.cell(cells, c), F.lit("NA"))) for c in self.checked]
-        return F.concat_ws("; ", *values)
+        texts = F.zip_with(
+            _texts(self.checked),
+            self._picked(cells, self.checked),
+            lambda name, cell: F.concat(name, F.lit("="), F.coalesce(cell, F.lit("NA"))),
+        )
+        return F.array_join(texts, "; ")
 
     def find(self, cells: Column, n: Column) -> Column:
         """Where to start shifting by ``n``: struct of start (NULL if unknown) and merge number."""
@@ -243,7 +272,7 @@ def _log(watched: DataFrame, staged: DataFrame, layout: _Layout, row_id: str | N
     # Rows without extra cells are handled in the overflow pass of a table that has any longer row.
     longer = staged.agg(F.coalesce(F.max(F.size(OVERFLOW) > 0), F.lit(False)).alias("longer")).scalar()
     before, after = F.col("_repair.before"), F.col("_repair.after")
-    start = F.get(F.array(*[F.lit(c) for c in layout.names]), F.col("_repair.start") - 1)
+    start = F.get(_texts(layout.names), F.col("_repair.start") - 1)
     return watched.where(F.col("_repair").isNotNull()).select(
         F.col(row_id or "_row").alias("row_n"),
         F.col("_repair.n_extra").alias("n_extra"),
@@ -271,10 +300,5 @@ def check_repair(counts: dict, max_touched: int | None = MAX_TOUCHED) -> dict:
 
 def clean_columns(df: DataFrame) -> DataFrame:
     """Clean every text column and drop left-over overflow columns."""
-    kept = [f for f in df.schema if f.name != OVERFLOW and not re.fullmatch(r"V\d+", f.name)]
-    return df.select(
-        *[
-            clean_cell(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f"`{f.name}`")
-            for f in kept
-        ]
-    )
+    df = df.drop(*[c for c in df.columns if c == OVERFLOW or re.fullmatch(r"V\d+", c)])
+    return map_columns(df, lambda f: f.dataType.simpleString() == "string", clean_cell)
