@@ -502,6 +502,180 @@ SELECT count(*) AS rows_in, count(CASE WHEN urgent OR two OR hidden THEN 1 END)
        count(CASE WHEN NOT lost THEN 1 END) AS rows_out, CAST(0 AS BIGINT) AS fixed_without_cause
 FROM t"""
 
+_ORACLES["address_repair"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS IDNCASE,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 'EAST BUILDING' ELSE c_mktsegment END AS ALIEN_CITY,
+       'CA' AS ALIEN_STATE, '9' || c_custkey AS ALIEN_ZIPCODE, 'MX' AS NAT, '2001-02-03 00:00:00' AS E_28_DATE, 'D' AS CUSTODY
+FROM customer"""
+
+# --- the stages, each as a named subquery that the release reads too ---------------------------------
+
+_PRIORITY = "substr(o_orderpriority, 1, 1)"
+_DAY = "CAST(o_orderdate AS DATE)"
+
+_STAGES: dict[str, str] = {}
+
+_STAGES["proceedings"] = f"""
+  WITH p AS (
+    SELECT o_custkey AS idncase, o_orderkey AS id, {_DAY} + 800 AS nta, substr(o_orderpriority, 3, 3) AS court,
+           {_PRIORITY} AS place, substr(o_orderpriority, 3, 2) AS judge, o_orderstatus = 'F' AS absent,
+           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_totalprice > 450000 THEN 'WHO' ELSE 'RMV' END AS kind,
+           CASE WHEN o_orderstatus <> 'O' THEN {_DAY} + 30 END AS comp,
+           CASE WHEN o_orderstatus <> 'O' THEN CASE {_PRIORITY} WHEN '1' THEN 'R' WHEN '2' THEN 'D' END END AS dec,
+           CASE WHEN o_orderstatus <> 'O' AND {_PRIORITY} = '3' THEN 'A' END AS other,
+           CASE WHEN {_PRIORITY} = '2' THEN 'N2' END AS deported
+    FROM orders),
+  r AS (SELECT *, count(*) OVER (PARTITION BY idncase) AS n,
+               row_number() OVER (PARTITION BY idncase ORDER BY comp NULLS LAST, dec NULLS LAST, other NULLS LAST, id) AS i FROM p)
+  SELECT CAST(idncase AS INTEGER) AS idncase, max(CASE WHEN i = 1 THEN nta END) AS nta_date, max(CASE WHEN i = 1 THEN court END) AS first_court_code,
+         min(kind) AS case_type_code, max(CASE WHEN i = 1 THEN place END) AS first_hearing_location_code,
+         max(CASE WHEN i = 1 THEN judge END) AS first_judge_code, max(CASE WHEN i = n THEN comp END) AS final_completion_date,
+         max(CASE WHEN i = n THEN court END) AS final_court_code, max(CASE WHEN i = n THEN dec END) AS dec_code,
+         max(CASE WHEN i = n THEN other END) AS other_comp, bool_or(i = n AND absent) AS in_absentia,
+         max(CASE WHEN i = n THEN place END) AS last_hearing_location_code, max(CASE WHEN i = n THEN judge END) AS last_judge_code,
+         max(CASE WHEN i = n THEN deported END) AS deported_1_code, CAST(NULL AS VARCHAR) AS deported_2_code
+  FROM r GROUP BY idncase HAVING min(kind) = max(kind)"""
+
+_STAGES["cases"] = r"""
+  SELECT CAST(c_custkey AS INTEGER) AS idncase, lpad(NULLIF(regexp_extract(c_custkey || '-1234', '^\d{3,5}'), ''), 5, '0') AS alien_zipcode,
+         'N' || c_nationkey AS nat, substr(c_mktsegment, 1, 3) AS lang,
+         CASE substr(c_mktsegment, 1, 1) WHEN 'A' THEN 'N' WHEN 'B' THEN 'R' WHEN 'F' THEN 'D' END AS custody_code,
+         CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'M' END AS sex_code,
+         CASE substr(c_mktsegment, 1, 1) WHEN 'A' THEN 'I' WHEN 'B' THEN 'E' WHEN 'F' THEN 'J' END AS asylum_claim_type_code,
+         'D1' AS case_priority_code, CASE WHEN c_acctbal > 1000 THEN DATE '2001-02-03' END AS e28_date,
+         DATE '1999-01-01' AS entry_date, CAST(c_nationkey + 1950 AS INTEGER) AS birth_year, c_acctbal > 1000 AS represented
+  FROM customer"""
+
+_STAGES["custody"] = """
+  WITH e AS (SELECT user_id, event_id, CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS detained,
+                    CASE WHEN event_type = 'click' THEN CAST(ts AS DATE) + 5 END AS released FROM events),
+  r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY detained NULLS LAST, event_id) AS i FROM e)
+  SELECT CAST(user_id AS INTEGER) AS idncase, """ + ", ".join(
+    f"max(CASE WHEN i = {i} THEN {source} END) AS detention_{end}_{i}"
+    for end, source in (("start", "detained"), ("end", "released"))
+    for i in range(1, 5)
+) + " FROM r GROUP BY user_id"
+
+_STAGES["appeals"] = f"""
+  WITH a AS (SELECT o_custkey, o_orderkey, o_orderpriority, o_orderstatus, {_DAY} + 40 AS filed,
+                    CASE WHEN o_orderpriority <> '1-URGENT' THEN {_DAY} + 100 END AS decided FROM orders),
+  r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY decided DESC NULLS FIRST, filed DESC, o_orderkey DESC) AS back FROM a)
+  SELECT CAST(o_custkey AS INTEGER) AS idncase, substr(o_orderpriority, 3, 3) AS bia_decision, o_orderstatus AS bia_decision_type_code,
+         {_PRIORITY} AS appeal_type, CASE WHEN o_orderstatus = 'F' THEN 'A' END AS appeal_filed_by_code,
+         CASE {_PRIORITY} WHEN '2' THEN 'N' WHEN '3' THEN 'R' WHEN '4' THEN 'D' END AS custody_at_appeal_code,
+         CAST(NULL AS DATE) AS e27_date, decided AS bia_decision_date, filed AS appeal_filed_date
+  FROM r WHERE back = 1"""
+
+_APPLICATION_COLUMNS = (
+    ("asylum", 1), ("withholding", 2), ("cat", 3), ("adjustment", 4), ("non_lpr_cancellation", 5), ("lpr_cancellation", 6),
+)
+_STAGES["applications"] = """
+  WITH a AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN CASE l_returnflag WHEN 'A' THEN 'D' WHEN 'N' THEN 'F' WHEN 'R' THEN 'Q' END
+                            WHEN l_returnflag = 'A' THEN 'W' END AS dec FROM lineitem),
+  r AS (SELECT *, row_number() OVER (
+                 PARTITION BY l_suppkey, l_linenumber
+                 ORDER BY CAST(l_shipdate AS DATE) DESC, CASE dec WHEN 'F' THEN 14 WHEN 'D' THEN 12 WHEN 'W' THEN 2 ELSE 0 END DESC,
+                          l_orderkey DESC, dec DESC NULLS LAST) AS back FROM a)
+  SELECT CAST(l_suppkey AS INTEGER) AS idncase, """ + ", ".join(
+    f"max(CASE WHEN back = 1 AND l_linenumber = {n} THEN CASE dec WHEN 'D' THEN 'DENY' WHEN 'F' THEN 'FULL GRANT'"
+    f" WHEN 'W' THEN 'WITHDRAWN' ELSE dec END END) AS {name}_decision_last"
+    for name, n in _APPLICATION_COLUMNS
+) + " FROM r GROUP BY l_suppkey"
+
+_BOND_LABEL = """CASE {p} WHEN '1' THEN 'BOND GRANTED-AMOUNT DECREASED' WHEN '2' THEN 'BOND DENIED-NO JURISDICTION'
+ WHEN '3' THEN 'BOND GRANTED-OWN RECOGNIZANCE' WHEN '4' THEN 'FLORES - RELEASE' END""".format(p=_PRIORITY)
+_BOND_COLUMNS = {
+    "bond_completion_date": "comp", "bond_court_code": "court", "bond_judge_code": "judge", "hearing_location_code": "place",
+    "bond_hearing_request_date": "asked", "bond_decision": "dec", "initial_bond_amount": "5000.0::DOUBLE", "new_bond_amount": "new_bond",
+}
+_STAGES["bonds"] = f"""
+  WITH b AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN {_DAY} + 10 END AS comp, {_DAY} AS asked,
+                    substr(o_orderpriority, 3, 3) AS court, {_PRIORITY} AS place, substr(o_orderpriority, 3, 2) AS judge,
+                    {_BOND_LABEL} AS dec, CASE WHEN o_totalprice < 250000 THEN 0.0::DOUBLE ELSE 1500.5::DOUBLE END AS new_bond
+             FROM orders),
+  r AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY comp NULLS LAST, asked, o_orderkey) AS i FROM b)
+  SELECT CAST(o_custkey AS INTEGER) AS idncase, """ + ", ".join(
+    f"max(CASE WHEN i = {at} THEN {source} END) AS {name}_{place}"
+    for place, at in (("first", "1"), ("second", "2"), ("last", "n"))
+    for name, source in _BOND_COLUMNS.items()
+) + " FROM r GROUP BY o_custkey"
+
+_STAGES["charges"] = """
+  WITH c AS (SELECT l_partkey, l_orderkey, l_suppkey * 10 + l_linenumber AS id,
+                    CASE l_linenumber WHEN 1 THEN '212(a)(6)(C)(i)' WHEN 2 THEN '237(a)(2)(B)(iv)' WHEN 3 THEN '212(a)(6)(C)(i)'
+                         WHEN 4 THEN '237(a)(2)(A)(i)(I)' WHEN 5 THEN '215(g)' WHEN 6 THEN '212(a)(7)(B)' END AS section FROM lineitem),
+  d AS (SELECT l_partkey, l_orderkey, section, min(id) AS id FROM c GROUP BY l_partkey, l_orderkey, section),
+  r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, id) AS i FROM d)
+  SELECT CAST(l_partkey AS INTEGER) AS idncase, """ + ", ".join(
+    f"max(CASE WHEN i = {i} THEN section END) AS charge_section_{i}" for i in range(1, 5)
+) + " FROM r GROUP BY l_partkey"
+
+for _name, _sql in _STAGES.items():
+    _ORACLES[f"stage_{_name}"] = _sql
+
+_ORACLES["court_decision_lookups"] = """
+SELECT DISTINCT CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'O' ELSE 'C' END AS kind, 'RMV' AS case_type_code,
+       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'R' WHEN '2' THEN 'D' WHEN '3' THEN 'A' END AS code,
+       substr(o_orderpriority, 3) || ' OUTCOME' AS label
+FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2', '3', '4')"""
+
+
+def _cased(x: str) -> str:
+    return _caps(_title(x))
+
+
+# A decision of R or D has its own outcome, A the other completion's; without any code the entry
+# without a code applies.
+_RELEASE = f"""
+WITH {", ".join(f"{name} AS ({sql})" for name, sql in _STAGES.items())},
+areas AS (SELECT substr(lpad(CAST(s_suppkey AS VARCHAR), 5, '0'), 1, 5) AS zcta, min(s_nationkey) AS n FROM supplier GROUP BY 1),
+word AS (SELECT DISTINCT o_orderpriority AS p, substr(o_orderpriority, 1, 1) AS digit, substr(o_orderpriority, 3, 3) AS three,
+                substr(o_orderpriority, 3, 2) AS two, substr(o_orderpriority, 3) AS name FROM orders),
+j AS (
+  SELECT p.*, k.* EXCLUDE (idncase), a.* EXCLUDE (idncase), b.* EXCLUDE (idncase), x.* EXCLUDE (idncase), c.* EXCLUDE (idncase),
+         h.* EXCLUDE (idncase), areas.n AS area,
+         CASE WHEN a.bia_decision_date > p.final_completion_date THEN a.bia_decision_date ELSE p.final_completion_date END AS ended
+  FROM proceedings p JOIN cases k USING (idncase) LEFT JOIN custody h USING (idncase) LEFT JOIN appeals a USING (idncase)
+       LEFT JOIN applications x USING (idncase) LEFT JOIN bonds b USING (idncase) LEFT JOIN charges c USING (idncase)
+       LEFT JOIN areas ON alien_zipcode = zcta)
+SELECT idncase, CASE WHEN case_type_code = 'RMV' THEN 'Removal' END AS case_type,
+       CASE sex_code WHEN 'F' THEN 'Female' ELSE 'Male' END AS sex, birth_year, {_cased("n_name")} AS nationality,
+       {_cased("segment")} AS language, CASE WHEN area IS NOT NULL THEN 'CA' END AS state, 'County ' || area AS county,
+       CASE WHEN area > 10 THEN lpad(CAST(area AS VARCHAR), 7, '0') END AS place_fips_code, nta_date, charge_section_1, charge_section_4,
+       {_cased("fc.name || ' TOWN'")} || ' (' || first_court_code || ')' AS court_first,
+       {_cased("lc.name || ' TOWN'")} || ' (' || final_court_code || ')' AS court_last,
+       CASE WHEN last_hearing_location_code NOT IN ('4', '5') THEN {_cased("hl.name")} END AS hearing_location_last,
+       jl.name || ', J.' AS judge_last, represented, in_absentia, final_completion_date AS ij_completion_date_last,
+       ended AS ij_or_bia_completion_date_last,
+       CASE custody_code WHEN 'N' THEN 'Never Detained' WHEN 'R' THEN 'Released' WHEN 'D' THEN 'Detained Throughout' END AS custody,
+       detention_start_1, detention_end_4,
+       {_cased("bond_decision_first")} AS bond_decision_first, {_cased("bond_decision_second")} AS bond_decision_second,
+       {_cased("bond_decision_last")} AS bond_decision_last,
+       CASE WHEN new_bond_amount_first <> 0 OR bond_decision_first LIKE '%GRANTED%' OR bond_decision_first = 'FLORES - RELEASE'
+            THEN new_bond_amount_first END AS new_bond_amount_first,
+       CASE WHEN new_bond_amount_last <> 0 OR bond_decision_last LIKE '%GRANTED%' OR bond_decision_last = 'FLORES - RELEASE'
+            THEN new_bond_amount_last END AS new_bond_amount_last,
+       CASE asylum_claim_type_code WHEN 'I' THEN 'Affirmative' WHEN 'E' THEN 'Defensive' WHEN 'J' THEN 'J' END AS asylum_claim_type,
+       {_cased("coalesce(asylum_decision_last, 'No application')")} AS asylum_decision_last,
+       {_cased("coalesce(cat_decision_last, 'No application')")} AS cat_decision_last,
+       CASE WHEN case_type_code <> 'RMV' THEN NULL WHEN dec_code = 'R' THEN 'Urgent Outcome' WHEN dec_code = 'D' THEN 'High Outcome'
+            WHEN dec_code IS NULL THEN 'Not Specified Outcome' END AS case_outcome,
+       {_cased("ap.name || ' to bia'")} AS appeal_type, appeal_filed_date,
+       CASE custody_at_appeal_code WHEN 'N' THEN 'Never Detained' WHEN 'R' THEN 'Released' WHEN 'D' THEN 'Detained Throughout' END AS custody_at_appeal,
+       {_cased("bd.name")} AS bia_decision,
+       CAST(final_completion_date - nta_date AS DOUBLE) AS nta_date_to_ij_completion_date_last_days,
+       CAST(bia_decision_date - appeal_filed_date AS DOUBLE) AS appeal_filed_date_to_bia_decision_date_days,
+       CAST(bond_completion_date_last - bond_hearing_request_date_last AS DOUBLE) AS bond_hearing_request_date_last_to_bond_completion_date_last_days
+FROM j LEFT JOIN nation ON nat = 'N' || n_nationkey
+     LEFT JOIN (SELECT DISTINCT c_mktsegment AS segment FROM customer) AS s ON lang = substr(segment, 1, 3)
+     LEFT JOIN word fc ON first_court_code = fc.three LEFT JOIN word lc ON final_court_code = lc.three
+     LEFT JOIN word hl ON last_hearing_location_code = hl.digit LEFT JOIN word jl ON last_judge_code = jl.two
+     LEFT JOIN word ap ON j.appeal_type = ap.digit LEFT JOIN word bd ON j.bia_decision = bd.three
+WHERE nta_date >= DATE '1997-10-01' AND case_type_code IN ('RMV', 'WHO')"""
+
+_ORACLES["release_table"] = _RELEASE
+
 
 def oracles() -> dict[str, str]:
     return dict(_ORACLES)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from caseline.functions import codes, text, values
 from caseline.operators import collapse, columns, convert, filters, joins, profile, repair, rules
+from caseline.plans import extracts, final, specs, stages
 from caseline.sources import delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -657,3 +658,104 @@ def ragged_repair_log(spark, folder):
 def ragged_repair_summary(spark, folder):
     """REP-4: rows in, fixed, dropped and out."""
     return repair.repair_shifts(ragged_orders(spark, folder), RAGGED_RULES).summary()
+
+
+@query
+def address_repair(spark, folder):
+    """REP-5: customer addresses with a stray cell inside the city, merged and shifted back."""
+    names = ["IDNCASE", "ALIEN_CITY", "ALIEN_STATE", "ALIEN_ZIPCODE", "NAT", "E_28_DATE", "CUSTODY"]
+    segment, key = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    rest = [F.lit("CA"), F.concat(F.lit("9"), key), F.lit("MX"), F.lit("2001-02-03 00:00:00"), F.lit("D")]
+    none = F.lit(None).cast("string")
+    cells = (
+        F.when(segment == "BUILDING", F.array(key, F.lit("EAST"), segment, *rest))
+        .when(segment == "FURNITURE", F.array(key, none, segment, *rest))
+        .when(segment == "MACHINERY", F.array(key, segment, F.lit("XX"), *rest))
+        .otherwise(F.array(key, segment, *rest))
+    )
+    raw = table(spark, folder, "customer").select(cells.alias("cells"))
+    extra = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, 9))
+    ragged = raw.select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)], extra.alias(repair.OVERFLOW))
+    return repair.repair_shifts(ragged, specs.CASES.shift).rows
+
+
+# --- the stages and the final table over the tables as raw extracts ---------------------------------------
+
+
+def _days(df: DataFrame) -> DataFrame:
+    return columns.map_columns(df, lambda f: f.dataType.simpleString() == "timestamp", values.utc_date)
+
+
+def _stage(build: Callable[..., stages.Stage], name: str, spark: SparkSession, folder: str, *more: object) -> DataFrame:
+    raw = getattr(extracts, name)(spark, folder)
+    return _days(build(raw, extracts.lookups(spark, folder), *more).table)
+
+
+@query
+def stage_proceedings(spark, folder):
+    """Stage: orders as proceedings, repaired, typed and collapsed per case."""
+    return _stage(stages.proceedings, "proceedings", spark, folder)
+
+
+@query
+def stage_cases(spark, folder):
+    """Stage: customers as the case table."""
+    return _stage(stages.cases, "cases", spark, folder, AS_OF)
+
+
+@query
+def stage_custody(spark, folder):
+    """Stage: events as detention spells, the first four per case."""
+    return _stage(stages.custody, "custody", spark, folder)
+
+
+@query
+def stage_appeals(spark, folder):
+    """Stage: the last appeal per case."""
+    return _stage(stages.appeals, "appeals", spark, folder)
+
+
+@query
+def stage_applications(spark, folder):
+    """Stage: the last decision per kind of application."""
+    return _stage(stages.applications, "applications", spark, folder)
+
+
+@query
+def stage_bonds(spark, folder):
+    """Stage: first, second and last bond hearing per case."""
+    return _stage(stages.bonds, "bonds", spark, folder)
+
+
+@query
+def stage_charges(spark, folder):
+    """Stage: the first four charges per case."""
+    return _stage(stages.charges, "charges", spark, folder)
+
+
+@query
+def court_decision_lookups(spark, folder):
+    """PRJ-4 FLT-1: the decision lookup split by kind."""
+    decided, other = stages.court_decisions(extracts.lookups(spark, folder))
+    return decided.select(F.lit("C").alias("kind"), "case_type_code", F.col("dec_code").alias("code"), F.col("case_outcome").alias("label")).unionByName(
+        other.select(F.lit("O").alias("kind"), "case_type_code", F.col("other_comp").alias("code"), F.col("other_completion").alias("label"))
+    )
+
+
+@query
+def release_table(spark, folder):
+    """All stages and the final join over whole tables: one row per case, main columns."""
+    lookups = extracts.lookups(spark, folder)
+    built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
+    cases = final.build_final({n: s.table for n, s in built.items()}, lookups, extracts.crosswalk(spark, folder))
+    return cases.select(
+        "idncase", "case_type", "sex", "birth_year", "nationality", "language", "state", "county", "place_fips_code",
+        "nta_date", "charge_section_1", "charge_section_4", "court_first", "court_last", "hearing_location_last",
+        "judge_last", "represented", "in_absentia", "ij_completion_date_last", "ij_or_bia_completion_date_last",
+        "custody", "detention_start_1", "detention_end_4", "bond_decision_first", "bond_decision_second",
+        "bond_decision_last", "new_bond_amount_first", "new_bond_amount_last", "asylum_claim_type",
+        "asylum_decision_last", "cat_decision_last", "case_outcome", "appeal_type", "appeal_filed_date",
+        "custody_at_appeal", "bia_decision", "nta_date_to_ij_completion_date_last_days",
+        "appeal_filed_date_to_bia_decision_date_days",
+        "bond_hearing_request_date_last_to_bond_completion_date_last_days",
+    )
