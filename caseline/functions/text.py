@@ -13,8 +13,8 @@ CAPITALS = (
     "ABC", "BIA", "CAT", "CFV", "CPC", "DHS", "EOIR", "IJ", "INA", "ORR", "PD", "ROP", "V/D", "VD", "WCAT",
 )
 
-# A cell needs cleaning if it holds a control character, an outer or doubled blank, or an exotic blank.
-_UNCLEAN = r"\p{Cc}|^\p{Z}|\p{Z}$|\p{Z}{2}|[\p{Z}&&[^ ]]"
+# Anything but printable ASCII may hide a control character or an exotic blank.
+_UNUSUAL = r"[^ -~]"
 
 # One word by Unicode word breaking: letters and digits run together, and an apostrophe or full
 # stop joins only if there is a letter on both sides.
@@ -38,9 +38,10 @@ def strip_controls(text: Column) -> Column:
 def clean_cell(text: Column) -> Column:
     """Strip controls, squish, and turn an empty cell into NULL.
 
-    Nearly all cells are clean already, so one search decides whether the rewriting runs at all.
+    Nearly all cells are clean already, so cheap checks decide whether the rewriting runs at all.
     """
-    cleaned = F.when(text.rlike(_UNCLEAN), squish(strip_controls(text))).otherwise(text)
+    suspicious = (text != F.trim(text)) | text.contains("  ") | text.rlike(_UNUSUAL)
+    cleaned = F.when(suspicious, squish(strip_controls(text))).otherwise(text)
     return F.nullif(cleaned, F.lit(""))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +18,15 @@ class ConvertFailure(ValueError):
     """Too many cells of a column could not be parsed."""
 
 
+# Complete days and times; the plain cast behind them is much faster than a format, but laxer.
+_DAY = r"^\d{4}-\d{2}-\d{2}$"
+_MOMENT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
 def _number(text: Column) -> Column:
     # A trailing type letter, as in ``1d``, is a Java habit and not a number.
-    value = F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
+    suffixed = F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F")
+    value = F.when(~suffixed, text.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 
@@ -35,9 +41,11 @@ def parse(text: Column, kind: str) -> Column:
     if kind == "double":
         return _number(text)
     if kind == "datetime":
-        return F.try_to_timestamp(F.substring(text, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
+        moment = F.substring(text, 1, 19)
+        return F.when(moment.rlike(_MOMENT), moment.try_cast("timestamp"))
     if kind == "date":
-        return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+        day = F.substring(text, 1, 10)
+        return F.when(day.rlike(_DAY), day.try_cast("date"))
     raise ValueError(f"unknown type {kind!r}")
 
 
@@ -55,13 +63,36 @@ def convert(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: parse(F.col(c), kind) for c, kind in kinds.items()})
 
 
-def failure_rules(kinds: Mapping[str, str], max_fail_rate: float | None = MAX_FAIL_RATE) -> list[Rule]:
+def parsed_column(column: str) -> str:
+    return f"_parsed_{column}"
+
+
+def with_parsed(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Add the typed value next to each text column, so that checks and result share one parse."""
+    return df.withColumns({parsed_column(c): parse(F.col(c), kind) for c, kind in kinds.items()})
+
+
+def keep_parsed(df: DataFrame, kinds: Mapping[str, str], names: Sequence[str]) -> DataFrame:
+    """The named columns, typed where ``with_parsed`` has typed them."""
+    return df.select(*[F.col(parsed_column(c)).alias(c) if c in kinds else F.col(c) for c in names])
+
+
+def failure_rules(
+    kinds: Mapping[str, str], max_fail_rate: float | None = MAX_FAIL_RATE, parsed: bool = False
+) -> list[Rule]:
     """The same failures as rules, to be counted while the table is written.
 
     The limit is exceeded only above the rate, so the stop level is the next representable value.
+    ``parsed`` says that the table comes from ``with_parsed``.
     """
     stop = 2.0 if max_fail_rate is None else math.nextafter(max_fail_rate, 1.0)
-    return [Rule(f"parses({c}: {k})", failed(F.col(c), k)).at(None, stop) for c, k in kinds.items()]
+
+    def fails(c: str, kind: str) -> Column:
+        if parsed:
+            return F.coalesce(_filled(F.col(c)), F.lit(False)) & F.col(parsed_column(c)).isNull()
+        return failed(F.col(c), kind)
+
+    return [Rule(f"parses({c}: {kind})", fails(c, kind)).at(None, stop) for c, kind in kinds.items()]
 
 
 def failure_examples(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:

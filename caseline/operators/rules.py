@@ -42,11 +42,30 @@ class Rule:
     def at(self, warn_at: float | None, stop_at: float | None) -> Rule:
         return replace(self, warn_at=warn_at, stop_at=stop_at)
 
-    def counts(self) -> tuple[Column, Column]:
+    def failed(self) -> Column:
+        """Aggregate that counts failures."""
         if self.value is not None:
-            return F.when(self.value, F.lit(0)).otherwise(F.lit(1)).cast("long"), F.lit(1).cast("long")
-        scope = F.lit(True) if self.where is None else F.coalesce(self.where, F.lit(False))
-        return F.count_if(scope & F.coalesce(self.fails, F.lit(True))), F.count_if(scope)
+            return F.when(self.value, F.lit(0)).otherwise(F.lit(1)).cast("long")
+        fails = F.coalesce(self.fails, F.lit(True))
+        return F.count_if(fails if self.where is None else F.coalesce(self.where, F.lit(False)) & fails)
+
+    def total(self) -> Column | None:
+        """Aggregate that counts the rows looked at, None where those are all rows."""
+        if self.value is not None:
+            return F.lit(1).cast("long")
+        return None if self.where is None else F.count_if(self.where)
+
+
+def _metrics(rules: Sequence[Rule]) -> tuple[list[Column], list[str]]:
+    """Aggregates for all rules, and the name of each rule's total; most rules share one total."""
+    aggregates, totals = [F.count(F.lit(1)).alias("rows")], []
+    for i, rule in enumerate(rules):
+        aggregates.append(rule.failed().alias(f"f{i}"))
+        total = rule.total()
+        if total is not None:
+            aggregates.append(total.alias(f"t{i}"))
+        totals.append("rows" if total is None else f"t{i}")
+    return aggregates, totals
 
 
 def not_null(column: str) -> Rule:
@@ -158,11 +177,8 @@ def _entry(rule: Rule, failed: Column, total: Column) -> Column:
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Report of all rules in one pass: rule, failed, total, fraction, level."""
-    aggregates = []
-    for i, rule in enumerate(rules):
-        failed, total = rule.counts()
-        aggregates += [failed.alias(f"f{i}"), total.alias(f"t{i}")]
-    entries = [_entry(rule, F.col(f"f{i}"), F.col(f"t{i}")) for i, rule in enumerate(rules)]
+    aggregates, totals = _metrics(rules)
+    entries = [_entry(rule, F.col(f"f{i}"), F.col(totals[i])) for i, rule in enumerate(rules)]
     return _report(df.agg(*aggregates).select(F.inline(F.array(*entries))))
 
 
@@ -211,15 +227,13 @@ class Watch:
         self.label = label
         self.rules = list(rules)
         self._observation: Observation | None = None
+        self._totals: list[str] = []
 
     def attach(self, df: DataFrame) -> DataFrame:
         if not self.rules:
             return df
         self._observation = Observation()
-        metrics = []
-        for i, rule in enumerate(self.rules):
-            failed, total = rule.counts()
-            metrics += [failed.alias(f"f{i}"), total.alias(f"t{i}")]
+        metrics, self._totals = _metrics(self.rules)
         return df.observe(self._observation, *metrics)
 
     def report(self) -> list[dict]:
@@ -228,7 +242,7 @@ class Watch:
         got = self._observation.get
         lines = []
         for i, r in enumerate(self.rules):
-            failed, total = got[f"f{i}"], got[f"t{i}"]
+            failed, total = got[f"f{i}"], got[self._totals[i]]
             lines.append(
                 {
                     "table": self.label,

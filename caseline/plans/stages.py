@@ -65,9 +65,10 @@ def _prepare(
     counts, watches = Observation(), []
     fixed = repair.repair_shifts(raw, spec.shift, observation=counts)
     clean = tidy(repair.clean_columns(fixed.rows))
-    checks = spec.source_rules() + convert.failure_rules(spec.kinds, spec.max_fail_rate)
-    checked = _watched(_flagged(clean, spec.known, lookups), f"{spec.name} source", checks, watches).select(*clean.columns)
-    typed = convert.convert(checked, spec.kinds)
+    checks = spec.source_rules() + convert.failure_rules(spec.kinds, spec.max_fail_rate, parsed=True)
+    parsed = convert.with_parsed(_flagged(clean, spec.known, lookups), spec.kinds)
+    checked = _watched(parsed, f"{spec.name} source", checks, watches)
+    typed = convert.keep_parsed(checked, spec.kinds, clean.columns)
     named = columns.rename(typed.toDF(*text.snake_names(typed.columns)), spec.renames)
     named = _watched(named, f"{spec.name} typed", spec.typed_rules(), watches)
     return named, Stage(spec, named, fixed.log, counts, watches)
