@@ -101,7 +101,8 @@ def keep_constant_groups(df: DataFrame, keys: Sequence[str], column: str) -> Dat
 def _first_rows(
     df: DataFrame, keys: Sequence[str], by: Sequence[Column], n: int, payload: Sequence[Column]
 ) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    # The payload breaks ties, so a retried task picks the same rows.
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by, F.struct(*payload)))
     ranked = df.withColumn("_place", place).where(F.col("_place") <= n)
     return ranked.select(*keys, "_place", F.struct(*payload).alias("_row"))
 

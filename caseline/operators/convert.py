@@ -63,6 +63,10 @@ def convert(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: parse(F.col(c), kind) for c, kind in kinds.items()})
 
 
+def rule_name(column: str, kind: str) -> str:
+    return f"parses({column}: {kind})"
+
+
 def parsed_column(column: str) -> str:
     return f"_parsed_{column}"
 
@@ -92,7 +96,7 @@ def failure_rules(
             return F.coalesce(_filled(F.col(c)), F.lit(False)) & F.col(parsed_column(c)).isNull()
         return failed(F.col(c), kind)
 
-    return [Rule(f"parses({c}: {kind})", fails(c, kind)).at(None, stop) for c, kind in kinds.items()]
+    return [Rule(rule_name(c, kind), fails(c, kind)).at(None, stop) for c, kind in kinds.items()]
 
 
 def failure_examples(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:

@@ -45,7 +45,8 @@ def build_release(
 ) -> Release:
     """Build one release from a folder of extracts.
 
-    Each stage table is written to ``work`` and its checks enforced before anything reads it.
+    Each stage table is written to ``work`` and its checks enforced before anything reads it. So is
+    the final table, which is copied to ``output`` only if its rules hold.
     ``max_touched`` is the repair limit, None for none; ``check_areas`` turns off the rules that
     expect a crosswalk of the whole country.
     """
@@ -68,7 +69,9 @@ def build_release(
     if check_areas:
         final.check_crosswalk(areas)
     watch = Watch("final", final.final_rules())
-    tables.write_table(final.build_final(written, lookups, areas, watch), output)
+    checked = os.path.join(work, "final")
+    tables.write_table(final.build_final(written, lookups, areas, watch), checked)
     lines += watch.report()
     watch.enforce()
+    tables.write_table(tables.read_table(spark, checked), output)
     return Release(tables.read_table(spark, output), lines, manifest_lines, final.join_report(written).first().asDict())

@@ -32,11 +32,18 @@ class Stage:
     log: DataFrame
     repair_counts: Observation
     watches: list[Watch]
+    clean: DataFrame
 
     def check(self, max_touched: int | None = repair.MAX_TOUCHED) -> list[dict]:
         """Raise if the repair, the typing or a rule stops; return all rule lines."""
         repair.check_repair(self.repair_counts.get, max_touched)
         lines = [line for w in self.watches for line in w.report()]
+        stopped = [c for c, kind in self.spec.kinds.items() if any(
+            line["rule"] == convert.rule_name(c, kind) and line["level"] == "stop" for line in lines
+        )]
+        if stopped:
+            # Only now is a second pass worth it, to show what could not be parsed.
+            convert.check_converted(self.clean, {c: self.spec.kinds[c] for c in stopped}, self.spec.max_fail_rate)
         rules.enforce(lines)
         return lines
 
@@ -71,7 +78,7 @@ def _prepare(
     typed = convert.keep_parsed(checked, spec.kinds, clean.columns)
     named = columns.rename(typed.toDF(*text.snake_names(typed.columns)), spec.renames)
     named = _watched(named, f"{spec.name} typed", spec.typed_rules(), watches)
-    return named, Stage(spec, named, fixed.log, counts, watches)
+    return named, Stage(spec, named, fixed.log, counts, watches, clean)
 
 
 def _finish(stage: Stage, table: DataFrame, extra: Sequence[Rule] = ()) -> Stage:

@@ -16,11 +16,29 @@ SETTINGS = {
 }
 
 
-def builder(app_name: str = "caseline") -> SparkSession.Builder:
-    """A session builder with the settings above; master and sizes are left to the caller."""
+PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions that keep each one near 128 MB, at least Spark's default of 200.
+
+    Adaptive execution merges partitions that turn out small but never splits an aggregation's, so
+    the number has to be large enough beforehand.
+    """
+    return max(200, -(-shuffled_bytes // PARTITION_BYTES))
+
+
+def builder(app_name: str = "caseline", shuffled_bytes: int | None = None) -> SparkSession.Builder:
+    """A session builder with the settings above.
+
+    Master and memory are left to the caller. ``shuffled_bytes`` is the size of the largest table
+    after pruning; it sets the number of shuffle partitions.
+    """
     b = SparkSession.builder.appName(app_name)
     for name, value in SETTINGS.items():
         b = b.config(name, value)
+    if shuffled_bytes is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffled_bytes)))
     return b
 
 

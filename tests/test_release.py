@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import release_data as data
-from caseline.operators import repair
+from caseline.operators import convert, repair, rules
 from caseline.operators.rules import RuleFailure
-from caseline.plans import build, final, specs, stages
+from caseline.plans import areas, build, final, specs, stages
 from caseline.plans.final import column_order
+from caseline.session import shuffle_partitions
 from caseline.sources import tables
 from conftest import rows
 
@@ -181,3 +182,45 @@ def test_crosswalk_rules(spark, crosswalk):
         final.check_crosswalk(tables.read_crosswalk(spark, crosswalk))
     assert "areas" in str(failure.value) and "states" in str(failure.value)
     assert "not_null" not in str(failure.value) and "distinct" not in str(failure.value)
+
+
+def test_stage_shows_unparsable_cells(spark, folder, lookups, tmp_path):
+    raw = build.read_sources(spark, str(folder))["custody"].withColumn("IDNCUSTODY", F.lit("FC"))
+    stage = stages.custody(raw, lookups)
+    stage.table.write.parquet(str(tmp_path / "out"))
+    with pytest.raises(convert.ConvertFailure, match="IDNCUSTODY: 6 .* e.g. FC"):
+        stage.check()
+
+
+def test_crosswalk_from_shares(spark):
+    counties = spark.createDataFrame(
+        [("00501", "36103", "Suffolk NY", 0.4), ("00501", "36059", "Nassau NY", 0.6), ("02139", "25017", "Middlesex", 0.5),
+         ("02139", "25009", "Essex", 0.5), (" ", "25009", "Essex", 1.0)],
+        "zcta string, county_fips_code string, county string, share double",
+    )
+    places = spark.createDataFrame([("02139", "2511000", "Cambridge", 1.0)], "zcta string, place_fips_code string, place string, share double")
+    states = spark.createDataFrame([("36", "NY"), ("25", "MA")], "state_fips_code string, state string")
+    territory = spark.createDataFrame(
+        [("96799", "AS", "60", "Eastern", "60010", None, None)],
+        "zcta string, state string, state_fips_code string, county string, county_fips_code string, place string, place_fips_code string",
+    )
+    got = areas.with_territories(areas.build_crosswalk(counties, places, states), territory)
+    assert rows(got) == [
+        ("00501", "NY", "36", "Nassau NY", "36059", None, None),
+        ("02139", "MA", "25", "Essex", "25009", "Cambridge", "2511000"),
+        ("96799", "AS", "60", "Eastern", "60010", None, None),
+    ]
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(10 << 40) == 81920
+
+
+def test_unchecked_result_is_not_published(spark, folder, crosswalk, monkeypatch, tmp_path):
+    monkeypatch.setattr(final, "final_rules", lambda: [rules.not_null("deported_1")])
+    monkeypatch.setattr(stages, "all_stages", lambda *a: {})
+    monkeypatch.setattr(final, "build_final", lambda written, lookups, areas, watch: watch.attach(spark.sql("select cast(null as string) deported_1")))
+    with pytest.raises(RuleFailure):
+        build.build_release(spark, str(folder), str(tmp_path / "w"), str(tmp_path / "out"), crosswalk, AS_OF, check_areas=False)
+    assert not (tmp_path / "out").exists()
