@@ -628,11 +628,11 @@ def _cased(x: str) -> str:
 # A decision of R or D has its own outcome, A the other completion's; without any code the entry
 # without a code applies.
 _RELEASE = f"""
-WITH {", ".join(f"{name} AS ({sql})" for name, sql in _STAGES.items())},
+WITH {", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _STAGES.items())},
 areas AS (SELECT substr(lpad(CAST(s_suppkey AS VARCHAR), 5, '0'), 1, 5) AS zcta, min(s_nationkey) AS n FROM supplier GROUP BY 1),
 word AS (SELECT DISTINCT o_orderpriority AS p, substr(o_orderpriority, 1, 1) AS digit, substr(o_orderpriority, 3, 3) AS three,
                 substr(o_orderpriority, 3, 2) AS two, substr(o_orderpriority, 3) AS name FROM orders),
-j AS (
+j AS MATERIALIZED (
   SELECT p.*, k.* EXCLUDE (idncase), a.* EXCLUDE (idncase), b.* EXCLUDE (idncase), x.* EXCLUDE (idncase), c.* EXCLUDE (idncase),
          h.* EXCLUDE (idncase), areas.n AS area,
          CASE WHEN a.bia_decision_date > p.final_completion_date THEN a.bia_decision_date ELSE p.final_completion_date END AS ended
