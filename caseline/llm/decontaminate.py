@@ -92,7 +92,11 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: in
     share = F.col("n_shared") / F.col("n_grams")
     best = F.max(F.struct(share.alias("containment"), F.col("n_shared"), F.col("n_grams"))).alias("_b")
     return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", F.col("_b.n_shared").cast("long"), F.col("_b.n_grams").cast("long"), "_b.containment"
+        "doc_id",
+        "item_id",
+        F.col("_b.n_shared").cast("long").alias("n_shared"),
+        F.col("_b.n_grams").cast("long").alias("n_grams"),
+        "_b.containment",
     )
 
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseline.llm import decontaminate, mixing, ngram_join, quality_rules, token_files
+from caseline.llm import (
+    chat,
+    decontaminate,
+    license_scan,
+    mixing,
+    ngram_join,
+    pii,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    warc,
+)
 from caseline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +68,39 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, folder, "documents"))
+
+
+@query
+def op7_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(warc.captures_of(table(spark, folder, "pages").select("page_id", "url", "html")))
+    return found.select(
+        "record_id",
+        "canonical",
+        "outcome",
+        "response_id",
+        "digest",
+        F.col("headers")["etag"].alias("etag"),
+        F.col("headers")["content-length"].alias("content_length"),
+        F.col("headers")["date"].alias("date"),
+    )
+
+
+@query
+def op9_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    linked = chat.link(chat.quoting(table(spark, folder, "conversations")))
+    return linked.withColumn("own_md5", F.md5("own_text")).drop("own_text")
