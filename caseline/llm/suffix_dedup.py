@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseline.llm.common import whole, written
-from caseline.operators.joins import bounded
 
 LENGTH = 50
 GRAM = 16
@@ -35,7 +35,9 @@ RANGE_BYTES = 4 << 20
 MAX_RANGES = 200_000
 #: Anchors that a task gathers before it packs them by range.
 PACKED_ANCHORS = 2 << 20
-#: An anchor in more contexts than this, and than a fourth of a range, is split.
+#: Bytes of contexts that a task gathers before it packs them by unit.
+PACKED_BYTES = 32 << 20
+#: An anchor of more documents than this, and than a sixteenth of its range, is split.
 HOT_ROWS = 500
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,13 +102,13 @@ def _sent(batches: Iterator[pd.DataFrame], length: int, ranges: int) -> Iterator
         d = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(x) for x in hashes])
         home = ((h >> np.uint64(44)) * np.uint64(ranges) >> np.uint64(20)).astype(np.int64)
         order = np.argsort(home, kind="stable")
-        h, d, home = h[order], d[order], home[order]
+        h, d, home = h[order].astype(np.uint32), d[order], home[order]
         first = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(h) else np.empty(0, np.int64)
         all_keys, out = np.array(keys, np.int64), []
         for a, b in zip(first, np.r_[first[1:], len(h)]):
-            used, local = np.unique(d[a:b], return_inverse=True)
-            out.append((int(home[a]), all_keys[used].tobytes(), local.astype(np.uint32).tobytes(), h[a:b].tobytes()))
-        return pd.DataFrame(out, columns=["range", "keys", "local", "hashes"])
+            used, count = np.unique(d[a:b], return_counts=True)
+            out.append((int(home[a]), all_keys[used].tobytes(), count.astype(np.uint32).tobytes(), h[a:b].tobytes()))
+        return pd.DataFrame(out, columns=["range", "keys", "counts", "hashes"])
 
     for batch in batches:
         for key, text in zip(batch["key"], batch["text"]):
@@ -139,97 +141,138 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per document: the anchor hashes of this range that another document has too."""
+    """Per document: the anchors of this range that another document has too, and those of them that are hot."""
     for g in _runs(batches, "range"):
         keys, hashes = [], []
-        for k, local, h in zip(g["keys"], g["local"], g["hashes"]):
-            h = np.frombuffer(h, np.uint64)
-            keys.append(np.frombuffer(k, np.int64)[np.frombuffer(local, np.uint32)])
-            hashes.append(h)
+        for k, count, h in zip(g["keys"], g["counts"], g["hashes"]):
+            keys.append(np.repeat(np.frombuffer(k, np.int64), np.frombuffer(count, np.uint32)))
+            hashes.append(np.frombuffer(h, np.uint32))
         k, h = np.concatenate(keys), np.concatenate(hashes)
         order = np.argsort(h, kind="stable")
         k, h = k[order], h[order]
-        same = h[1:] == h[:-1]
-        many = np.r_[same, False] | np.r_[False, same]
-        k, h = k[many], h[many]
+        new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        size = np.diff(np.r_[new, len(h)])
+        size = np.repeat(size, size)
+        k, h, hot = k[size > 1], h[size > 1], size[size > 1] > max(HOT_ROWS, len(h) // 16)
         order = np.argsort(k, kind="stable")
-        k, h = k[order], h[order]
-        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1 if len(k) else np.empty(0, np.int64)
-        starts, ends = np.r_[0, cuts].astype(int), np.r_[cuts, len(k)].astype(int)
+        k, h, hot = k[order], h[order], hot[order]
         if len(k):
-            yield pd.DataFrame({"key": k[starts], "hashes": [h[a:b].tobytes() for a, b in zip(starts, ends)]})
-
-
-def _first_of_equals(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of rows with equal bytes those of the first document keep them; all strings of the others are covered."""
-    least = frame.groupby(["anchor", "bytes"], sort=False)["doc_order"].transform("min")
-    frame.loc[frame["doc_order"] > least, "bytes"] = None
-    return frame
-
-
-_CONTEXT = "anchor long, key long, doc_order long, start long, strings int, bytes binary"
-
-
-def _contexts(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Shared anchors with the bytes of the strings that they are the anchors of, from the first's start on."""
+            a = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            b = np.r_[a[1:], len(k)]
+            yield pd.DataFrame(
+                {"key": k[a], "hashes": [h[x:y].tobytes() for x, y in zip(a, b)], "hot": [h[x:y][hot[x:y]].tobytes() for x, y in zip(a, b)]}
+            )
+
+
+class _Pack:
+    """Contexts by unit, gathered until they are worth rows; of equal ones only the first document's goes out whole."""
+
+    def __init__(self, units: int):
+        self.units, self.best, self.known, self.rest, self.size = units, {}, [], [], 0
+
+    def add(self, unit: int, key: int, order: int, start: int, strings: int, data: bytes) -> None:
+        self.size += len(data)
+        old = self.best.get(data)
+        if old is None or order < old[2]:
+            self.best[data] = (unit, key, order, start, strings)
+            if old is not None:
+                self.known.append(old)
+        elif order > old[2]:
+            self.known.append((unit, key, order, start, strings))
+        else:
+            self.rest.append((unit, key, order, start, strings, data))
+
+    def rows(self) -> pd.DataFrame:
+        whole = [(*v, data) for data, v in self.best.items()] + self.rest
+        bodies = [x[5] for x in whole] + [b""] * len(self.known)
+        every = [x[:5] for x in whole] + [(k[1] % self.units, *k[1:]) for k in self.known]
+        table = np.array(every, np.int64).reshape(-1, 5)
+        full = np.r_[np.ones(len(whole), bool), np.zeros(len(self.known), bool)]
+        order = np.lexsort((table[:, 3], table[:, 1], table[:, 0]))
+        table, full = table[order], full[order]
+        first = np.flatnonzero(np.r_[True, table[1:, 0] != table[:-1, 0]]) if len(table) else []
+        squeeze, out = zstandard.ZstdCompressor(level=1), []
+        for a, b in zip(first, np.r_[first[1:], len(table)] if len(table) else []):
+            part = table[a:b]
+            raw = part[:, 1:].T.tobytes() + np.packbits(full[a:b]).tobytes() + b"".join(bodies[i] for i in order[a:b])
+            out.append((int(part[0, 0]), b - a, squeeze.compress(raw)))
+        self.__init__(self.units)
+        return pd.DataFrame(out, columns=["unit", "n", "pack"])
+
+
+def _unpacked(n: int, pack: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(pack)
+    flags = np.unpackbits(np.frombuffer(raw, np.uint8, -(-n // 8), 32 * n), count=n).astype(bool)
+    return np.frombuffer(raw, np.int64, 4 * n).reshape(4, n), flags, raw[32 * n + -(-n // 8) :]
+
+
+def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Iterator[pd.DataFrame]:
+    """Shared anchors with the bytes of the strings that they are the anchors of, dealt to units by anchor;
+    the strings of hot anchors one by one, dealt by their own bytes."""
+    pack = _Pack(units)
     for batch in batches:
-        out = []
-        for key, order, text, shared in zip(batch["key"], batch["doc_order"], batch["text"], batch["hashes"]):
+        for key, order, text, shared, hot in zip(batch["key"], batch["doc_order"], batch["text"], batch["hashes"], batch["hot"]):
             data = text.encode()
             _, h, first, last = _unique_anchors(np.frombuffer(data, np.uint8), length)
-            held = np.isin(h, np.frombuffer(b"".join(shared), np.uint64))
-            for a, lo, hi in zip(h[held].view(np.int64).tolist(), first[held].tolist(), last[held].tolist()):
-                out.append((a, key, order, lo, hi - lo + 1, data[lo : hi + length]))
-        yield _first_of_equals(pd.DataFrame(out, columns=["anchor", "key", "doc_order", "start", "strings", "bytes"]))
-
-
-def _split(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Contexts of hot anchors as single strings, each with a hash of its own in place of the anchor."""
-    for batch in batches:
-        out = []
-        for key, order, start, data in zip(batch["key"], batch["doc_order"], batch["start"], batch["bytes"]):
-            for i in range(len(data) - length + 1):
-                string = bytes(data[i : i + length])
-                out.append((xxhash.xxh64_intdigest(string) - (1 << 63), key, order, start + i, 1, string))
-        yield _first_of_equals(pd.DataFrame(out, columns=["anchor", "key", "doc_order", "start", "strings", "bytes"]))
+            low = h.astype(np.uint32)
+            held = np.isin(low, np.frombuffer(b"".join(shared), np.uint32))
+            single = np.isin(low[held], np.frombuffer(b"".join(hot), np.uint32))
+            home = (_mixed(h[held]) % np.uint64(units)).astype(np.int64)
+            for unit, lo, hi, split in zip(home.tolist(), first[held].tolist(), last[held].tolist(), single.tolist()):
+                if split:
+                    for at in range(lo, hi + 1):
+                        string = data[at : at + length]
+                        pack.add(xxhash.xxh64_intdigest(string) % units, key, order, at, 1, string)
+                else:
+                    pack.add(unit, key, order, lo, hi - lo + 1, data[lo : hi + length])
+            if pack.size > PACKED_BYTES:
+                yield pack.rows()
+    yield pack.rows()
 
 
 def _covered(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Suffix order of the strings of each range; those with an earlier document among equals are covered."""
+    """Suffix order of the strings of each unit; those with an earlier document among equals are covered."""
     for g in _runs(batches, "unit"):
-        sizes = g["bytes"].str.len().to_numpy() - length + 1
-        flat = np.frombuffer(b"".join(g["bytes"]), np.uint8)
-        begin = np.r_[0, np.cumsum(sizes + length - 1)[:-1]]
-        row = np.repeat(np.arange(len(g)), sizes)
-        offset = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = begin[row] + offset
-        suffixes = np.ndarray((len(flat) - length + 1,), f"S{length}", flat.tobytes(), strides=(1,))[at]
+        parts = [_unpacked(n, pack) for n, pack in zip(g["n"], g["pack"])]
+        table, full = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
+        yield from _by_document(*_each(table[0][~full], table[2][~full], table[3][~full]))
+        table = table[:, full]
+        if not table.shape[1]:
+            continue
+        keys, starts = _each(table[0], table[2], table[3])
+        docs, _ = _each(table[1], table[2], table[3])
+        data = b"".join(p[2] for p in parts)
+        sizes = table[3] + length - 1
+        at, _ = _each(np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.int64), table[3], walk=True)
+        suffixes = np.ndarray((len(data) - length + 1,), f"S{length}", data, strides=(1,))[at]
         order = np.argsort(suffixes, kind="stable")
-        ranked = suffixes[order]
-        docs = g["doc_order"].to_numpy(np.int64)[row][order]
+        ranked, docs = suffixes[order], docs[order]
         # longest common prefixes of neighbours reach the length exactly where the strings are equal; in
         # a run of them the smallest document is the closest smaller one of all others
         new = np.r_[True, ranked[1:] != ranked[:-1]]
         least = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
         hit = order[docs > least]
-        keys, starts = g["key"].to_numpy(np.int64)[row[hit]], g["start"].to_numpy(np.int64)[row[hit]] + offset[hit]
-        yield from _by_document(keys, starts)
+        yield from _by_document(keys[hit], starts[hit])
+
+
+def _each(values: np.ndarray, starts: np.ndarray, strings: np.ndarray, walk: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Values and starts of every single string; with ``walk`` the values count up along with the starts."""
+    offset = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings)
+    return np.repeat(values, strings) + (offset if walk else 0), np.repeat(starts, strings) + offset
 
 
 def _by_document(keys: np.ndarray, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Covered starts per document, as runs of (first, number)."""
+    if not len(keys):
+        return
     by = np.lexsort((starts, keys))
     keys, starts = keys[by], starts[by]
-    if len(keys):
-        a = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        b = np.r_[a[1:], len(keys)]
-        yield pd.DataFrame({"key": keys[a], "starts": [starts[x:y].astype(np.uint32).tobytes() for x, y in zip(a, b)]})
-
-
-def _known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        n = batch["strings"].to_numpy(np.int64)
-        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        yield from _by_document(np.repeat(batch["key"].to_numpy(np.int64), n), np.repeat(batch["start"].to_numpy(np.int64), n) + offset)
+    run = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (starts[1:] != starts[:-1] + 1)])
+    runs = np.stack([starts[run], np.diff(np.r_[run, len(keys)])], axis=1).astype(np.uint32)
+    keys = keys[run]
+    a = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    b = np.r_[a[1:], len(keys)]
+    yield pd.DataFrame({"key": keys[a], "starts": [runs[x:y].tobytes() for x, y in zip(a, b)]})
 
 
 def _removed(batches: Iterator[pd.DataFrame], length: int, keep_text: bool) -> Iterator[pd.DataFrame]:
@@ -241,9 +284,9 @@ def _removed(batches: Iterator[pd.DataFrame], length: int, keep_text: bool) -> I
             if copy and len(data) >= length:
                 mark[0], mark[-1] = 1, -1
             elif starts is not None and len(starts):
-                found = np.unique(np.frombuffer(b"".join(starts), np.uint32)).astype(np.int64)
-                np.add.at(mark, found, 1)
-                np.add.at(mark, found + length, -1)
+                runs = np.frombuffer(b"".join(starts), np.uint32).reshape(-1, 2).astype(np.int64)
+                np.add.at(mark, runs[:, 0], 1)
+                np.add.at(mark, runs[:, 0] + runs[:, 1] + length - 1, -1)
             gone = np.cumsum(mark[:-1]) > 0
             left = data[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
@@ -280,27 +323,18 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = False, ranges
     ranges = ranges or min(MAX_RANGES, max(16, -(-size // RANGE_BYTES)))
     owned = keyed.select("key", "doc_id", "text").join(about, "key", "left")
     singles = owned.where(F.col("copy").eqNullSafe(False)).select("key", F.col("doc_id").alias("doc_order"), "text")
-    packed = singles.select("key", "text").mapInPandas(
-        lambda it: _sent(it, length, ranges), "range int, keys binary, local binary, hashes binary"
-    )
+    # all branches read the same columns, so that the text is shuffled once and reused
+    packed = singles.mapInPandas(lambda it: _sent(it, length, ranges), "range int, keys binary, counts binary, hashes binary")
     shared = (
         packed.repartition(ranges, "range").sortWithinPartitions("range")
-        .mapInPandas(_shared, "key long, hashes binary")
-        .groupBy("key").agg(F.collect_list("hashes").alias("hashes"))  # of one document
+        .mapInPandas(_shared, "key long, hashes binary, hot binary")
+        .groupBy("key").agg(F.collect_list("hashes").alias("hashes"), F.collect_list("hot").alias("hot"))  # of one document
     )
-    contexts = written(singles.join(shared, "key").mapInPandas(lambda it: _contexts(it, length), _CONTEXT), "contexts")
-    open_rows = contexts.where(F.col("bytes").isNotNull())
-    counts = open_rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    limit = max(HOT_ROWS, open_rows.count() // (4 * ranges))
-    hot = bounded(counts.where(F.col("n") > limit).select("anchor"))  # at most 4 per range
-    split = written(open_rows.join(hot, "anchor", "left_semi").mapInPandas(lambda it: _split(it, length), _CONTEXT), "hot")
-    units = open_rows.join(hot, "anchor", "left_anti").unionByName(split.where(F.col("bytes").isNotNull()))
-    known = contexts.unionByName(split).where(F.col("bytes").isNull()).select("key", "start", "strings")
     covered = (
-        units.withColumn("unit", F.pmod(F.xxhash64("anchor"), F.lit(ranges)))
+        singles.join(shared, "key")
+        .mapInPandas(lambda it: _contexts(it, length, ranges), "unit long, n int, pack binary")
         .repartition(ranges, "unit").sortWithinPartitions("unit")
         .mapInPandas(lambda it: _covered(it, length), "key long, starts binary")
-        .unionByName(known.mapInPandas(_known, "key long, starts binary"))
         .groupBy("key").agg(F.collect_list("starts").alias("starts"))  # of one document
     )
     final = owned.join(covered, "key", "left").select(
