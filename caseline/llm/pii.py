@@ -25,7 +25,7 @@ EMAIL = rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Single separators between digits become this sign first, so that a run is one class of characters.
-JOINT = ""
+JOINT = "\ue000"
 CARD = rf"[0-9][0-9{JOINT}]++"
 
 CONTEXT = 40
@@ -97,7 +97,7 @@ def base_spans(body: Column) -> Column:
     def length_in(value: Column, limits: tuple[int, int]) -> Column:
         return F.length(digits_of(value)).between(*limits)
 
-    joined = F.regexp_replace(F.regexp_replace(body, JOINT, ""), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
+    joined = F.regexp_replace(F.regexp_replace(body, JOINT, "\ue001"), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
     card_ok = lambda s: F.when(length_in(s["value"], CARD_DIGITS), luhn(digits_of(s["value"]))).otherwise(False)
     found = [
         F.when(F.contains(body, F.lit("@")), spans(body, EMAIL)).otherwise(none),
@@ -108,9 +108,11 @@ def base_spans(body: Column) -> Column:
             lambda s: length_in(s["value"], PHONE_DIGITS),
         ),
     ]
-    return F.concat(
-        *[F.transform(f, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end"))) for k, f in enumerate(found)]
-    )
+
+    def of_kind(k: int) -> Column:
+        return F.transform(found[k], lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
+
+    return F.concat(*[of_kind(k) for k in range(len(KINDS))])
 
 
 def listed(found: Column, names: tuple[str, ...]) -> Column:
@@ -186,7 +188,10 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     joined = marked.select("doc_id", "th", "base").join(
         added, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left"
     )
-    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    def count(k: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
     every = F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>")))
     return joined.select(
         "doc_id",

@@ -30,9 +30,9 @@ from caseline.llm.common import whole, written
 
 LENGTH = 50
 GRAM = 16
-#: Bytes of text per range of anchor hashes, and the most ranges; each range is sorted by one task.
-RANGE_BYTES = 4 << 20
-MAX_RANGES = 200_000
+#: Bytes of text per range of anchor hashes, and the fewest and most ranges; each range is sorted by one task.
+RANGE_BYTES = 16 << 20
+MIN_RANGES, MAX_RANGES = 64, 200_000
 #: Anchors that a task gathers before it packs them by range.
 PACKED_ANCHORS = 2 << 20
 #: Bytes of contexts that a task gathers before it packs them by unit.
@@ -320,7 +320,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = False, ranges
         "copies",
     )
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    ranges = ranges or min(MAX_RANGES, max(16, -(-size // RANGE_BYTES)))
+    ranges = ranges or min(MAX_RANGES, max(MIN_RANGES, -(-size // RANGE_BYTES)))
     owned = keyed.select("key", "doc_id", "text").join(about, "key", "left")
     singles = owned.where(F.col("copy").eqNullSafe(False)).select("key", F.col("doc_id").alias("doc_order"), "text")
     # all branches read the same columns, so that the text is shuffled once and reused

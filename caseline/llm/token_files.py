@@ -21,7 +21,9 @@ from caseline.llm.common import whole, work_folder
 
 END_ID = 1
 #: Chunks that a task remembers with their ids.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
+#: Words of letters below this code point are one word to the tokenizer.
+LATIN_END = "\u0250"
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.bloom.filter.columns": "doc_id",
@@ -34,46 +36,60 @@ ORC_OPTIONS = {
 
 
 class _Encoder:
-    """Ids of texts by a tokenizer that never joins across blanks, remembering the chunks between them.
+    """Ids of texts, as bytes, by a tokenizer that never joins across blanks.
 
-    The tokenizer drops white space and splits there, so a text's ids are those of its chunks in order.
-    A chunk of letters followed by stops is two pieces; ASCII letters are looked up in lower case, as
-    the tokenizer lowers them.
+    The tokenizer drops white space and splits there, so a text's ids are those of its chunks in order,
+    and chunks are remembered. A chunk of letters followed by stops is two pieces. New words of plain
+    letters are encoded many at a time, each being one word of the tokenizer; ASCII letters are looked
+    up in lower case, as the tokenizer lowers them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
-
-    def _plain(self, piece: str) -> list[int]:
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
-
-    def _new(self, chunk: str) -> list[int]:
-        core = chunk.rstrip(".,")
-        if core != chunk and core.isalpha():
-            ids = self.chunk(core) + self.chunk(chunk[len(core) :])
-        elif core == chunk and chunk.isascii() and chunk.isalpha() and not chunk.islower():
-            ids = self.chunk(chunk.lower())
-        else:
-            ids = self._plain(chunk)
+        self.known: dict[str, bytes] = {}
+
+    def _plain(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.int32).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        for i in range(0, len(words), 2000):
+            part = words[i : i + 2000]
+            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, owner = np.array(made.ids, np.int32), np.array(made.word_ids, np.int64)
+            ends = np.searchsorted(owner, np.arange(len(part)), "right")
+            if len(owner) and owner[-1] == len(part) - 1 and (np.diff(np.r_[0, ends]) > 0).all():
+                for word, a, b in zip(part, np.r_[0, ends[:-1]].tolist(), ends.tolist()):
+                    self.known[word] = ids[a:b].tobytes()
+            else:
+                self.known.update((w, self._plain(w)) for w in part)
+
+    def _learn(self, chunks: set[str]) -> None:
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        self.known[chunk] = ids
-        return ids
-
-    def chunk(self, chunk: str) -> list[int]:
-        ids = self.known.get(chunk)
-        return self._new(chunk) if ids is None else ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, extend = self.known.get, out.extend
-        for chunk in text.replace("\n", " ").split(" "):
-            ids = known(chunk)
-            extend(self._new(chunk) if ids is None else ids)
-        return out
+        split, words = [], set()
+        for chunk in chunks:
+            if chunk in self.known:
+                continue
+            core = chunk.rstrip(".,")
+            if core.isalpha() and max(core) < LATIN_END:
+                word = core.lower() if core.isascii() else core
+                words.add(word)
+                if word != chunk:
+                    split.append((chunk, word, chunk[len(core) :]))
+            else:
+                self.known[chunk] = self._plain(chunk)
+        self._learn_words([w for w in words if w not in self.known])
+        for chunk, word, stops in split:
+            if stops not in self.known:
+                self.known[stops] = self._plain(stops)
+            self.known[chunk] = self.known[word] + self.known[stops]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        self._learn(set().union(*parts))
+        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, extra: list[str] | None = None) -> DataFrame:
@@ -82,14 +98,13 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, extra: list[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(tokenizer)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            parts = [np.array([*encoder.encode(t.as_py()), end_id], np.int32) for t in texts]
+        end = np.array([end_id], np.int32).tobytes()
+        for batch in (part for b in batches for part in (b.slice(i, 500) for i in range(0, b.num_rows, 500))):
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            parts = [x + end for x in encoder.encode(texts)]
             offsets = np.zeros(len(parts) + 1, np.int32)
-            np.cumsum([len(p) for p in parts], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32))
-            )
+            np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ["doc_id", *extra]]
             yield pa.RecordBatch.from_arrays([*columns, ids], ["doc_id", *extra, "ids"])
 
