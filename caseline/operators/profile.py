@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseline.operators.joins import join_profiles
+from caseline.operators.joins import bounded, join_profiles
 from caseline.session import cut_lineage
 
 ROW_GROWTH_MIN_PCT = 0.01
@@ -201,21 +201,23 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     sizes = placed.groupBy("variable", "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_id").alias("_start"))
     earlier = Window.partitionBy("variable").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
-    # One row per partition and column, so this broadcast is bounded by the partitioning.
-    return placed.join(F.broadcast(offsets), ["variable", "_part"]).select(
+    return placed.join(bounded(offsets), ["variable", "_part"]).select(
         "variable", "value", (F.col("_id") - F.col("_start") + F.col("_offset") + 1).alias("code")
     )
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Replace text columns by their codes; returns the table and the dictionary."""
+    """Replace text columns by their codes; returns the table and the dictionary.
+
+    A column's codes are broadcast if measuring proves them small; only larger ones shuffle the table.
+    """
     dictionary = label_codes(df, columns)
     encoded = df
     for i, c in enumerate(columns):
         codes = dictionary.where(F.col("variable") == c).select(
             F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}")
         )
-        encoded = encoded.join(codes, F.col(f"`{c}`") == F.col(f"_value{i}"), "left")
+        encoded = encoded.join(bounded(codes), F.col(f"`{c}`") == F.col(f"_value{i}"), "left")
     at = {c: i for i, c in enumerate(columns)}
     return (
         encoded.select(*[F.col(f"_code{at[c]}").alias(c) if c in at else F.col(f"`{c}`") for c in df.columns]),
@@ -247,7 +249,8 @@ def short_names(names: Sequence[str], limit: int = 32) -> list[str]:
         unique, i = name, 0
         while unique in taken or (i and unique in shortened):
             i += 1
-            unique = f"{name}_{i}"
+            suffix = f"_{i}"
+            unique = name[: limit - len(suffix)] + suffix
         taken.add(unique)
         result.append(unique)
     return result

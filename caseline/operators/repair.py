@@ -20,8 +20,6 @@ from caseline.operators.columns import map_columns
 from caseline.operators.rules import DATE_START
 
 OVERFLOW = "_overflow"
-RETRIES = 3
-MAX_TOUCHED = 150
 
 Cell = Callable[[str], Column]
 
@@ -43,12 +41,15 @@ class ShiftRules:
     """Columns that must look like a date, columns that must not, and special start rules.
 
     ``special`` gets the trimmed cells and returns ``(condition, start column, merge)`` entries,
-    tried in order before the date rules; ``merge`` is a ``Merge`` or None.
+    tried in order before the date rules; ``merge`` is a ``Merge`` or None. After the first shift a row
+    is shifted by one cell up to ``retries`` times more; a row that still breaks a rule is dropped and
+    logged as ``dropped_after_fix``.
     """
 
     dates: tuple[str, ...] = ()
     others: tuple[str, ...] = ()
     special: Callable[[Cell], Sequence[tuple[Column, str, Merge | None]]] | None = None
+    retries: int = 3
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -158,7 +159,7 @@ class _Layout:
         return shift_left(merged, found["start"], n)
 
     def fix(self, cells: Column, found: Column, n: Column) -> Column:
-        """One shift, then up to three more by one cell while a start is still found."""
+        """One shift, then up to ``retries`` more by one cell while a start is still found."""
         def again(current: Column) -> Column:
             one = F.lit(1)
             return _bind(
@@ -167,7 +168,7 @@ class _Layout:
             )
 
         fixed = self.shift(cells, found, n)
-        for _ in range(RETRIES):
+        for _ in range(self.rules.retries):
             fixed = _bind(fixed, again)
         return fixed
 
@@ -286,11 +287,14 @@ def _log(watched: DataFrame, staged: DataFrame, layout: _Layout, row_id: str | N
     )
 
 
-def check_repair(counts: dict, max_touched: int | None = MAX_TOUCHED) -> dict:
-    """Raise if the repair broke one of its limits; ``counts`` is a summary row as a dict."""
+def check_repair(counts: dict, max_share: float | None = None) -> dict:
+    """Raise if the repair broke one of its limits; ``counts`` is a summary row as a dict.
+
+    ``max_share`` is the largest share of the rows that may be touched, None for no limit.
+    """
     touched = counts["fixed"] + counts["dropped"] + counts["dropped_after_fix"]
-    if max_touched is not None and touched > max_touched:
-        raise RepairFailure(f"{touched} rows edited, limit is {max_touched}")
+    if max_share is not None and touched > max_share * counts["rows_in"]:
+        raise RepairFailure(f"{touched} of {counts['rows_in']} rows edited, limit is {max_share:.2%}")
     if counts["fixed_without_cause"]:
         raise RepairFailure(f"{counts['fixed_without_cause']} rows fixed without a violation")
     if counts["rows_in"] - counts["dropped"] - counts["dropped_after_fix"] != counts["rows_out"]:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseline.operators import repair
 from caseline.operators.rules import Watch
 from caseline.plans import final, specs, stages
 from caseline.sources import delimited, tables
@@ -40,22 +40,24 @@ def build_release(
     crosswalk: str,
     as_of: dt.date,
     manifest: str | None = None,
-    max_touched: int | None = repair.MAX_TOUCHED,
+    max_share: float | None = None,
     check_areas: bool = True,
+    excused: Sequence[str] = specs.CHECKED_GRANTS,
 ) -> Release:
     """Build one release from a folder of extracts.
 
     Each stage table is written to ``work`` and its checks enforced before anything reads it. So is
-    the final table, which is copied to ``output`` only if its rules hold.
-    ``max_touched`` is the repair limit, None for none; ``check_areas`` turns off the rules that
-    expect a crosswalk of the whole country.
+    the final table, which is written once and moves to ``output`` only if its rules hold.
+    ``max_share`` is the share of a table's rows that the repair may touch, None for no limit;
+    ``check_areas`` turns off the rules that expect a crosswalk of the whole country; a zero bond amount
+    passes for the decisions in ``excused``.
     """
     lookups = read_lookups(spark, sources)
     lines, counted, written = [], [], {}
     for name, stage in stages.all_stages(read_sources(spark, sources), lookups, as_of).items():
         path = os.path.join(work, name)
         tables.write_table(stage.table, path)
-        lines += stage.check(max_touched)
+        lines += stage.check(max_share)
         counted.append((os.path.splitext(stage.spec.file)[0], stage.repair_counts.get["rows_in"]))
         written[name] = tables.read_table(spark, path)
 
@@ -68,10 +70,10 @@ def build_release(
     areas = tables.read_crosswalk(spark, crosswalk)
     if check_areas:
         final.check_crosswalk(areas)
-    watch = Watch("final", final.final_rules())
-    checked = os.path.join(work, "final")
+    watch = Watch("final", final.final_rules(excused))
+    checked = f"{output.rstrip('/')}.unchecked"
     tables.write_table(final.build_final(written, lookups, areas, watch), checked)
     lines += watch.report()
     watch.enforce()
-    tables.write_table(tables.read_table(spark, checked), output)
+    tables.publish(spark, checked, output)
     return Release(tables.read_table(spark, output), lines, manifest_lines, final.join_report(written).first().asDict())

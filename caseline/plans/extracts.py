@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from caseline.operators.repair import OVERFLOW
 
 # Header lines; columns nobody fills are left empty.
+# Header names of the source tables.
 PROCEEDING = (
     "IDNPROCEEDING", "IDNCASE", "OSC_DATE", "INPUT_DATE", "BASE_CITY_CODE", "HEARING_LOC_CODE", "IJ_CODE", "CASE_TYPE",
     "ABSENTIA", "COMP_DATE", "DEC_CODE", "OTHER_COMP", "DEC_TYPE", "CUSTODY", "NAT", "LANG", "TRANSFER_STATUS",

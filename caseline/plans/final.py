@@ -14,6 +14,7 @@ from caseline.plans import specs
 from caseline.plans.specs import CODES, FILLED, KEYS
 from caseline.plans.stages import Lookups, court_decisions
 
+# Labels, days, case types and name parts that must equal those of the release.
 NO_APPLICATION = "No application"
 FIRST_DAY = "1997-10-01"
 CASE_TYPES = ("RMV", "WHO")
@@ -145,8 +146,11 @@ def check_crosswalk(crosswalk: DataFrame) -> list[dict]:
     return rules.enforce(report.collect())
 
 
-def final_rules() -> list[Rule]:
-    """Rules on the assembled table, before its labels are re-cased."""
+def final_rules(excused: Sequence[str] = specs.CHECKED_GRANTS) -> list[Rule]:
+    """Rules on the assembled table, before its labels are re-cased.
+
+    A zero bond amount passes for the decisions in ``excused``.
+    """
     amounts = [f"{kind}_bond_amount_{place}" for kind in ("initial", "new") for place in PLACES]
     return [
         rules.in_set("state", STATES).at(*CODES),
@@ -160,7 +164,7 @@ def final_rules() -> list[Rule]:
         *[rules.at_least(c, 0.0).at(*CODES) for c in amounts],
         *[
             rules.above(f"new_bond_amount_{place}", 0.0)
-            .when(~codes.one_of(F.col(f"bond_decision_{place}"), specs.BOND_GRANTS))
+            .when(~codes.one_of(F.col(f"bond_decision_{place}"), excused))
             .at(*CODES)
             for place in PLACES
         ],

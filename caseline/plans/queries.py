@@ -638,7 +638,7 @@ def ragged_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     names = ["ORDERKEY", "CUSTKEY", "STATUS", "PLACED", "PRIORITY", "COMPLETED", "NOTE"]
     raw = orders.select(cells.alias("cells"))
-    extra = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, 9))
+    extra = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, F.size("cells")))
     return raw.select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)], extra.alias(repair.OVERFLOW))
 
 
@@ -674,7 +674,7 @@ def address_repair(spark, folder):
         .otherwise(F.array(key, segment, *rest))
     )
     raw = table(spark, folder, "customer").select(cells.alias("cells"))
-    extra = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, 9))
+    extra = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, F.size("cells")))
     ragged = raw.select(*[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)], extra.alias(repair.OVERFLOW))
     return repair.repair_shifts(ragged, specs.CASES.shift).rows
 

@@ -16,6 +16,8 @@ from caseline.operators.repair import Cell, Merge, ShiftRules
 from caseline.operators.rules import DATE_START, DIGITS, Rule
 
 # Warning and stop shares used by many rules.
+# Fixed values throughout this module: column and file names, warn and stop levels, code lists, labels,
+# the columns of the shift rules, the kinds and the renames must equal those of the source tables.
 KEYS = (0.005, 0.01)
 CODES = (0.0001, 0.001)
 DATES = (0.001, 0.01)
@@ -241,9 +243,11 @@ BOND_DECISIONS = {
     "S": "BOND DENIED- NO CHANGE (DHS BOND AMOUNT UNCHANGED)",
     "R": "BOND GRANTED-OWN RECOGNIZANCE",
 }
+# The grants whose zero amounts the stage keeps, and those that the release check excuses.
 BOND_GRANTS = (
     "AMELIORATION GRANTED", "BOND GRANTED-AMOUNT DECREASED", "BOND GRANTED-OWN RECOGNIZANCE", "FLORES - RELEASE",
 )
+CHECKED_GRANTS = ("AMELIORATION GRANTED", "BOND GRANTED-AMOUNT DECREASED", "BOND GRANTED-OWN RECOGNIZANCE")
 
 BONDS = TableSpec(
     name="bonds",

@@ -34,9 +34,9 @@ class Stage:
     watches: list[Watch]
     clean: DataFrame
 
-    def check(self, max_touched: int | None = repair.MAX_TOUCHED) -> list[dict]:
+    def check(self, max_share: float | None = None) -> list[dict]:
         """Raise if the repair, the typing or a rule stops; return all rule lines."""
-        repair.check_repair(self.repair_counts.get, max_touched)
+        repair.check_repair(self.repair_counts.get, max_share)
         lines = [line for w in self.watches for line in w.report()]
         stopped = [c for c, kind in self.spec.kinds.items() if any(
             line["rule"] == convert.rule_name(c, kind) and line["level"] == "stop" for line in lines

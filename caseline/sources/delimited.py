@@ -24,7 +24,23 @@ def read_ragged(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"no header line in {path}")
     header = first[0][0]
     names = header.rstrip("\r").lstrip("﻿").split("\t")
-    return _cells(lines.where(F.col("value") != header), names)
+    return _cells(_without_header(lines, header), names)
+
+
+def _without_header(lines: DataFrame, header: str) -> DataFrame:
+    """All lines but the header line of each file; data lines that equal it stay.
+
+    A single file's first line is the first row of the task that reads its first block. Tasks may pack
+    several files, so for those the lines equal to a header are counted per file, and one of each file
+    goes: they are alike, so it doesn't matter which.
+    """
+    if len(lines.inputFiles()) == 1:
+        placed = lines.select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+        is_first = (F.col("_block") == 0) & (F.col("_at").bitwiseAND((1 << 33) - 1) == 0)
+        return placed.where(~is_first).select("value")
+    alike = lines.where(F.col("value") == header).groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = alike.where("_n > 1").select(F.explode(F.array_repeat(F.lit(header), (F.col("_n") - 1).cast("int"))).alias("value"))
+    return lines.where(F.col("value") != header).unionByName(kept)
 
 
 def _cells(lines: DataFrame, names: list[str]) -> DataFrame:

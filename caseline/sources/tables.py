@@ -46,6 +46,20 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def publish(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written table in the place of ``target`` by a rename in its file system.
+
+    Where renaming a folder copies it, as in object stores, this costs that copy.
+    """
+    jvm = spark._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(new):
+        files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
     """Save a by-case table bucketed on its key, so that joins on the key need no shuffle."""
     writer = df.write.mode("overwrite").format("parquet").option("compression", "zstd")

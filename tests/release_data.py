@@ -36,6 +36,7 @@ LOOKUPS = {
     "tblLookupFiling_Method_Party": (["strFilingPartyCode", "strDescription"], [["A", "ALIEN"]]),
 }
 
+# Header names of the source tables.
 PROCEEDING = [
     "IDNPROCEEDING", "IDNCASE", "OSC_DATE", "INPUT_DATE", "BASE_CITY_CODE", "HEARING_LOC_CODE", "IJ_CODE", "CASE_TYPE",
     "ABSENTIA", "COMP_DATE", "DEC_CODE", "OTHER_COMP", "DEC_TYPE", "CUSTODY", "NAT", "LANG", "TRANSFER_STATUS",

@@ -3,6 +3,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from caseline.plans.oracles import oracles
+from caseline.plans.queries import QUERIES
 from compare import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -21,6 +23,7 @@ def test_query_matches_sql(spark, con, name):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+    assert set(oracles()) == set(QUERIES)
 
 
 def test_entry(spark):

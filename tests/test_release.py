@@ -43,6 +43,7 @@ def release(spark, folder, crosswalk):
         str(folder / "cases"),
         crosswalk,
         AS_OF,
+        excused=specs.BOND_GRANTS,  # one of the bonds has a zero amount with the fourth
         manifest=str(folder / "Count.txt"),
         check_areas=False,
     )
@@ -218,7 +219,7 @@ def test_shuffle_partitions():
 
 
 def test_unchecked_result_is_not_published(spark, folder, crosswalk, monkeypatch, tmp_path):
-    monkeypatch.setattr(final, "final_rules", lambda: [rules.not_null("deported_1")])
+    monkeypatch.setattr(final, "final_rules", lambda excused: [rules.not_null("deported_1")])
     monkeypatch.setattr(stages, "all_stages", lambda *a: {})
     monkeypatch.setattr(final, "build_final", lambda written, lookups, areas, watch: watch.attach(spark.sql("select cast(null as string) deported_1")))
     with pytest.raises(RuleFailure):

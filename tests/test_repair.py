@@ -88,8 +88,8 @@ def test_shift_left_moves_the_tail(spark):
 def test_summary_and_limits(spark):
     counts = repair.repair_shifts(ragged(spark, GOOD, ["2", "Rome", None, "C", D1, "K", D2]), RULES).summary().first().asDict()
     assert repair.check_repair(counts)["fixed"] == 1
-    with pytest.raises(repair.RepairFailure, match="limit is 0"):
-        repair.check_repair(counts, max_touched=0)
+    with pytest.raises(repair.RepairFailure, match="limit is 0.00%"):
+        repair.check_repair(counts, max_share=0.0)
     with pytest.raises(repair.RepairFailure, match="without a violation"):
         repair.check_repair(counts | {"fixed_without_cause": 1})
     with pytest.raises(repair.RepairFailure, match="add up"):

@@ -96,3 +96,19 @@ def test_comparison_report(spark):
     assert "Compared 3 columns (new=3, old=4)." in text and "**2 flag(s):**" in text
     assert "- `x`: missing +33.3pp; mean +100.0%" in text and "- `id`: mean +100.0%" in text
     assert "no flags" in reports.comparison_report(new, new)
+
+
+def test_header_equal_data_lines_stay(spark, write_lines, tmp_path):
+    one = write_lines("one/table.csv", [["A", "B"], ["1", "2"], ["A", "B"], ["3", "4"]])
+    assert rows(delimited.read_ragged(spark, one), "A", "B") == [("1", "2"), ("3", "4"), ("A", "B")]
+    write_lines("two/a.csv", [["A", "B"], ["1", "2"], ["A", "B"]])
+    write_lines("two/b.csv", [["A", "B"], ["A", "B"], ["A", "B"], ["5", "6"]])
+    assert rows(delimited.read_ragged(spark, str(tmp_path / "two")), "A", "B") == [("1", "2"), ("5", "6"), *[("A", "B")] * 3]
+
+
+def test_publish_replaces_a_table(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    tables.write_table(spark.range(3), old)
+    tables.write_table(spark.range(5), new)
+    tables.publish(spark, new, old)
+    assert tables.read_table(spark, old).count() == 5
