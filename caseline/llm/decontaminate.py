@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseline.llm.common import let, whole
+from caseline.llm.common import let, whole, written
 from caseline.operators.joins import bounded
 
 NGRAM = 5
@@ -71,14 +71,17 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: in
         texts = docs.select("doc_id", F.xxhash64("text").alias("th"), whole(F.col("text")).alias("text"))
         held = texts.select("doc_id", "th", F.explode(let(tokens(F.col("text")), lambda w: grams(w, width))).alias("gram"))
         minima = bounded(part.select("key", F.explode("sketch").alias("gram")))
-        candidates = held.join(minima, "gram").select("doc_id", "th", "key").distinct()
-        picked = bounded(candidates.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct())
+        met = written(held.join(minima, "gram").select("doc_id", "th", "key").distinct(), "candidates")
+        picked = bounded(met.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct())
         again = texts.join(picked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi")
         held = again.select("doc_id", "th", F.explode(let(tokens(F.col("text")), lambda w: grams(w, width))).alias("gram"))
         every = bounded(part.select("key", "item_id", "size", F.explode("grams").alias("gram")))
-        # repeated rows (same id and text) count their n-grams once each, so divide by their number
+        # an item is verified where it met a document; repeated rows (same id and text) are one here
+        pairs = met.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("key").alias("_key"))
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")) & (F.col("key") == F.col("_key"))
         shared = (
             held.join(every, "gram")
+            .join(pairs, same, "left_semi")
             .groupBy("doc_id", "th", "key")
             .agg(F.countDistinct("gram").alias("n_shared"), F.first("item_id").alias("item_id"), F.first("size").alias("n_grams"))
             .where(F.col("n_shared") >= F.col("n_grams") * F.lit(threshold) - 1e-9)
