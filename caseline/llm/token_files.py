@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from caseline.llm.common import whole, work_folder
+from caseline.llm.common import whole, work_folder, written
 
 END_ID = 1
 #: Chunks that a task remembers with their ids.
@@ -157,7 +157,9 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         "ids",
     )
-    rows = rows.mapInArrow(_summed, "doc_id long, file string, block long, row long, n_tokens long, ids_crc32 long")
+    rows = written(
+        rows.mapInArrow(_summed, "doc_id long, file string, block long, row long, n_tokens long, ids_crc32 long"), "token-index"
+    )
     inside = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
