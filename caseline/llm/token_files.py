@@ -7,6 +7,8 @@ of all of them split by stripe.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -92,12 +94,20 @@ class _Encoder:
         return [b"".join(map(self.known.__getitem__, p)) for p in parts]
 
 
+def _encoder(path: str) -> _Encoder:
+    """The encoder of this Python worker, which later tasks reuse with the chunks that it has learned."""
+    held = sys.modules.setdefault("corpus_encoders", types.ModuleType("corpus_encoders")).__dict__
+    if path not in held:
+        held[path] = _Encoder(path)
+    return held[path]
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, extra: list[str] | None = None) -> DataFrame:
     """doc_id, the columns ``extra`` and ``ids``: the text's token ids with the end id."""
     extra = extra or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         end = np.array([end_id], np.int32).tobytes()
         for batch in (part for b in batches for part in (b.slice(i, 500) for i in range(0, b.num_rows, 500))):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
