@@ -7,9 +7,11 @@ of all of them split by stripe.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +26,9 @@ from caseline.llm.common import whole, work_folder, written
 END_ID = 1
 #: Chunks that a task remembers with their ids.
 CACHED_CHUNKS = 1_000_000
-#: Words of letters below this code point are one word to the tokenizer.
-LATIN_END = "\u0250"
+#: Lowered chunks that are cut here: visible ASCII but the apostrophe, and Latin letters; and their pieces.
+SIMPLE = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+PIECES = re.compile(r"[a-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]|[!-/:-@\[-`{-~]+")
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.bloom.filter.columns": "doc_id",
@@ -37,61 +40,52 @@ ORC_OPTIONS = {
 }
 
 
-class _Encoder:
-    """Ids of texts, as bytes, by a tokenizer that never joins across blanks.
+def _byte_letters() -> dict[int, int]:
+    """Byte-level letters: bytes with a visible Latin-1 letter stand for themselves, the others follow 255."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
 
-    The tokenizer drops white space and splits there, so a text's ids are those of its chunks in order,
-    and chunks are remembered. A chunk of letters followed by stops is two pieces. New words of plain
-    letters are encoded many at a time, each being one word of the tokenizer; ASCII letters are looked
-    up in lower case, as the tokenizer lowers them.
+
+class _Encoder(dict):
+    """Ids of chunks, as bytes, by a tokenizer that never joins across blanks; chunks are remembered.
+
+    The tokenizer drops white space and splits there, so a text's ids are those of its chunks in order.
+    It lowers a chunk and cuts it into runs of letters, single digits and runs of other signs. Chunks of
+    ASCII and Latin letters are cut here and their pieces go to the tokenizer's model alone; all other
+    chunks, and those that hold an added token or an apostrophe, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.int32).tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        for i in range(0, len(words), 2000):
-            part = words[i : i + 2000]
-            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(made.ids, np.int32), np.array(made.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(part)), "right")
-            if len(owner) and owner[-1] == len(part) - 1 and (np.diff(np.r_[0, ends]) > 0).all():
-                for word, a, b in zip(part, np.r_[0, ends[:-1]].tolist(), ends.tolist()):
-                    self.known[word] = ids[a:b].tobytes()
-            else:
-                self.known.update((w, self._plain(w)) for w in part)
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        split, words = [], set()
-        for chunk in chunks:
-            if chunk in self.known:
-                continue
-            core = chunk.rstrip(".,")
-            if core.isalpha() and max(core) < LATIN_END:
-                word = core.lower() if core.isascii() else core
-                words.add(word)
-                if word != chunk:
-                    split.append((chunk, word, chunk[len(core) :]))
-            else:
-                self.known[chunk] = self._plain(chunk)
-        self._learn_words([w for w in words if w not in self.known])
-        for chunk, word, stops in split:
-            if stops not in self.known:
-                self.known[stops] = self._plain(stops)
-            self.known[chunk] = self.known[word] + self.known[stops]
+        self.pieces = self.tokenizer.model.tokenize
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("(?i)" + "|".join(added) if added else "(?!)")
+        self.letters = _byte_letters()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return array("i", [t.id for t in self.pieces(piece)]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        low = chunk.lower()
+        if not SIMPLE.fullmatch(low) or self.added.search(chunk):
+            ids = array("i", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        elif low != chunk:
+            ids = self[low]
+        else:
+            parts = PIECES.findall(chunk)
+            ids = self._piece(chunk) if len(parts) == 1 else b"".join([self[p] for p in parts])
+        self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*parts))
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        if len(self) > CACHED_CHUNKS:
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 def _encoder(path: str) -> _Encoder:
