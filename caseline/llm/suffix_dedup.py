@@ -31,12 +31,17 @@ from caseline.llm.common import whole, written
 LENGTH = 50
 GRAM = 16
 #: Bytes of text per range of anchor hashes, and the fewest and most ranges; each range is sorted by one task.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 MIN_RANGES, MAX_RANGES = 64, 200_000
 #: Anchors that a task gathers before it packs them by range.
 PACKED_ANCHORS = 2 << 20
-#: Bytes of contexts that a task gathers before it packs them by unit.
+#: Bytes of contexts that a task gathers before it packs them by unit, and what Python holds besides per context.
 PACKED_BYTES = 32 << 20
+HELD_BYTES = 400
+#: Parts of a unit, by more bits of the anchor's hash; they are sorted one after another.
+PARTS = 16
+#: Strings whose bytes are sorted at once; a part with more is sorted in slices of the suffix order.
+SORTED_STRINGS = 400_000
 #: An anchor of more documents than this, and than a sixteenth of its range, is split.
 HOT_ROWS = 500
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -165,13 +170,13 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Pack:
-    """Contexts by unit, gathered until they are worth rows; of equal ones only the first document's goes out whole."""
+    """Contexts by part, gathered until they are worth a row per unit; of equal ones only the first document's goes out whole."""
 
     def __init__(self, units: int):
         self.units, self.best, self.known, self.rest, self.size = units, {}, [], [], 0
 
     def add(self, unit: int, key: int, order: int, start: int, strings: int, data: bytes) -> None:
-        self.size += len(data)
+        self.size += len(data) + HELD_BYTES
         old = self.best.get(data)
         if old is None or order < old[2]:
             self.best[data] = (unit, key, order, start, strings)
@@ -185,25 +190,26 @@ class _Pack:
     def rows(self) -> pd.DataFrame:
         whole = [(*v, data) for data, v in self.best.items()] + self.rest
         bodies = [x[5] for x in whole] + [b""] * len(self.known)
-        every = [x[:5] for x in whole] + [(k[1] % self.units, *k[1:]) for k in self.known]
+        every = [x[:5] for x in whole] + [(k[1] % self.units * PARTS, *k[1:]) for k in self.known]
         table = np.array(every, np.int64).reshape(-1, 5)
         full = np.r_[np.ones(len(whole), bool), np.zeros(len(self.known), bool)]
         order = np.lexsort((table[:, 3], table[:, 1], table[:, 0]))
         table, full = table[order], full[order]
-        first = np.flatnonzero(np.r_[True, table[1:, 0] != table[:-1, 0]]) if len(table) else []
+        unit = table[:, 0] // PARTS
+        first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]) if len(table) else []
         squeeze, out = zstandard.ZstdCompressor(level=1), []
         for a, b in zip(first, np.r_[first[1:], len(table)] if len(table) else []):
             part = table[a:b]
-            raw = part[:, 1:].T.tobytes() + np.packbits(full[a:b]).tobytes() + b"".join(bodies[i] for i in order[a:b])
-            out.append((int(part[0, 0]), b - a, squeeze.compress(raw)))
+            raw = part.T.tobytes() + np.packbits(full[a:b]).tobytes() + b"".join(bodies[i] for i in order[a:b])
+            out.append((int(unit[a]), b - a, squeeze.compress(raw)))
         self.__init__(self.units)
         return pd.DataFrame(out, columns=["unit", "n", "pack"])
 
 
 def _unpacked(n: int, pack: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     raw = zstandard.ZstdDecompressor().decompress(pack)
-    flags = np.unpackbits(np.frombuffer(raw, np.uint8, -(-n // 8), 32 * n), count=n).astype(bool)
-    return np.frombuffer(raw, np.int64, 4 * n).reshape(4, n), flags, raw[32 * n + -(-n // 8) :]
+    flags = np.unpackbits(np.frombuffer(raw, np.uint8, -(-n // 8), 40 * n), count=n).astype(bool)
+    return np.frombuffer(raw, np.int64, 5 * n).reshape(5, n), flags, raw[40 * n + -(-n // 8) :]
 
 
 def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Iterator[pd.DataFrame]:
@@ -217,12 +223,12 @@ def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Itera
             low = h.astype(np.uint32)
             held = np.isin(low, np.frombuffer(b"".join(shared), np.uint32))
             single = np.isin(low[held], np.frombuffer(b"".join(hot), np.uint32))
-            home = (_mixed(h[held]) % np.uint64(units)).astype(np.int64)
+            home = (_mixed(h[held]) % np.uint64(units * PARTS)).astype(np.int64)
             for unit, lo, hi, split in zip(home.tolist(), first[held].tolist(), last[held].tolist(), single.tolist()):
                 if split:
                     for at in range(lo, hi + 1):
                         string = data[at : at + length]
-                        pack.add(xxhash.xxh64_intdigest(string) % units, key, order, at, 1, string)
+                        pack.add(xxhash.xxh64_intdigest(string) % (units * PARTS), key, order, at, 1, string)
                 else:
                     pack.add(unit, key, order, lo, hi - lo + 1, data[lo : hi + length])
             if pack.size > PACKED_BYTES:
@@ -231,28 +237,65 @@ def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Itera
 
 
 def _covered(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Suffix order of the strings of each unit; those with an earlier document among equals are covered."""
+    """Suffix order of the strings of each unit, part by part; those with an earlier document among equals are covered."""
     for g in _runs(batches, "unit"):
-        parts = [_unpacked(n, pack) for n, pack in zip(g["n"], g["pack"])]
-        table, full = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
-        yield from _by_document(*_each(table[0][~full], table[2][~full], table[3][~full]))
-        table = table[:, full]
-        if not table.shape[1]:
-            continue
-        keys, starts = _each(table[0], table[2], table[3])
-        docs, _ = _each(table[1], table[2], table[3])
-        data = b"".join(p[2] for p in parts)
-        sizes = table[3] + length - 1
-        at, _ = _each(np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.int64), table[3], walk=True)
-        suffixes = np.ndarray((len(data) - length + 1,), f"S{length}", data, strides=(1,))[at]
+        packs = [_unpacked(n, pack) for n, pack in zip(g["n"], g["pack"])]
+        # what lost to an equal context within its pack is covered as it stands
+        runs = [table[[1, 3, 4]][:, ~full] for table, full, _ in packs]
+        places = [np.r_[0, np.cumsum(np.where(full, table[4] + length - 1, 0))] for table, full, _ in packs]
+        for part in np.unique(np.concatenate([table[0][full] for table, full, _ in packs])):
+            tables, bodies = [], []
+            for (table, full, data), at in zip(packs, places):
+                a, b = np.searchsorted(table[0], [part, part + 1])
+                tables.append(table[1:, a:b][:, full[a:b]])
+                bodies.append(data[at[a] : at[b]])
+            runs.append(_hits(np.concatenate(tables, axis=1), b"".join(bodies), length))
+        yield from _by_document(np.concatenate(runs, axis=1))
+
+
+def _hits(table: np.ndarray, data: bytes, length: int) -> np.ndarray:
+    """Runs (key, first, number) of covered starts among contexts (key, order, start, strings) and their bytes."""
+    keys, starts = _each(table[0], table[2], table[3])
+    docs, _ = _each(table[1], table[2], table[3])
+    sizes = table[3] + length - 1
+    at, _ = _each(np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.int64), table[3], walk=True)
+    hits = []
+    for part in _slices(data, at):
+        suffixes = np.ndarray((len(data) - length + 1,), f"S{length}", data, strides=(1,))[at[part]]
         order = np.argsort(suffixes, kind="stable")
-        ranked, docs = suffixes[order], docs[order]
+        ranked, ranked_docs = suffixes[order], docs[part][order]
         # longest common prefixes of neighbours reach the length exactly where the strings are equal; in
         # a run of them the smallest document is the closest smaller one of all others
         new = np.r_[True, ranked[1:] != ranked[:-1]]
-        least = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
-        hit = order[docs > least]
-        yield from _by_document(keys[hit], starts[hit])
+        least = np.minimum.reduceat(ranked_docs, np.flatnonzero(new))[np.cumsum(new) - 1]
+        hits.append(part[order[ranked_docs > least]])
+    hit = np.concatenate(hits)
+    if not len(hit):
+        return np.empty((3, 0), np.int64)
+    keys, starts = keys[hit], starts[hit]
+    by = np.lexsort((starts, keys))
+    keys, starts = keys[by], starts[by]
+    run = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (starts[1:] != starts[:-1] + 1)])
+    return np.stack([keys[run], starts[run], np.diff(np.r_[run, len(keys)])])
+
+
+def _slices(data: bytes, at: np.ndarray) -> Iterator[np.ndarray]:
+    """Strings at ``at`` as consecutive slices of their order, cut where the first eight bytes change."""
+    if len(at) <= SORTED_STRINGS:
+        yield np.arange(len(at))
+        return
+    lead = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))[at].astype(np.uint64)
+    order = np.argsort(lead, kind="stable")
+    lead = lead[order]
+    new = np.flatnonzero(np.r_[True, lead[1:] != lead[:-1]])
+    start = 0
+    while start < len(at):
+        cut = np.searchsorted(new, start + SORTED_STRINGS, "right") - 1
+        end = int(new[cut]) if start + SORTED_STRINGS < len(at) else len(at)
+        if end <= start:  # one head alone fills the slice
+            end = int(new[cut + 1]) if cut + 1 < len(new) else len(at)
+        yield order[start:end]
+        start = end
 
 
 def _each(values: np.ndarray, starts: np.ndarray, strings: np.ndarray, walk: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -261,18 +304,15 @@ def _each(values: np.ndarray, starts: np.ndarray, strings: np.ndarray, walk: boo
     return np.repeat(values, strings) + (offset if walk else 0), np.repeat(starts, strings) + offset
 
 
-def _by_document(keys: np.ndarray, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+def _by_document(runs: np.ndarray) -> Iterator[pd.DataFrame]:
     """Covered starts per document, as runs of (first, number)."""
-    if not len(keys):
+    if not runs.shape[1]:
         return
-    by = np.lexsort((starts, keys))
-    keys, starts = keys[by], starts[by]
-    run = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (starts[1:] != starts[:-1] + 1)])
-    runs = np.stack([starts[run], np.diff(np.r_[run, len(keys)])], axis=1).astype(np.uint32)
-    keys = keys[run]
+    runs = runs[:, np.lexsort((runs[1], runs[0]))]
+    keys, spans = runs[0], runs[1:].T.astype(np.uint32)
     a = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     b = np.r_[a[1:], len(keys)]
-    yield pd.DataFrame({"key": keys[a], "starts": [runs[x:y].tobytes() for x, y in zip(a, b)]})
+    yield pd.DataFrame({"key": keys[a], "starts": [spans[x:y].tobytes() for x, y in zip(a, b)]})
 
 
 def _removed(batches: Iterator[pd.DataFrame], length: int, keep_text: bool) -> Iterator[pd.DataFrame]:

@@ -111,6 +111,18 @@ def test_suffix_dedup_splits_hot_anchors(docs, monkeypatch):
     assert result(suffix_dedup.dedup(docs, ranges=200), "doc_id", "n_removed", "n_spans", "kept_sha256") == plain
 
 
+def test_suffix_dedup_sorts_in_slices(docs, monkeypatch):
+    plain = result(suffix_dedup.dedup(docs), "doc_id", "n_removed", "n_spans", "kept_sha256")
+    monkeypatch.setattr(suffix_dedup, "SORTED_STRINGS", 3)
+    data, rng = PROSE.encode() * 3 + b"x" * 200, np.random.default_rng(1)
+    at = rng.integers(0, len(data) - 50, 400)
+    parts = list(suffix_dedup._slices(data, at))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(400))
+    heads = [{data[at[i] : at[i] + 8] for i in p} for p in parts]
+    assert all(max(a) < min(b) for a, b in zip(heads, heads[1:]))
+    assert result(suffix_dedup.dedup(docs, ranges=1), "doc_id", "n_removed", "n_spans", "kept_sha256") == plain
+
+
 def jaccard_classes(rows, threshold=0.8):
     cache = ngram_join._Words()
     sets = [set(ngram_join.shingles(t or "", 5, cache).tolist()) for _, t in rows]
@@ -202,6 +214,8 @@ def test_token_files(docs, spark):
 def test_encoder_equals_tokenizer_on_odd_texts():
     encoder = token_files._Encoder(tokenizer_path())
     odd = ["É'est İstanbul ΣΑΣ. áb 'tis don't..., ,., x<|endoftext|>y a1b2 \t\x0b\x85 z", "K K ½ ²", "日本語。", "a.b.c... ...", "\x00 a\x00b"]
+    odd += ["Épaelle%%% ÄBERTZ$$$ naïve×3 ǅungla ß» (304) a_b-c~^`", "<|ENDOFTEXT|>", "ſt İ ŉ ĳ ﬁ e\u0301a", "".join(map(chr, range(33, 0x260)))]
+    odd += [f"a{chr(c)}b" for c in range(0x260)]
     for text, got in zip(odd, encoder.encode(odd)):
         assert np.frombuffer(got, np.int32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
