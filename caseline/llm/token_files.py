@@ -29,6 +29,8 @@ CACHED_CHUNKS = 1_000_000
 #: Lowered chunks that are cut here: visible ASCII but the apostrophe, and Latin letters; and their pieces.
 SIMPLE = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 PIECES = re.compile(r"[a-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]|[!-/:-@\[-`{-~]+")
+#: Characters of a text that part the ranges of a repeated id.
+HEAD = 64
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.bloom.filter.columns": "doc_id",
@@ -121,9 +123,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     """Write doc_id and ids as ORC in ascending doc_id order; null ids come first.
 
     Null and empty texts are the end id alone. Repeated ids are kept, ordered by text. The files of the
-    folder, by the smallest id and then by name, hold the ids in order.
+    folder, by the smallest id and then by name, hold the ids in order. The ranges come from a sample of
+    ids and of heads of texts, so that no whole text goes to the driver.
     """
-    ranged = docs.select("doc_id", whole(F.col("text")).alias("text")).orderBy("doc_id", "text")
+    body = docs.select("doc_id", whole(F.col("text")).alias("text"))
+    ranged = body.repartitionByRange("doc_id", F.substring("text", 1, HEAD)).sortWithinPartitions("doc_id", "text")
     encoded(ranged, tokenizer, end_id).write.options(**ORC_OPTIONS).orc(folder)
     return folder
 
