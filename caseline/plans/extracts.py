@@ -91,7 +91,7 @@ def proceedings(spark: SparkSession, folder: str) -> DataFrame:
         "COMP_DATE": F.when(done, _stamp("o_orderdate", 30)),
         "DEC_CODE": F.when(done, _pick(priority, p1="R", p2="D")),
         "OTHER_COMP": F.when(done, _pick(priority, p3="A")),
-        "NAT": F.lit("N1"),
+        "NAT": F.concat(F.lit("N"), (F.col("o_custkey") % 25).cast("string")),
         "DEPORTED_1": _pick(priority, p2="N2"),
         "AGGRAVATE_FELON": F.lit("0"),
     }
@@ -112,9 +112,9 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
         "Sex": F.when(balance < 5000, "F").otherwise("M"),
         "C_BIRTHDATE": F.concat(F.lit("1/"), (F.col("c_nationkey") + 1950).cast("string")),
         "C_ASY_TYPE": _pick(segment, sA="I", sB="E", sF="J"),
-        "CASE_TYPE": F.lit("RMV"),
+        "CASE_TYPE": F.when(balance < 9000, "RMV").otherwise("WHO"),
         "LPR": F.lit("0"),
-        "CASEPRIORITY_CODE": F.lit("D1"),
+        "CASEPRIORITY_CODE": F.when(balance < 5000, "D1").otherwise("D2"),
         "E_28_DATE": F.when(balance > 1000, F.lit("2001-02-03 00:00:00.000")),
         "DATE_OF_ENTRY": F.lit("1999-01-01 00:00:00.000"),
         "DETENTION_FACILITY_TYPE": F.lit("P"),
@@ -128,7 +128,7 @@ def custody(spark: SparkSession, folder: str) -> DataFrame:
     cells = {
         "IDNCUSTODY": F.col("event_id"),
         "IDNCASE": F.col("user_id"),
-        "CUSTODY": F.lit("D"),
+        "CUSTODY": F.when(kind == "error", "R").otherwise("D"),
         "DATDETAINED": F.when(kind != "error", _stamp("ts")),
         "DATRELEASED": F.when(kind == "click", _stamp("ts", 5)),
     }
@@ -208,7 +208,10 @@ def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Code tables made of the codes that occur in the tables."""
+    """Code tables made of the codes that occur in the tables.
+
+    Every key comes from a column: a constant one would fold into the join condition and leave no equality.
+    """
     orders = _table(spark, folder, "orders").select("o_orderpriority").distinct()
     segments = _table(spark, folder, "customer").select("c_mktsegment").distinct()
     nation = _table(spark, folder, "nation")
@@ -219,16 +222,21 @@ def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         return source.select(code.alias(key), label.alias(value)).distinct()
 
     digit, three, two = (F.substring("o_orderpriority", *x) for x in ((1, 1), (3, 3), (3, 2)))
-    plain = codes("str_code", F.lit("RMV"), "str_description", F.lit("REMOVAL"), letters)
+    flag = F.col("l_returnflag")
+
+    def by_flag(a: str, n: str, r: str) -> Column:
+        return F.when(flag == "A", a).when(flag == "N", n).otherwise(r)
+
+    plain = codes("str_code", by_flag("RMV", "WHO", "CFR"), "str_description", by_flag("REMOVAL", "WITHHOLDING", "CREDIBLE FEAR"), letters)
     decisions = orders.select(
-        F.lit("RMV").alias("str_case_type"),
+        F.when(digit == "5", "WHO").otherwise("RMV").alias("str_case_type"),
         F.when(digit == "3", "O").otherwise("C").alias("str_dec_type"),
         _pick(F.col("o_orderpriority"), p1="R", p2="D", p3="A").alias("str_dec_code"),
         F.concat(word, F.lit(" OUTCOME")).alias("str_dec_description"),
-    ).where(digit.isin("1", "2", "3", "4"))
+    )
     return {
         "tblLanguage": codes("str_code", F.substring("c_mktsegment", 1, 3), "str_description", F.col("c_mktsegment"), segments),
-        "tblLookup_CasePriority": codes("str_code", F.lit("D1"), "str_description", F.lit("DETAINED"), letters),
+        "tblLookup_CasePriority": codes("str_code", by_flag("D1", "D2", "D3"), "str_description", by_flag("DETAINED", "RELEASED", "NEVER DETAINED"), letters),
         "tblLookupAlienNat": codes("str_code", F.concat(F.lit("N"), "n_nationkey"), "str_description", F.col("n_name"), nation),
         "tbllookupAppealType": codes("str_appl_code", digit, "str_appl_description", F.concat(word, F.lit(" to bia"))),
         "tblLookupBaseCity": codes("base_city_code", three, "base_city", F.concat(word, F.lit(" TOWN"))),
@@ -240,9 +248,9 @@ def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "tblLookupCaseType": plain,
         "tblLookupSex": codes("strcode", F.when(F.col("l_returnflag") == "A", "F").otherwise("M"), "str_description", F.when(F.col("l_returnflag") == "A", "FEMALE").otherwise("MALE"), letters.where("l_returnflag != 'N'")),
         "tblLookupCourtDecision": decisions,
-        "tblLookupCourtAppDecisions": codes("str_court_appln_dec_code", F.col("l_returnflag"), "str_court_appln_dec_desc", F.lit("DENY"), letters),
-        "tblLookUp_Appln": codes("strcode", F.lit("ASYL"), "description", F.lit("ASYLUM"), letters),
-        "tblLookupCustodyStatus": codes("str_code", F.lit("D"), "str_description", F.lit("DETAINED"), letters),
+        "tblLookupCourtAppDecisions": codes("str_court_appln_dec_code", F.col("l_returnflag"), "str_court_appln_dec_desc", by_flag("DENY", "FULL GRANT", "WITHDRAWN"), letters),
+        "tblLookUp_Appln": codes("strcode", by_flag("ASYL", "ASYW", "WCAT"), "description", by_flag("ASYLUM", "WITHHOLDING", "TORTURE"), letters),
+        "tblLookupCustodyStatus": codes("str_code", by_flag("D", "N", "R"), "str_description", by_flag("DETAINED", "NEVER", "RELEASED"), letters),
         "tblLookupFiling_Method": codes("str_filing_method_code", F.col("l_returnflag"), "str_description", F.lit("W"), letters),
         "tblLookupFiling_Method_Party": codes("str_filing_party_code", F.col("l_returnflag"), "str_description", F.lit("A"), letters),
     }

@@ -279,10 +279,12 @@ def _case_labels(cases: DataFrame) -> DataFrame:
         *CUSTODY_LABELS.values(), *CLAIM_LABELS.values(),
     ]
     table = F.create_map(*[c for label in dict.fromkeys(known) for c in (F.lit(label), text.label_literal(label))])
-    return columns.map_columns(
-        cases,
-        lambda f: f.dataType.simpleString() == "string" and f.name not in done and _is_label(f.name),
-        lambda c: F.coalesce(F.try_element_at(table, c), text.label_case(c)),
+    names = [f.name for f in cases.schema if f.dataType.simpleString() == "string" and f.name not in done and _is_label(f.name)]
+    # one expression over all labels, so that the slow way stands in the plan once
+    cased = F.transform(F.array(*names), lambda c: F.coalesce(F.try_element_at(table, c), text.label_case(c)))
+    at = {c: i for i, c in enumerate(names)}
+    return cases.withColumn("_cased", cased).select(
+        *[F.get("_cased", F.lit(at[c])).alias(c) if c in at else F.col(c) for c in cases.columns]
     )
 
 

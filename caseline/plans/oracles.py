@@ -542,7 +542,7 @@ _STAGES["cases"] = r"""
          CASE substr(c_mktsegment, 1, 1) WHEN 'A' THEN 'N' WHEN 'B' THEN 'R' WHEN 'F' THEN 'D' END AS custody_code,
          CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'M' END AS sex_code,
          CASE substr(c_mktsegment, 1, 1) WHEN 'A' THEN 'I' WHEN 'B' THEN 'E' WHEN 'F' THEN 'J' END AS asylum_claim_type_code,
-         'D1' AS case_priority_code, CASE WHEN c_acctbal > 1000 THEN DATE '2001-02-03' END AS e28_date,
+         CASE WHEN c_acctbal < 5000 THEN 'D1' ELSE 'D2' END AS case_priority_code, CASE WHEN c_acctbal > 1000 THEN DATE '2001-02-03' END AS e28_date,
          DATE '1999-01-01' AS entry_date, CAST(c_nationkey + 1950 AS INTEGER) AS birth_year, c_acctbal > 1000 AS represented
   FROM customer"""
 
@@ -615,23 +615,67 @@ for _name, _sql in _STAGES.items():
     _ORACLES[f"stage_{_name}"] = _sql
 
 _ORACLES["court_decision_lookups"] = """
-SELECT DISTINCT CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'O' ELSE 'C' END AS kind, 'RMV' AS case_type_code,
+SELECT DISTINCT CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'O' ELSE 'C' END AS kind,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'WHO' ELSE 'RMV' END AS case_type_code,
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'R' WHEN '2' THEN 'D' WHEN '3' THEN 'A' END AS code,
        substr(o_orderpriority, 3) || ' OUTCOME' AS label
-FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2', '3', '4')"""
+FROM orders"""
 
 
 def _cased(x: str) -> str:
     return _caps(_title(x))
 
 
+_HELD = "WHEN 'N' THEN 'Never Detained' WHEN 'R' THEN 'Released' WHEN 'D' THEN 'Detained Throughout'"
+# Code columns that one of the order priorities names: the column and the part of the priority it holds.
+_WORD_JOINS = [
+    ("first_court_code", "three"), ("final_court_code", "three"), ("first_hearing_location_code", "digit"),
+    ("last_hearing_location_code", "digit"), ("first_judge_code", "two"), ("last_judge_code", "two"),
+    *[(f"{c}_{p}", key) for p in ("first", "second", "last")
+      for c, key in (("bond_court_code", "three"), ("hearing_location_code", "digit"), ("bond_judge_code", "two"))],
+]
+_WORD_OF = {code: f"w{i}" for i, (code, _) in enumerate(_WORD_JOINS)}
+# Code column, its output names and what the priority says there.
+_END_WORDS = [
+    ("first_court_code", "court_code_first", "court_first", "town"), ("final_court_code", "court_code_last", "court_last", "town"),
+    ("first_hearing_location_code", "hearing_location_code_first", "hearing_location_first", "hall"),
+    ("last_hearing_location_code", "hearing_location_code_last", "hearing_location_last", "hall"),
+    ("first_judge_code", "judge_code_first", "judge_first", "judge"), ("last_judge_code", "judge_code_last", "judge_last", "judge"),
+]
+_DATED = {"ij_completion_date_last": "final_completion_date", "ij_or_bia_completion_date_last": "ended"}
+_SPANS = [
+    *[("nta_date", b) for b in (*_DATED, *(f"bond_completion_date_{p}" for p in ("first", "second", "last")))],
+    ("appeal_filed_date", "bia_decision_date"),
+    *[(f"bond_hearing_request_date_{p}", f"bond_completion_date_{p}") for p in ("first", "second", "last")],
+]
+
+
+def _ends_of(code: str, code_name: str, name: str, part: str) -> str:
+    return f"{code} AS {code_name}, {_WORD_OF[code]}.{part} AS {name}"
+
+
+def _bond(p: str) -> str:
+    """Columns of one bond hearing; a zero amount stays for granted bonds and one kind of release."""
+    kept = f"new_bond_amount_{p} <> 0 OR bond_decision_{p} LIKE '%GRANTED%' OR bond_decision_{p} = 'FLORES - RELEASE'"
+    return ", ".join([
+        _ends_of(f"bond_court_code_{p}", f"bond_court_code_{p}", f"bond_court_{p}", "town"),
+        _ends_of(f"hearing_location_code_{p}", f"bond_hearing_location_code_{p}", f"bond_hearing_location_{p}", "hall"),
+        _ends_of(f"bond_judge_code_{p}", f"bond_judge_code_{p}", f"bond_judge_{p}", "judge"),
+        f"bond_hearing_request_date_{p}, bond_completion_date_{p}, {_cased(f'bond_decision_{p}')} AS bond_decision_{p}",
+        f"initial_bond_amount_{p}, CASE WHEN {kept} THEN new_bond_amount_{p} END AS new_bond_amount_{p}",
+    ])
+
+
 # A decision of R or D has its own outcome, A the other completion's; without any code the entry
 # without a code applies.
 _RELEASE = f"""
 WITH {", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _STAGES.items())},
 areas AS (SELECT substr(lpad(CAST(s_suppkey AS VARCHAR), 5, '0'), 1, 5) AS zcta, min(s_nationkey) AS n FROM supplier GROUP BY 1),
-word AS (SELECT DISTINCT o_orderpriority AS p, substr(o_orderpriority, 1, 1) AS digit, substr(o_orderpriority, 3, 3) AS three,
-                substr(o_orderpriority, 3, 2) AS two, substr(o_orderpriority, 3) AS name FROM orders),
+words AS (SELECT DISTINCT o_orderpriority AS p, substr(o_orderpriority, 1, 1) AS digit, substr(o_orderpriority, 3, 3) AS three,
+                substr(o_orderpriority, 3, 2) AS two, substr(o_orderpriority, 3) AS raw FROM orders),
+word AS MATERIALIZED (SELECT *, {_cased('raw')} AS name, {_cased("raw || ' TOWN'")} || ' (' || three || ')' AS town,
+                {_cased("raw || ' to bia'")} AS appeal, raw || ', J.' AS judge,
+                CASE WHEN digit NOT IN ('4', '5') THEN {_cased('raw')} END AS hall FROM words),
 j AS MATERIALIZED (
   SELECT p.*, k.* EXCLUDE (idncase), a.* EXCLUDE (idncase), b.* EXCLUDE (idncase), x.* EXCLUDE (idncase), c.* EXCLUDE (idncase),
          h.* EXCLUDE (idncase), areas.n AS area,
@@ -639,39 +683,36 @@ j AS MATERIALIZED (
   FROM proceedings p JOIN cases k USING (idncase) LEFT JOIN custody h USING (idncase) LEFT JOIN appeals a USING (idncase)
        LEFT JOIN applications x USING (idncase) LEFT JOIN bonds b USING (idncase) LEFT JOIN charges c USING (idncase)
        LEFT JOIN areas ON alien_zipcode = zcta)
-SELECT idncase, CASE WHEN case_type_code = 'RMV' THEN 'Removal' END AS case_type,
-       CASE sex_code WHEN 'F' THEN 'Female' ELSE 'Male' END AS sex, birth_year, {_cased("n_name")} AS nationality,
-       {_cased("segment")} AS language, CASE WHEN area IS NOT NULL THEN 'CA' END AS state, 'County ' || area AS county,
-       CASE WHEN area > 10 THEN lpad(CAST(area AS VARCHAR), 7, '0') END AS place_fips_code, nta_date, charge_section_1, charge_section_4,
-       {_cased("fc.name || ' TOWN'")} || ' (' || first_court_code || ')' AS court_first,
-       {_cased("lc.name || ' TOWN'")} || ' (' || final_court_code || ')' AS court_last,
-       CASE WHEN last_hearing_location_code NOT IN ('4', '5') THEN {_cased("hl.name")} END AS hearing_location_last,
-       jl.name || ', J.' AS judge_last, represented, in_absentia, final_completion_date AS ij_completion_date_last,
-       ended AS ij_or_bia_completion_date_last,
-       CASE custody_code WHEN 'N' THEN 'Never Detained' WHEN 'R' THEN 'Released' WHEN 'D' THEN 'Detained Throughout' END AS custody,
-       detention_start_1, detention_end_4,
-       {_cased("bond_decision_first")} AS bond_decision_first, {_cased("bond_decision_second")} AS bond_decision_second,
-       {_cased("bond_decision_last")} AS bond_decision_last,
-       CASE WHEN new_bond_amount_first <> 0 OR bond_decision_first LIKE '%GRANTED%' OR bond_decision_first = 'FLORES - RELEASE'
-            THEN new_bond_amount_first END AS new_bond_amount_first,
-       CASE WHEN new_bond_amount_last <> 0 OR bond_decision_last LIKE '%GRANTED%' OR bond_decision_last = 'FLORES - RELEASE'
-            THEN new_bond_amount_last END AS new_bond_amount_last,
+SELECT idncase, case_type_code, CASE case_type_code WHEN 'RMV' THEN 'Removal' WHEN 'WHO' THEN 'Withholding' END AS case_type,
+       case_priority_code, CASE case_priority_code WHEN 'D1' THEN 'Detained' WHEN 'D2' THEN 'Released' END AS case_priority,
+       sex_code, CASE sex_code WHEN 'F' THEN 'Female' ELSE 'Male' END AS sex, birth_year, nat AS nationality_code,
+       {_cased("n_name")} AS nationality, lang AS language_code, {_cased("segment")} AS language,
+       CASE WHEN area IS NOT NULL THEN 'CA' END AS state, CASE WHEN area IS NOT NULL THEN '06' END AS state_fips_code,
+       'County ' || area AS county, lpad(CAST(area AS VARCHAR), 5, '0') AS county_fips_code,
+       CASE WHEN area > 10 THEN 'place ' || area END AS place, CASE WHEN area > 10 THEN lpad(CAST(area AS VARCHAR), 7, '0') END AS place_fips_code,
+       entry_date, nta_date, charge_section_1, charge_section_2, charge_section_3, charge_section_4,
+       {", ".join(_ends_of(*x) for x in _END_WORDS)},
+       deported_1_code, CASE WHEN deported_1_code IS NOT NULL THEN (SELECT {_cased("n_name")} FROM nation WHERE n_nationkey = 2) END AS deported_1,
+       deported_2_code, CAST(NULL AS VARCHAR) AS deported_2, e28_date, represented, in_absentia,
+       final_completion_date AS ij_completion_date_last, ended AS ij_or_bia_completion_date_last,
+       custody_code, CASE custody_code {_HELD} END AS custody,
+       {", ".join(f"detention_{e}_{i}" for i in range(1, 5) for e in ("start", "end"))},
+       {", ".join(_bond(p) for p in ("first", "second", "last"))},
+       asylum_claim_type_code,
        CASE asylum_claim_type_code WHEN 'I' THEN 'Affirmative' WHEN 'E' THEN 'Defensive' WHEN 'J' THEN 'J' END AS asylum_claim_type,
-       {_cased("coalesce(asylum_decision_last, 'No application')")} AS asylum_decision_last,
-       {_cased("coalesce(cat_decision_last, 'No application')")} AS cat_decision_last,
+       {", ".join(f"CASE {n}_decision_last WHEN 'DENY' THEN 'Deny' WHEN 'FULL GRANT' THEN 'Full Grant' WHEN 'WITHDRAWN' THEN 'Withdrawn' WHEN 'Q' THEN 'Q' ELSE 'No Application' END AS {n}_decision_last" for n, _ in _APPLICATION_COLUMNS)},
        CASE WHEN case_type_code <> 'RMV' THEN NULL WHEN dec_code = 'R' THEN 'Urgent Outcome' WHEN dec_code = 'D' THEN 'High Outcome'
             WHEN dec_code IS NULL THEN 'Not Specified Outcome' END AS case_outcome,
-       {_cased("ap.name || ' to bia'")} AS appeal_type, appeal_filed_date,
-       CASE custody_at_appeal_code WHEN 'N' THEN 'Never Detained' WHEN 'R' THEN 'Released' WHEN 'D' THEN 'Detained Throughout' END AS custody_at_appeal,
-       {_cased("bd.name")} AS bia_decision,
-       CAST(final_completion_date - nta_date AS DOUBLE) AS nta_date_to_ij_completion_date_last_days,
-       CAST(bia_decision_date - appeal_filed_date AS DOUBLE) AS appeal_filed_date_to_bia_decision_date_days,
-       CAST(bond_completion_date_last - bond_hearing_request_date_last AS DOUBLE) AS bond_hearing_request_date_last_to_bond_completion_date_last_days
+       j.appeal_type AS appeal_type_code, ap.appeal AS appeal_type, appeal_filed_by_code,
+       CASE WHEN appeal_filed_by_code = 'A' THEN 'Filed' END AS appeal_filed_by, appeal_filed_date, e27_date,
+       custody_at_appeal_code, CASE custody_at_appeal_code {_HELD} END AS custody_at_appeal,
+       j.bia_decision AS bia_decision_code, bd.name AS bia_decision, bia_decision_type_code, CAST(NULL AS VARCHAR) AS bia_decision_type,
+       bia_decision_date,
+       {", ".join(f"CAST({_DATED.get(b, b)} - {a} AS DOUBLE) AS {a}_to_{b}_days" for a, b in _SPANS)}
 FROM j LEFT JOIN nation ON nat = 'N' || n_nationkey
      LEFT JOIN (SELECT DISTINCT c_mktsegment AS segment FROM customer) AS s ON lang = substr(segment, 1, 3)
-     LEFT JOIN word fc ON first_court_code = fc.three LEFT JOIN word lc ON final_court_code = lc.three
-     LEFT JOIN word hl ON last_hearing_location_code = hl.digit LEFT JOIN word jl ON last_judge_code = jl.two
      LEFT JOIN word ap ON j.appeal_type = ap.digit LEFT JOIN word bd ON j.bia_decision = bd.three
+     {" ".join(f"LEFT JOIN word w{i} ON {code} = w{i}.{key}" for i, (code, key) in enumerate(_WORD_JOINS))}
 WHERE nta_date >= DATE '1997-10-01' AND case_type_code IN ('RMV', 'WHO')"""
 
 _ORACLES["release_table"] = _RELEASE

@@ -744,18 +744,8 @@ def court_decision_lookups(spark, folder):
 
 @query
 def release_table(spark, folder):
-    """All stages and the final join over whole tables: one row per case, main columns."""
+    """All stages and the final join over whole tables: one row per case, every column of the release."""
     lookups = extracts.lookups(spark, folder)
     built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
     cases = final.build_final({n: s.table for n, s in built.items()}, lookups, extracts.crosswalk(spark, folder))
-    return cases.select(
-        "idncase", "case_type", "sex", "birth_year", "nationality", "language", "state", "county", "place_fips_code",
-        "nta_date", "charge_section_1", "charge_section_4", "court_first", "court_last", "hearing_location_last",
-        "judge_last", "represented", "in_absentia", "ij_completion_date_last", "ij_or_bia_completion_date_last",
-        "custody", "detention_start_1", "detention_end_4", "bond_decision_first", "bond_decision_second",
-        "bond_decision_last", "new_bond_amount_first", "new_bond_amount_last", "asylum_claim_type",
-        "asylum_decision_last", "cat_decision_last", "case_outcome", "appeal_type", "appeal_filed_date",
-        "custody_at_appeal", "bia_decision", "nta_date_to_ij_completion_date_last_days",
-        "appeal_filed_date_to_bia_decision_date_days",
-        "bond_hearing_request_date_last_to_bond_completion_date_last_days",
-    )
+    return cases.select(*final.column_order())
