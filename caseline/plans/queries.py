@@ -210,7 +210,8 @@ def nullsafe_decode(spark, folder):
 def inner_join_drop_report(spark, folder):
     """JN-2: customers kept and dropped by joining those with finished orders."""
     customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
-    finished = table(spark, folder, "orders").where("o_orderstatus = 'F'")
+    customer_if_done = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))
+    finished = table(spark, folder, "orders").withColumn("o_custkey", customer_if_done)
     by_case = collapse.collapse_ends(finished, ["o_custkey"], ["o_orderdate", "o_orderkey"], last={"last_price": "o_totalprice"})
     return joins.inner_join_report(customer, by_case.withColumnRenamed("o_custkey", "custkey"), "custkey")
 
@@ -349,8 +350,9 @@ def conditional_null(spark, folder):
 @query
 def later_date(spark, folder):
     """SC-12: the later of order and last shipping day when both are known."""
-    lines = table(spark, folder, "lineitem").where("l_linestatus = 'F'")
-    shipped = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("shipped"))
+    done = F.when(F.col("l_linestatus") == "F", F.col("l_shipdate"))
+    lines = table(spark, folder, "lineitem")
+    shipped = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max(done).alias("shipped"))
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("placed")
     )

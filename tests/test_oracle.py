@@ -21,6 +21,12 @@ def test_query_matches_sql(spark, con, name):
     assert difference(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("stage_") or n == "release_table"))
+def test_joins_keep_an_equality(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
     assert set(oracles()) == set(QUERIES)
