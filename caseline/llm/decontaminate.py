@@ -88,8 +88,8 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: in
         )
         found = shared if found is None else found.unionByName(shared)
     if found is None:
-        return docs.limit(0).crossJoin(items.limit(0).select("item_id")).select(
-            "doc_id", "item_id", F.lit(0).cast("long").alias("n_shared"), F.lit(0).cast("long").alias("n_grams"),
+        return items.limit(0).select(
+            F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "item_id", F.lit(0).cast("long").alias("n_shared"), F.lit(0).cast("long").alias("n_grams"),
             F.lit(0.0).alias("containment"),
         )
     share = F.col("n_shared") / F.col("n_grams")

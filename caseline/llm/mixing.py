@@ -8,6 +8,7 @@ of another hash. The draw depends on seed and id alone, so a lost task gives the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ SEED = 17
 BITS = 48
 #: Poisson counts beyond this many standard deviations over the mean are below 2**-BITS.
 TAIL = 12
+#: Logarithms of factorials from here on come from Stirling's series, which is exact to a double there.
+EXACT_FACTORIALS = 100
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -28,9 +31,15 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("double") / F.lit(float(1 << BITS))
 
 
+def log_factorial(k: Column) -> Column:
+    k = k.cast("double")
+    return (k + 0.5) * F.log(k) - k + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * k) - 1 / (360 * k * k * k)
+
+
 def rates(docs: DataFrame, weights: Mapping[str, float], other: float, epochs: float, source: str) -> DataFrame:
-    """Mean repetitions per source, and the distribution function of each as an array.
+    """Mean repetitions per source, and the distribution function of each as an array from ``__mix_first`` on.
 
+    The array covers the counts that a draw can reach, so it grows with the root of the rate.
     ``weights`` are relative; sources that it lacks, null included, get ``other``.
     """
     counts = docs.groupBy(F.col(source).alias("__mix_source")).agg(F.count(F.lit(1)).alias("n"))
@@ -41,19 +50,23 @@ def rates(docs: DataFrame, weights: Mapping[str, float], other: float, epochs: f
     total = counts.agg(F.sum("weight").alias("w"), F.sum("n").alias("rows")).first()
     wanted = epochs * (total["rows"] or 0) / (total["w"] or 1.0)
     out = counts.withColumn("rate", F.col("weight") * F.lit(float(wanted)) / F.col("n"))
-    top = F.ceil(F.col("rate") + TAIL * F.sqrt("rate") + TAIL).cast("int")
-    terms = F.transform(
-        F.sequence(F.lit(0), top),
-        lambda k: F.exp(k * F.log("rate") - F.col("rate") - F.coalesce(F.aggregate(
-            F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>")),
-            F.lit(0.0), lambda a, i: a + F.log(i.cast("double")))
-        , F.lit(0.0))),
-    )
-    running = F.aggregate(
-        terms,
-        F.array().cast("array<double>"),
-        lambda acc, p: F.concat(acc, F.array(p + F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0.0)))),
+    reach = TAIL * F.sqrt("rate") + TAIL
+    top = F.ceil(F.col("rate") + reach).cast("long")
+    low = F.floor(F.col("rate") - reach).cast("long")
+    out = out.withColumn("__mix_first", F.when(low >= EXACT_FACTORIALS, low).otherwise(F.lit(0).cast("long")))
+    first = F.col("__mix_first")
+    zero = F.struct(
+        F.when(first > 0, log_factorial(first)).otherwise(F.lit(0.0)).alias("logs"),
+        F.lit(0.0).alias("total"),
+        F.array().cast("array<double>").alias("cdf"),
     )
+
+    def step(acc: Column, k: Column) -> Column:
+        logs = acc["logs"] + F.when(k > first, F.log(k.cast("double"))).otherwise(F.lit(0.0))
+        total = acc["total"] + F.exp(k * F.log("rate") - F.col("rate") - logs)
+        return F.struct(logs.alias("logs"), total.alias("total"), F.concat(acc["cdf"], F.array(total)).alias("cdf"))
+
+    running = F.aggregate(F.sequence(first, top), zero, step, lambda acc: acc["cdf"])
     return out.withColumn("__mix_cdf", F.when(F.col("rate") > 0, running).otherwise(F.array(F.lit(1.0))))
 
 
@@ -74,13 +87,14 @@ def mixed(
     empty one, repeated rows draw alike, null texts are rows like others. Columns of ``docs`` named like
     a result are replaced. An empty table gives an empty result.
     """
-    table = bounded(rates(docs, weights, other, epochs, source).select("__mix_source", "__mix_cdf"))
+    table = bounded(rates(docs, weights, other, epochs, source).select("__mix_source", "__mix_first", "__mix_cdf"))
     docs = docs.drop("replica", "shuffle_key")
     held = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source"))).withColumn("__mix_draw", uniform(seed, F.col(key)))
     # the count is the number of distribution values at or below the draw
-    counted = held.withColumn("__mix_count", F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_draw"))))
+    below = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_draw")))
+    counted = held.withColumn("__mix_count", F.col("__mix_first") + below)
     copies = counted.where(F.col("__mix_count") > 0).withColumn(
-        "replica", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_count").cast("long") - 1))
+        "replica", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_count") - 1))
     )
     place = F.xxhash64(F.lit(seed), F.col(key), F.col("replica"))
-    return copies.withColumn("shuffle_key", place).drop("__mix_source", "__mix_cdf", "__mix_draw", "__mix_count").orderBy("shuffle_key", "replica")
+    return copies.withColumn("shuffle_key", place).drop("__mix_source", "__mix_first", "__mix_cdf", "__mix_draw", "__mix_count").orderBy("shuffle_key", "replica")

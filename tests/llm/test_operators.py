@@ -198,6 +198,13 @@ def test_mixing(docs, spark):
     assert abs(spread[3] / 10000 - 0.224) < 0.02  # the Poisson share of 3 at mean 3
 
 
+def test_mixing_of_a_rare_source(spark):
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 40, "rare").otherwise("b").alias("source"))
+    counts = [n for _, n in result(mixing.mixed(rows, {"rare": 1.0, "b": 1.0}, epochs=200.0).where("source = 'rare'").groupBy("doc_id").count(), "doc_id", "count")]
+    mean = sum(counts) / 40  # the rate is 2,500, its deviation 50
+    assert len(counts) == 40 and abs(mean - 2500) < 40 and 20 < np.std(counts) < 90
+
+
 def test_token_files(docs, spark):
     from tokenizers import Tokenizer
 
