@@ -91,6 +91,69 @@ def column_profile(df: DataFrame) -> DataFrame:
     return _unfold(df.agg(*aggregates), entries)
 
 
+def distributions(df: DataFrame) -> DataFrame:
+    """Distinct values, blanks, flag counts, quartiles and the median day of every column.
+
+    Quartiles interpolate between neighbours; the median day is the floor of that. Timestamps count by
+    day. Blank text has no character but white space. A table without rows has no lines.
+
+    Equal values are counted first. The counted values are range-partitioned and ranked by their place
+    within a partition and the counts of earlier partitions, so no task holds a whole column.
+    """
+    entries = []
+    for field in df.schema:
+        c, kind = F.col(f"`{field.name}`"), kind_of(field.dataType)
+        number = {
+            "numeric": lambda: c.cast("double"),
+            "logical": lambda: c.cast("int").cast("double"),
+            "Date": lambda: F.unix_date(c).cast("double"),
+            "POSIXct": lambda: F.unix_date(c.cast("date")).cast("double"),
+        }.get(kind, lambda: F.lit(None).cast("double"))()
+        text = c.cast("string") if kind == "character" else F.lit(None).cast("string")
+        entries.append(
+            F.struct(F.lit(kind).alias("kind"), F.lit(field.name).alias("variable"), number.alias("number"), text.alias("text"))
+        )
+    counted = df.select(F.inline(F.array(*entries))).groupBy("kind", "variable", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange("variable", "number", F.xxhash64("text")).withColumn("_part", F.spark_partition_id())
+    ranked_n = F.when(F.col("number").isNotNull(), F.col("n")).otherwise(0)
+    placed = cut_lineage(ranged.withColumn("_n", ranked_n))
+    sizes = placed.groupBy("variable", "_part").agg(F.sum("_n").alias("_size"))
+    column = Window.partitionBy("variable")
+    earlier = column.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "variable", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"), F.sum("_size").over(column).alias("_total")
+    )
+    here = Window.partitionBy("variable", "_part").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("_upto", F.sum("_n").over(here)).join(bounded(offsets), ["variable", "_part"])
+    upto = F.col("_upto") + F.col("_offset")
+
+    def quantile(share: float) -> Column:
+        at = (F.col("_total") - 1) * F.lit(share)
+        low, high = (F.min(F.when((F.col("_n") > 0) & (upto > side(at)), F.col("number"))) for side in (F.floor, F.ceil))
+        return low + (high - low) * F.max(at - F.floor(at))
+
+    present = F.col("number").isNotNull() | F.col("text").isNotNull()
+    flag = lambda value: F.sum(F.when((F.col("kind") == "logical") & (F.col("number") == value), F.col("n")))
+    stats = ranked.groupBy("kind", "variable").agg(
+        F.count_if(present).alias("n_distinct"),
+        F.sum(F.when(~F.col("text").rlike(r"\S"), F.col("n"))).alias("n_blank"),
+        flag(1).alias("n_true"),
+        flag(0).alias("n_false"),
+        *[quantile(share).alias(f"_q{i}") for i, share in enumerate((0.25, 0.5, 0.75))],
+    )
+    only = lambda kind, value: F.when(F.col("kind") == kind, value)
+    return stats.select(
+        "kind",
+        "variable",
+        "n_distinct",
+        only("character", F.coalesce("n_blank", F.lit(0))).alias("n_blank"),
+        only("logical", F.coalesce("n_true", F.lit(0))).alias("n_true"),
+        only("logical", F.coalesce("n_false", F.lit(0))).alias("n_false"),
+        *[only("numeric", F.col(f"_q{i}")).alias(name) for i, name in enumerate(("q25", "median", "q75"))],
+        F.when(F.col("kind").isin("Date", "POSIXct"), F.date_from_unix_date(F.floor("_q1").cast("int"))).alias("date_median"),
+    )
+
+
 def combined_profile(new: DataFrame, old: DataFrame) -> DataFrame:
     """Both profiles under each other, marked by release. Each release is profiled on its own."""
     mark = lambda df, release: df.withColumn("release", F.lit(release))
@@ -254,3 +317,14 @@ def short_names(names: Sequence[str], limit: int = 32) -> list[str]:
         taken.add(unique)
         result.append(unique)
     return result
+
+
+def label_release(df: DataFrame, limit: int = 32) -> tuple[DataFrame, DataFrame]:
+    """The table with all text columns as label codes and short column names; returns it and the dictionary.
+
+    The dictionary names variables by their short names.
+    """
+    encoded, dictionary = label_encode(df, [f.name for f in df.schema if isinstance(f.dataType, T.StringType)])
+    short = dict(zip(df.columns, short_names(df.columns, limit)))
+    renamed = F.create_map(*[F.lit(x) for pair in short.items() for x in pair])
+    return encoded.toDF(*short.values()), dictionary.withColumn("variable", renamed[F.col("variable")])

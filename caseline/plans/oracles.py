@@ -396,6 +396,33 @@ def _profile(release: str, names: tuple[str, ...]) -> str:
 
 _ORACLES["column_profile"] = f"WITH {_RELEASES}\n{_profile('old', _OLD_COLUMNS)}\nUNION ALL {_profile('new', _CASE_COLUMNS)}"
 
+_DISTRIBUTION_KINDS = {**{c: _KINDS[c] for c in _CASE_COLUMNS}, "is_open": "logical", "note": "character"}
+
+
+def _distribution(c: str, kind: str) -> str:
+    def only(wanted: str, sql: str, as_type: str) -> str:
+        return sql if kind == wanted else f"CAST(NULL AS {as_type})"
+
+    quartiles = ", ".join(
+        only("numeric", f"round(quantile_cont(CAST({c} AS DOUBLE), {share}), 4)", "DOUBLE") + f" AS {name}"
+        for share, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
+    )
+    epoch = "DATE '1970-01-01'"
+    days = f"CAST(floor(quantile_cont(CAST({c} - {epoch} AS DOUBLE), 0.5)) AS INTEGER)"
+    blank = f"count(CASE WHEN trim({c}) = '' THEN 1 END)"
+    return (
+        f"SELECT '{kind}' AS kind, '{c}' AS variable, count(DISTINCT {c}) AS n_distinct, {only('character', blank, 'BIGINT')} AS n_blank,"
+        f" {only('logical', f'count(CASE WHEN {c} THEN 1 END)', 'BIGINT')} AS n_true,"
+        f" {only('logical', f'count(CASE WHEN NOT {c} THEN 1 END)', 'BIGINT')} AS n_false, {quartiles},"
+        f" {only('Date', f'{epoch} + {days}', 'DATE')} AS date_median FROM o"
+    )
+
+
+_ORACLES["column_distributions"] = (
+    f"WITH c AS ({_CASE_ORDERS}), o AS (SELECT *, o_orderstatus = 'O' AS is_open, coalesce(decision, '  ') AS note FROM c)\n"
+    + "\nUNION ALL ".join(_distribution(c, kind) for c, kind in _DISTRIBUTION_KINDS.items())
+)
+
 _ORACLES["profile_join"] = f"""
 WITH {_RELEASES}, n AS ({_profile('new', _CASE_COLUMNS)}), o AS ({_profile('old', _OLD_COLUMNS)})
 SELECT n.kind, n.variable, n.n_missing AS n_missing_new, n.complete_rate AS complete_rate_new, n.mean AS mean_new,
@@ -434,6 +461,12 @@ SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) AS c_name, c_nationkey, c_
        dense_rank() OVER (ORDER BY c_mktsegment) AS c_mktsegment
 FROM customer"""
 
+_ORACLES["label_release"] = """
+SELECT s_suppkey, dense_rank() OVER (ORDER BY s_name) AS name_of_the_supplier_as_registrd,
+       dense_rank() OVER (ORDER BY n_name) AS nation_that_the_supplr_dlvrs_frm,
+       dense_rank() OVER (ORDER BY n_name || '/' || s_suppkey % 7) AS nation_that_the_supplr_dlvrs_f_1
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
 _ORACLES["release_row_delta"] = """
 WITH c AS (SELECT count(*) AS n_new, count(CASE WHEN o_orderdate < DATE '1999-01-01' THEN 1 END) AS n_old FROM orders)
 SELECT n_new, n_old, n_new - n_old AS delta, 100.0::DOUBLE * (n_new - n_old) / n_old AS pct,

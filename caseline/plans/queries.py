@@ -552,6 +552,15 @@ def column_profile(spark, folder):
     return _rounded(profile.combined_profile(*releases(spark, folder)))
 
 
+@query
+def column_distributions(spark, folder):
+    """AG-7: distinct values, blanks, flag counts, quartiles and median days of the orders."""
+    orders = case_orders(spark, folder).withColumns(
+        {"is_open": F.col("o_orderstatus") == "O", "note": F.when(F.col("decision").isNull(), "  ").otherwise(F.col("decision"))}
+    )
+    return _rounded(profile.distributions(orders))
+
+
 @query
 def profile_join(spark, folder):
     """JN-7: both profiles side by side per type and column."""
@@ -583,6 +592,19 @@ def label_encode(spark, folder):
     return profile.label_encode(table(spark, folder, "customer"), ["c_name", "c_mktsegment"])[0]
 
 
+@query
+def label_release(spark, folder):
+    """AG-9: suppliers with every text column as label codes, under names of at most 32 characters."""
+    suppliers = table(spark, folder, "supplier").join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    named = suppliers.select(
+        "s_suppkey",
+        F.col("s_name").alias("name_of_the_supplier_as_registered"),
+        F.col("n_name").alias("nation_that_the_supplier_delivers_from"),
+        F.concat_ws("/", "n_name", F.col("s_suppkey") % 7).alias("nation_that_the_supplier_delivers_frum"),
+    )
+    return profile.label_release(named)[0]
+
+
 @query
 def release_row_delta(spark, folder):
     """QA-1: row counts of both releases."""

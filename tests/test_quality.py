@@ -1,4 +1,5 @@
 import datetime as dt
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,10 +128,33 @@ def test_label_codes_over_partitions(spark):
     assert encoded.columns == ["a", "b"] and encoded.where("b = 2").count() == 1 and dictionary.count() == 2
 
 
+def test_distributions(spark):
+    day = dt.date(2020, 1, 1)
+    data = [(float(i % 7) if i % 5 else None, i % 3 == 0, day + dt.timedelta(days=i), ("", " \t", "a", None)[i % 4]) for i in range(40)]
+    df = spark.createDataFrame(data, "x double, f boolean, d date, s string").repartition(5)
+    found = {r["variable"]: r for r in profile.distributions(df).collect()}
+    numbers = [x for x, *_ in data if x is not None]
+    cuts = statistics.quantiles(numbers, n=4, method="inclusive")
+    assert [found["x"][c] for c in ("q25", "median", "q75")] == cuts and found["x"]["n_distinct"] == 7
+    assert (found["f"]["n_true"], found["f"]["n_false"], found["f"]["n_distinct"]) == (14, 26, 2)
+    assert found["d"]["date_median"] == day + dt.timedelta(days=19) and found["d"]["n_distinct"] == 40
+    assert (found["s"]["n_blank"], found["s"]["n_distinct"], found["s"]["median"]) == (20, 3, None)
+    nothing = {r["variable"]: r for r in profile.distributions(spark.createDataFrame([(None, None)], "x int, s string")).collect()}
+    assert nothing["x"]["n_distinct"] == 0 and nothing["x"]["median"] is None and nothing["s"]["n_blank"] == 0
+    assert profile.distributions(df.limit(0)).count() == 0
+
+
+def test_label_release(spark):
+    wide = spark.createDataFrame([(1, "b", "x"), (2, "a", None)], "id int, a_text_column_with_a_name_far_too_long_for_it string, t string")
+    table, dictionary = profile.label_release(wide)
+    assert all(len(c) <= 32 for c in table.columns) and sorted(tuple(r) for r in table.collect()) == [(1, 2, 1), (2, 1, None)]
+    assert {r["variable"] for r in dictionary.collect()} == set(table.columns[1:])
+
+
 def test_short_names():
     long = ["bond_hearing_request_date_first_to_bond_completion_date_first_days", "bond_hearing_request_date_last_to_bond_completion_date_last_days", "id"]
     got = profile.short_names(long)
-    assert all(len(n) <= 34 for n in got) and len(set(got)) == 3 and got[2] == "id"
+    assert all(len(n) <= 32 for n in got) and len(set(got)) == 3 and got[2] == "id"
     assert profile.short_names(["a", "b" * 32]) == ["a", "b" * 32]
     twins = profile.short_names(["x" * 40 + "1", "x" * 40 + "1"])
     assert len(set(twins)) == 2
