@@ -467,6 +467,20 @@ SELECT s_suppkey, dense_rank() OVER (ORDER BY s_name) AS name_of_the_supplier_as
        dense_rank() OVER (ORDER BY n_name || '/' || s_suppkey % 7) AS nation_that_the_supplr_dlvrs_f_1
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
+_ORACLES["ragged_reader"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority,
+       CASE WHEN o_orderstatus = 'O' THEN '|' || o_orderkey END AS overflow
+FROM orders"""
+
+_ORACLES["manifest_lines"] = """
+SELECT n_name AS table_name, CAST(n_nationkey * 100 AS BIGINT) AS expected FROM nation WHERE n_nationkey % 5 NOT IN (1, 2)"""
+
+_ORACLES["lookup_cleaning"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS str_code, replace(s_name, '#', ' #') AS supplier_name,
+       CASE WHEN s_suppkey % 3 <> 0 THEN 'x' END AS bln_active
+FROM supplier"""
+
 _ORACLES["release_row_delta"] = """
 WITH c AS (SELECT count(*) AS n_new, count(CASE WHEN o_orderdate < DATE '1999-01-01' THEN 1 END) AS n_old FROM orders)
 SELECT n_new, n_old, n_new - n_old AS delta, 100.0::DOUBLE * (n_new - n_old) / n_old AS pct,

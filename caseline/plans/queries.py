@@ -632,6 +632,40 @@ def manifest_check(spark, folder):
     return delimited.manifest_check(counts, listed.groupBy("table_name").agg(F.count("*").alias("expected")))
 
 
+@query
+def ragged_reader(spark, folder):
+    """SRC-1: lines of orders split into cells: short, long, padded and with a carriage return."""
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = (
+        F.when(status == "P", F.concat(key, F.lit("\t")))
+        .when(status == "O", F.concat_ws("\t", key, F.concat(F.lit(" "), status), "o_orderpriority", F.lit(""), key))
+        .otherwise(F.concat(F.concat_ws("\t", key, status, "o_orderpriority"), F.lit("\r")))
+    )
+    cells = delimited.split_cells(table(spark, folder, "orders").select(line.alias("value")), ["order_key", "status", "priority"])
+    return cells.select("order_key", "status", "priority", F.array_join(repair.OVERFLOW, "|").alias("overflow"))
+
+
+@query
+def manifest_lines(spark, folder):
+    """SRC-2: manifest lines made of the nations, some of them without a number or a name."""
+    number = F.when(F.col("n_nationkey") % 5 == 1, F.lit("many")).otherwise((F.col("n_nationkey") * 100).cast("string"))
+    name = F.when(F.col("n_nationkey") % 5 == 2, F.lit("")).otherwise(F.col("n_name"))
+    end = F.when(F.col("n_nationkey") % 5 == 3, F.lit("\r")).otherwise(F.lit(""))
+    lines = table(spark, folder, "nation").select(F.concat(name, F.lit("\t"), number, end).alias("value"))
+    return delimited.parse_manifest(lines)
+
+
+@query
+def lookup_cleaning(spark, folder):
+    """SRC-3: a code table of the suppliers with NUL bytes, loose blanks and empty cells."""
+    raw = table(spark, folder, "supplier").select(
+        F.concat(F.lit("\x00"), F.col("s_suppkey").cast("string")).alias("strCode"),
+        F.concat(F.lit("  "), F.regexp_replace("s_name", "#", "  #\x00"), F.lit(" ")).alias("Supplier Name"),
+        F.when(F.col("s_suppkey") % 3 == 0, F.lit("")).otherwise(F.lit("x")).alias("blnActive"),
+    )
+    return delimited.clean_lookup(raw)
+
+
 # --- repair -----------------------------------------------------------------------------------------------
 
 RAGGED_RULES = repair.ShiftRules(dates=("PLACED", "COMPLETED"), others=("STATUS", "PRIORITY"))

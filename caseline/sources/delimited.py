@@ -24,7 +24,7 @@ def read_ragged(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"no header line in {path}")
     header = first[0][0]
     names = header.rstrip("\r").lstrip("﻿").split("\t")
-    return _cells(_without_header(lines, header), names)
+    return split_cells(_without_header(lines, header), names)
 
 
 def _without_header(lines: DataFrame, header: str) -> DataFrame:
@@ -43,7 +43,8 @@ def _without_header(lines: DataFrame, header: str) -> DataFrame:
     return lines.where(F.col("value") != header).unionByName(kept)
 
 
-def _cells(lines: DataFrame, names: list[str]) -> DataFrame:
+def split_cells(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Lines of text (``value``) as named cells; what goes beyond the names is in ``_overflow``."""
     width = len(names)
     split = lines.select(F.split(F.regexp_replace("value", "\r$", ""), "\t", -1).alias("cells"))
     cells = [F.nullif(F.trim(F.get("cells", F.lit(i))), F.lit("")).alias(name) for i, name in enumerate(names)]
@@ -53,14 +54,15 @@ def _cells(lines: DataFrame, names: list[str]) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Expected row counts: lines of table name, tab, number."""
-    return (
-        spark.read.text(path)
-        .select(
-            F.regexp_extract("value", r"^([^\t]+)\t", 1).alias("table_name"),
-            F.regexp_extract("value", r"\t(\d+)\r?$", 1).try_cast("long").alias("expected"),
-        )
-        .where((F.col("table_name") != "") & F.col("expected").isNotNull())
-    )
+    return parse_manifest(spark.read.text(path))
+
+
+def parse_manifest(lines: DataFrame) -> DataFrame:
+    """Table names and numbers of lines that hold both; other lines go."""
+    return lines.select(
+        F.regexp_extract("value", r"^([^\t]+)\t", 1).alias("table_name"),
+        F.regexp_extract("value", r"\t(\d+)\r?$", 1).try_cast("long").alias("expected"),
+    ).where((F.col("table_name") != "") & F.col("expected").isNotNull())
 
 
 def manifest_check(counts: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -91,6 +93,11 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
         .option("emptyValue", "")
         .csv(path)
     )
+    return clean_lookup(raw)
+
+
+def clean_lookup(raw: DataFrame) -> DataFrame:
+    """Text columns without NUL bytes, with snake-case names and squished text; empty cells are NULL."""
     names = snake_names([c.replace("\x00", "").lstrip("﻿") for c in raw.columns])
     columns = []
     for old, new in zip(raw.columns, names):
