@@ -53,15 +53,8 @@ def indexed(items: DataFrame, n: int, threshold: float) -> DataFrame:
     return made.withColumn("sketch", F.slice("grams", F.lit(1), F.least(F.col("size"), sketch_size(most, threshold))))
 
 
-def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM) -> DataFrame:
-    """Pairs (doc_id, item_id, n_shared, n_grams, containment) of documents and items leaked into them.
-
-    Items or texts without words match nothing. Items of fewer than ``n`` words are one n-gram of their
-    own length. Rows of ``docs`` with the same id count one by one; the pair is returned once with the
-    largest containment. Rows of ``items`` with the same id and n-grams are one item; with other
-    n-grams, the best is returned. Null ids are ids like others. Columns other than doc_id, item_id and
-    text are ignored. Empty tables give an empty result.
-    """
+def _verified(docs: DataFrame, items: DataFrame, threshold: float, n: int) -> DataFrame | None:
+    """(doc_id, th, key, n_shared, item_id, n_grams): the text of hash ``th`` holds the item; None without items."""
     index = indexed(items, n, threshold)
     index = index.withColumn("key", F.xxhash64("item_id", F.col("width"), "grams"))
     widths = [r["width"] for r in index.select("width").distinct().collect()]  # at most n values
@@ -87,6 +80,19 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: in
             .where(F.col("n_shared") >= F.col("n_grams") * F.lit(threshold) - 1e-9)
         )
         found = shared if found is None else found.unionByName(shared)
+    return found
+
+
+def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM) -> DataFrame:
+    """Pairs (doc_id, item_id, n_shared, n_grams, containment) of documents and items leaked into them.
+
+    Items or texts without words match nothing. Items of fewer than ``n`` words are one n-gram of their
+    own length. Rows of ``docs`` with the same id count one by one; the pair is returned once with the
+    largest containment. Rows of ``items`` with the same id and n-grams are one item; with other
+    n-grams, the best is returned. Null ids are ids like others. Columns other than doc_id, item_id and
+    text are ignored. Empty tables give an empty result.
+    """
+    found = _verified(docs, items, threshold, n)
     if found is None:
         return items.limit(0).select(
             F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "item_id", F.lit(0).cast("long").alias("n_shared"), F.lit(0).cast("long").alias("n_grams"),
@@ -103,7 +109,11 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: in
     )
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a leaked item; rows are dropped by their id."""
-    ids = leaks(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bounded(ids), F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM) -> DataFrame:
+    """``docs`` without the rows whose own text holds a leaked item; other rows of the same id stay."""
+    found = _verified(docs, items, threshold, n)
+    if found is None:
+        return docs
+    leaking = found.select(F.col("doc_id").alias("__leak_id"), F.col("th").alias("__leak_th")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__leak_id")) & (F.xxhash64("text") == F.col("__leak_th"))
+    return docs.join(bounded(leaking), same, "left_anti")

@@ -186,6 +186,15 @@ def test_decontamination(docs, spark):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows_of(docs)} - {i for i, _ in expected}
 
 
+def test_decontamination_drops_only_leaking_texts(spark):
+    texts = [f"clean text number {i} of its own" for i in range(4)]
+    rows = [(None, PROSE), (None, texts[0]), (None, texts[1]), (None, None), (5, PROSE), (5, texts[2]), (6, texts[3])]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, PROSE)], "item_id long, text string")
+    assert rows_of(decontaminate.without_leaks(made, bench).orderBy("doc_id", "text")) == [(None, None), (None, texts[0]), (None, texts[1]), (5, texts[2]), (6, texts[3])]
+    assert decontaminate.without_leaks(made, bench.limit(0)).count() == len(rows)
+
+
 def test_mixing(docs, spark):
     out = mixing.mixed(docs, {"src0": 2.0, "src1": 0.0}, epochs=3.0)
     assert set(docs.columns) <= set(out.columns)
