@@ -3,7 +3,8 @@
 A source that should make up a share of the mixture has a mean repetition rate: its share of the rows
 wanted over its rows. Every document draws a uniform number from a hash of seed and id, inverts the
 Poisson distribution of its source's rate, is repeated that often, and all copies are put in the order
-of another hash. The draw depends on seed and id alone, so a lost task gives the same rows again.
+of another hash. Rows of a null or repeated id draw by their text too. The draw depends on seed, id and text
+alone, so a lost task gives the same rows again.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseline.llm.common import written
 from caseline.operators.joins import bounded
 
 SEED = 17
@@ -78,23 +80,32 @@ def mixed(
     seed: int = SEED,
     source: str = "source",
     key: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """``docs`` with every row repeated a Poisson number of times, in a global random order.
 
     Adds ``replica`` (from 0) and ``shuffle_key``, which the rows are range-partitioned and sorted by.
     ``epochs`` times the rows of ``docs`` are expected in all, each source with its share of the
-    weights. A weight of 0 drops a source. Null sources count as one source, null keys draw like an
-    empty one, repeated rows draw alike, null texts are rows like others. Columns of ``docs`` named like
-    a result are replaced. An empty table gives an empty result.
+    weights. A weight of 0 drops a source. Null sources count as one source. A row whose key no other
+    has draws by its key; rows of a null or repeated key draw by key and text, so only rows that are
+    equal in both draw alike. A table without the text column draws by key. Null texts are rows like
+    others. Columns of ``docs`` named like a result are replaced. An empty table gives an empty result.
     """
     table = bounded(rates(docs, weights, other, epochs, source).select("__mix_source", "__mix_first", "__mix_cdf"))
     docs = docs.drop("replica", "shuffle_key")
-    held = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source"))).withColumn("__mix_draw", uniform(seed, F.col(key)))
+    texts = [F.col(text)] if text in docs.columns else []
+    repeated = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__mix_key")).agg(F.count(F.lit(1)).alias("__mix_rows"))
+    repeated = bounded(written(repeated.where("__mix_rows > 1").select("__mix_key"), "mix-keys"))
+    held = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source")))
+    held = held.join(repeated, F.col(key) == F.col("__mix_key"), "left")
+    alone = F.col(key).isNotNull() & F.col("__mix_key").isNull()
+    draw = F.when(alone, uniform(seed, F.col(key))).otherwise(uniform(seed, F.col(key), *texts))
+    held = held.withColumn("__mix_draw", draw)
     # the count is the number of distribution values at or below the draw
     below = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_draw")))
     counted = held.withColumn("__mix_count", F.col("__mix_first") + below)
     copies = counted.where(F.col("__mix_count") > 0).withColumn(
         "replica", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_count") - 1))
     )
-    place = F.xxhash64(F.lit(seed), F.col(key), F.col("replica"))
-    return copies.withColumn("shuffle_key", place).drop("__mix_source", "__mix_first", "__mix_cdf", "__mix_draw", "__mix_count").orderBy("shuffle_key", "replica")
+    place = F.xxhash64(F.lit(seed), F.col(key), *texts, F.col("replica"))
+    return copies.withColumn("shuffle_key", place).drop("__mix_source", "__mix_key", "__mix_first", "__mix_cdf", "__mix_draw", "__mix_count").orderBy("shuffle_key", "replica")

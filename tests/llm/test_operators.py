@@ -207,6 +207,17 @@ def test_mixing(docs, spark):
     assert abs(spread[3] / 10000 - 0.224) < 0.02  # the Poisson share of 3 at mean 3
 
 
+def test_mixing_of_null_and_repeated_ids(spark):
+    i = F.col("id")
+    key = F.when(i % 3 == 0, None).when(i % 3 == 1, F.lit(7)).otherwise(i)
+    rows = spark.range(12000).select(key.alias("doc_id"), F.concat(F.lit("text "), i).alias("text"), F.lit("a").alias("source"))
+    out = mixing.mixed(rows, {}).cache()
+    kinds = Counter("null" if k is None else "hot" if k == 7 else "single" for k, _ in rows_of(out))
+    assert all(abs(kinds[k] / 4000 - 1) < 0.06 for k in ("null", "hot", "single"))
+    assert out.select("shuffle_key").distinct().count() == out.count()
+    assert result(out, "doc_id", "text", "replica") == result(mixing.mixed(rows.repartition(5), {}), "doc_id", "text", "replica")
+
+
 def test_mixing_of_a_rare_source(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 40, "rare").otherwise("b").alias("source"))
     counts = [n for _, n in result(mixing.mixed(rows, {"rare": 1.0, "b": 1.0}, epochs=200.0).where("source = 'rare'").groupBy("doc_id").count(), "doc_id", "count")]
