@@ -119,25 +119,39 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def most_frequent(words: Column) -> Column:
+    """How often the word stands that makes up over half of ``words``; at most half if none does.
+
+    In sorted order a word of over half covers the middle. Where it would need more repetitions than
+    there are, nothing is sorted.
+    """
+
+    def middle(w: Column) -> Column:
+        return let(F.get(F.sort_array(w), F.floor(F.size(w) / 2).cast("int")), lambda m: F.size(F.filter(w, lambda x: x == m)))
+
+    most = F.size(words) - F.size(F.array_distinct(words)) + 1
+    return F.when(2 * most > F.size(words), middle(words)).otherwise(F.lit(0))
+
+
 def default_rules(text: str = "text") -> list[Rule]:
     """Rules that spare ordinary prose: each asks for what clean documents do not show.
 
     ``symbols``: over one symbol in ten word characters. ``one_word``: a single word makes up over
     half of 20 words or more. ``dup_lines``: over half of the lines repeat earlier ones.
-    ``shouting``: over 70 % of the letters are capitals in a text with more than 40 letters of A-Z.
+    ``shouting``: over 70 % of the letters of any script are capitals in a text with more than 40 letters.
     """
     body = whole(F.col(text))
     n_words, n_chars = F.col("n_words"), F.char_length(body)
-    upper = n_chars - F.char_length(F.regexp_replace(body, "[A-Z]+", ""))
-    lower = n_chars - F.char_length(F.regexp_replace(body, "[a-z]+", ""))
-    top = let(words_of(body), lambda w: let(F.array_distinct(w), lambda d: F.size(w) - F.size(d)))
+    upper = n_chars - F.char_length(F.regexp_replace(body, r"\p{Lu}+", ""))
+    letters = n_chars - F.char_length(F.regexp_replace(body, r"\p{L}+", ""))
+    top = let(words_of(body), most_frequent)
     lines = F.size(F.split(body, "\n", -1))
     return [
         Rule("base", F.col("base_failed"), F.lit(1)),
         Rule("symbols", 10 * F.col("n_symbols") > F.col("word_chars"), F.lit(1)),
         Rule("dup_lines", (2 * F.col("n_dup_lines") > lines) & (lines >= 4), n_chars),
-        Rule("one_word", (n_words >= 20) & (20 * top > 19 * n_words), 8 * n_chars),
-        Rule("shouting", (10 * upper > 7 * (upper + lower)) & (upper + lower > 40), 4 * n_chars),
+        Rule("one_word", (n_words >= 20) & (2 * top > n_words), 8 * n_chars),
+        Rule("shouting", (10 * upper > 7 * letters) & (letters > 40), 4 * n_chars),
     ]
 
 

@@ -75,6 +75,24 @@ def test_quality(docs):
     assert result(backwards, "doc_id", "kept") == result(out, "doc_id", "kept")
 
 
+def test_quality_rules_at_any_length_and_script(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = np.array([f"word{i}" for i in range(400)])
+    acronyms = "Доклад о работе НАТО и сети TCP/IP " * 2
+    russian = " ".join(f"строка{chr(0x430 + i % 32)} слово{chr(0x430 + i // 3)} тест" for i in range(60)) + " NATO UNESCO HTTP JSON SQL CPU RAM USB DVD XML HTML CSS API"
+    texts = {
+        1: " ".join(vocabulary[rng.integers(0, 400, 200_000)]),  # 0.2 % distinct words, none frequent
+        2: " ".join(f"spam other{i}" if i % 9 else "spam spam" for i in range(300)),  # one word of over half, the others vary
+        3: " ".join(f"half other{i}" for i in range(300)),  # exactly half
+        4: acronyms + russian,
+        5: " ".join(f"ГРОМКО{chr(0x410 + i % 32)} КРИК{chr(0x410 + i // 3)}" for i in range(60)),
+        6: " ".join(f"LOUD{chr(65 + i % 26)} CRY{chr(65 + i // 3)}" for i in range(60)),
+    }
+    made = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = dict(result(quality_rules.quality(made), "doc_id", "kept"))
+    assert kept == {1: True, 2: False, 3: True, 4: True, 5: False, 6: False}
+
+
 def test_quality_order(spark):
     rows = spark.range(100).select("id", F.lit("t").alias("text"))
     cheap = quality_rules.Rule("cheap", F.col("id") < 10, F.lit(1))
