@@ -6,7 +6,9 @@ have enough tokens (length filter), and must have enough left after the first co
 orders (positional filter). Blocks that pass are verified on their whole token sets, so every block
 that reaches the threshold is found and no other.
 
-A block is a line. Beside the join, base phrases are found word by word.
+A block is a window of ``SPREAD`` times the template's words over the word sequence of the whole text,
+whatever its line breaks. The filters run on the token set of the text, which holds those of all its
+windows; then windows are verified. Beside the join, base phrases are found word by word.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 THRESHOLD = 0.9
+#: Words of a window for each word of the template: notices may have as many other words between theirs.
+SPREAD = 2
 
 
 def words_of(text: Column) -> Column:
@@ -54,13 +58,14 @@ def _template_rows(docs: DataFrame, templates: Mapping[str, str]) -> DataFrame:
     rows = [(label, text) for label, text in templates.items()]
     made = docs.sparkSession.createDataFrame(rows, T.StructType([
         T.StructField("label", T.StringType()), T.StructField("template", T.StringType())]))
-    return made.select("label", F.array_distinct(lowered(words_of(F.col("template")))).alias("tokens")).where(
+    words = lowered(words_of(F.col("template")))
+    return made.select("label", F.array_distinct(words).alias("tokens"), (SPREAD * F.size(words)).alias("window")).where(
         F.array_join("tokens", "") != ""
     )
 
 
 def ranked_templates(docs: DataFrame, templates: Mapping[str, str], threshold: float, text: str = "text") -> DataFrame:
-    """(label, tokens in global order, need, prefix): frequencies are counted over all documents.
+    """(label, window, tokens in global order, need, prefix): frequencies are counted over all documents.
 
     Only tokens of the templates can be common, so only those are counted; the result has one row per
     template.
@@ -74,21 +79,22 @@ def ranked_templates(docs: DataFrame, templates: Mapping[str, str], threshold: f
     size = F.size("tokens")
     need = F.ceil(size * F.lit(threshold) - 1e-9).cast("int")
     ranked = (
-        rows.select("label", F.explode("tokens").alias("token"))
+        rows.select("label", "window", F.explode("tokens").alias("token"))
         .join(counts, "token", "left")
-        .groupBy("label")
+        .groupBy("label", "window")
         .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("r"))
-        .select("label", F.col("r.token").alias("tokens"))
+        .select("label", "window", F.col("r.token").alias("tokens"))
     )
-    return ranked.select("label", "tokens", need.alias("need"), F.slice("tokens", F.lit(1), size - need + 1).alias("prefix"))
+    return ranked.select("label", "window", "tokens", need.alias("need"), F.slice("tokens", F.lit(1), size - need + 1).alias("prefix"))
 
 
 def license_blocks(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, text: str = "text"
 ) -> DataFrame:
-    """Rows (key columns, block, label, containment): every block that holds the share of a template.
+    """Rows (key columns, block, label, containment): the best window of each text for each template it holds.
 
-    ``docs`` has ``doc_id``, ``th`` and the text. ``block`` counts lines from 0.
+    ``docs`` has ``doc_id``, ``th`` and the text. ``block`` is the window's first word, counted from 0; of
+    equally good windows it is the first.
     """
     ranked = [r.asDict() for r in ranked_templates(docs, templates, threshold, text).collect()]  # one row per template
     if not ranked:
@@ -99,21 +105,17 @@ def license_blocks(
     alphabet = F.array(*[F.lit(t) for t in every])
     starts = F.array(*[F.lit(t) for t in sorted({t for r in ranked for t in r["prefix"]})])
     fewest = min(r["need"] for r in ranked)
-    # what lowers to a token in full also does so by A-Z alone or drops out when verified below, so
-    # whole texts and then lines without any first token go before anything is lowered exactly
+    # what lowers to a token in full also does so by A-Z alone or drops out below, so whole texts without
+    # any first token go before anything is lowered exactly
     low = F.lower(whole(F.col(text)))
     tokens = sorted({t for r in ranked for t in r["prefix"]})
     some = functools.reduce(lambda x, y: x | y, [F.contains(low, F.lit(t)) for t in tokens])
-    blocks = docs.where(some).select("doc_id", "th", F.posexplode(F.split(whole(F.col(text)), "\n", -1)).alias("block", "line"))
-    blocks = blocks.where(F.arrays_overlap(words_of(F.lower("line")), starts))
-    blocks = blocks.select("doc_id", "th", "block", F.array_distinct(lowered(words_of(F.col("line")))).alias("held"))
-    blocks = blocks.where(F.size("held") >= fewest)
-    blocks = blocks.select(
-        "doc_id", "th", "block", F.array_intersect("held", alphabet).alias("held"), F.array_intersect("held", starts).alias("firsts")
-    ).where((F.size("firsts") > 0) & (F.size("held") >= fewest))
+    blocks = docs.where(some).select("doc_id", "th", words_of(F.translate(whole(F.col(text)), CAPITALS, SMALL)).alias("words"))
+    blocks = blocks.withColumn("held", F.array_intersect("words", alphabet)).where(F.size("held") >= fewest)
+    blocks = blocks.withColumn("firsts", F.array_intersect("held", starts)).where(F.size("firsts") > 0)
     index = spark.createDataFrame(
-        [(r["label"], r["tokens"], r["need"], t) for r in ranked for t in r["prefix"]],
-        "label string, tokens array<string>, need int, first string",
+        [(r["label"], r["window"], r["tokens"], r["need"], t) for r in ranked for t in r["prefix"]],
+        "label string, window int, tokens array<string>, need int, first string",
     )
     candidates = blocks.withColumn("first", F.explode("firsts")).join(bounded(index), "first").where(
         F.size("held") >= F.col("need")
@@ -123,7 +125,32 @@ def license_blocks(
     at = F.array_position("tokens", F.col("first"))
     candidates = candidates.where((F.col("common")[0] == F.col("first")) & (F.size("tokens") - at + 1 >= F.col("need")))
     found = candidates.where(F.size("common") >= F.col("need"))
-    return found.select("doc_id", "th", "block", "label", (F.size("common") / F.size("tokens")).alias("containment"))
+    found = found.withColumn("best", _best_window(F.col("words"), F.col("tokens"), F.col("need"), F.col("window")))
+    found = found.where(F.col("best.n") >= F.col("need"))
+    share = F.col("best.n") / F.size("tokens")
+    return found.select("doc_id", "th", (-F.col("best.back")).alias("block"), "label", share.alias("containment"))
+
+
+def _best_window(words: Column, tokens: Column, need: Column, window: Column) -> Column:
+    """(n, back): most distinct tokens in a window, and minus its first word; null if no window holds ``need``.
+
+    Windows start at tokens: any other one is no better than that from its first token on.
+    """
+
+    def best(hits: Column) -> Column:
+        def inside(h: Column, k: Column) -> Column:
+            return F.filter(F.slice(hits, k + 1, window), lambda x: x["i"] < h["i"] + window)
+
+        def one(h: Column, k: Column) -> Column:
+            # the ``need``-th token from here on must still lie in the window
+            full = F.coalesce(F.get(hits, k + need - 1)["i"] < h["i"] + window, F.lit(False))
+            n = F.size(F.array_distinct(F.transform(inside(h, k), lambda x: x["t"])))
+            return F.when(full, F.struct(n.alias("n"), (-h["i"]).alias("back")))
+
+        return F.array_max(F.transform(hits, one))
+
+    placed = F.transform(words, lambda w, i: F.struct(F.array_position(tokens, w).cast("int").alias("t"), i.alias("i")))
+    return let(F.filter(placed, lambda x: x["t"] > 0), best)
 
 
 def _places(words: Column, phrase: list[str]) -> Column:
@@ -150,7 +177,7 @@ def scan(
 
     Columns: n_words; n_base, all places; first_word and last_word, their smallest and largest start
     (null without one); base_labels and labels, distinct, sorted and comma-joined; score, the largest
-    containment of a template in a block, and 1 where a base phrase stands.
+    containment of a template in a window of words, and 1 where a base phrase stands.
 
     Null and empty texts have no words and no labels. Null ids are ids like others, repeated rows are
     repeated, other columns are ignored, an empty table gives an empty result.

@@ -289,6 +289,22 @@ def test_license_scan(docs):
     assert result(license_scan.scan(docs), *names) == sorted(expected, key=repr)
 
 
+def test_license_scan_by_windows_of_words(spark):
+    bsd, mpl = license_scan.TEMPLATES["bsd-3-clause"], license_scan.TEMPLATES["mpl-2.0"]
+    scattered = [f"filler{i}" for i in range(400)]
+    for k, word in enumerate("released under the mit license".split()):
+        scattered[60 * k] = word
+    rows = [
+        (1, "# " + bsd.replace("without modification", "without\n# modification") + " provided that"),
+        (2, "/* " + mpl.replace("Mozilla Public", "Mozilla Public\r\n * ") + ". */"),
+        (3, " ".join(scattered)),
+        (4, " ".join(scattered[:200]) + " Released under the MIT\n\nLicense. " + " ".join(scattered[200:])),
+        (5, "Released by us under the new MIT License"),
+    ]
+    out = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert dict(result(out, "doc_id", "labels")) == {1: "bsd-3-clause", 2: "mpl-2.0", 3: "", 4: "mit", 5: "mit"}
+
+
 def base_pii(text):
     found = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
