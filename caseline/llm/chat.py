@@ -2,7 +2,9 @@
 
 A message's lines are parsed into quote levels by their leading marks. Passages, runs of lines of one
 level, are normalised and hashed; a message offers the passages that it wrote itself. A quoted passage
-links to the first message of its conversation that wrote it earlier. The outermost quotation names the
+links to the first message of its conversation that wrote it earlier; where nobody wrote the whole
+passage, its lines and pairs of neighbouring lines are looked up instead, so that trimmed quotations
+link too. The outermost quotation names the
 message replied to. Conversations are put in reply order, their texts without quotes.
 
 Messages of a conversation are never gathered: passages meet by conversation and hash after each hash
@@ -65,6 +67,58 @@ def passages(messages: DataFrame) -> DataFrame:
     return out.withColumn("hash", F.when(text != "", F.sha2(text, 256)))
 
 
+def lines_of(text: Column) -> Column:
+    """The normalised lines of a text, without blank ones and those that introduce a quotation."""
+    kept = F.filter(F.split(text, "\n", -1), lambda x: ~x.rlike(INTRO))
+    return F.filter(F.transform(kept, normalised), lambda x: x != "")
+
+
+def units_of(lines: Column) -> Column:
+    """(pair, k, hash) of each line and of each pair of neighbouring lines; a line hashes as a passage does."""
+    one = F.transform(lines, lambda x, k: F.struct(F.lit(0).alias("pair"), k.alias("k"), F.sha2(x, 256).alias("hash")))
+    two = F.transform(
+        F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))),
+        lambda x, k: F.struct(F.lit(1).alias("pair"), k.alias("k"), F.sha2(F.concat(F.get(lines, k), F.lit("\n"), x), 256).alias("hash")),
+    )
+    return F.concat(one, two)
+
+
+def _trimmed(left: DataFrame, first: DataFrame) -> DataFrame:
+    """(conv_id, turn, th, at, part): the sources of quoted runs ``left`` over, by their lines.
+
+    If all pairs of a run have a source, the latest of these is it: one message that wrote all of them is
+    no earlier than the first writer of any. Otherwise consecutive units of one source are joined and the
+    longest stretch decides, the latest source among equals; single lines count where no pair is linked.
+    """
+    units = left.withColumn("lines", lines_of(F.col("body"))).where(F.size("lines") > 0)
+    units = units.select("conv_id", "turn", "th", "at", F.explode(units_of(F.col("lines"))).alias("u"))
+    met = units.select("conv_id", "turn", "th", "at", "u.pair", "u.k", "u.hash").join(
+        first, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("hash") == F.col("_hash")) & (F.col("source") < F.col("turn")), "left"
+    )
+    found = met.groupBy("conv_id", "turn", "th", "at").agg(
+        F.array_sort(F.collect_set(F.struct("pair", "k", "source"))).alias("units")  # of one run
+    )
+
+    def stretch(units: Column) -> Column:
+        source = found.schema["units"].dataType.elementType["source"].dataType
+        none = F.lit(None).cast(source)
+        start = F.struct(none.alias("source"), F.lit(0).alias("n"), F.struct(F.lit(0).alias("n"), none.alias("source")).alias("best"))
+
+        def step(acc: Column, u: Column) -> Column:
+            n = F.when(u["source"].isNull(), 0).when(u["source"] == acc["source"], acc["n"] + 1).otherwise(1)
+            here = F.struct(n.alias("n"), u["source"].alias("source"))
+            return F.struct(u["source"].alias("source"), n.alias("n"), F.when(n > 0, F.greatest(acc["best"], here)).otherwise(acc["best"]).alias("best"))
+
+        return F.aggregate(units, start, step, lambda acc: acc["best"]["source"])
+
+    pairs = F.filter("units", lambda u: u["pair"] == 1)
+    lines = F.filter("units", lambda u: u["pair"] == 0)
+    sources = F.transform(pairs, lambda u: u["source"])
+    every = (F.size(pairs) > 0) & F.forall(sources, lambda s: s.isNotNull())
+    part = F.when(every, F.array_max(sources)).otherwise(F.coalesce(stretch(pairs), stretch(lines)))
+    return found.select("conv_id", "turn", "th", "at", part.alias("part"))
+
+
 def link(messages: DataFrame) -> DataFrame:
     """One row per row of ``messages`` (conv_id, turn, role, text), in reply order.
 
@@ -75,7 +129,8 @@ def link(messages: DataFrame) -> DataFrame:
     sorted by conv_id, root, depth and turn.
 
     A passage counts as written by a message if it stands there at level 0, or is one whole line or the
-    whole own text of it. Null and empty texts quote and write nothing. Null turns quote, but nobody
+    whole own text of it. A passage that nobody wrote as such has a source if some of its lines do, see
+    ``_trimmed``. Null and empty texts quote and write nothing. Null turns quote, but nobody
     quotes them, and they are roots. Rows with equal conv_id and turn are one source, and each is linked
     by its own text. Null conversations are one conversation. Other columns are ignored. An empty table gives an empty
     result.
@@ -88,19 +143,24 @@ def link(messages: DataFrame) -> DataFrame:
     intro = F.filter(F.split(F.array_join(F.transform("runs", lambda r: r["body"]), "\n"), "\n", -1), lambda x: ~x.rlike(INTRO))
     own = own.select("conv_id", "turn", "th", F.trim(F.array_join(intro, "\n")).alias("own_text"))
     whole_own = own.select("conv_id", "turn", F.sha2(normalised(F.col("own_text")), 256).alias("hash"), F.lit("own_text").alias("_w"), "own_text")
-    line = own.select("conv_id", "turn", F.explode(F.split("own_text", "\n", -1)).alias("l"))
-    line = line.where(normalised(F.col("l")) != "").select("conv_id", "turn", F.sha2(normalised(F.col("l")), 256).alias("hash"))
+    units = own.select("conv_id", "turn", F.explode(units_of(lines_of(F.col("own_text")))["hash"]).alias("hash"))
     wrote = (
         parts.where((F.col("level") == 0) & F.col("hash").isNotNull()).select("conv_id", "turn", "hash")
         .unionByName(whole_own.where(normalised(F.col("own_text")) != "").select("conv_id", "turn", "hash"))
-        .unionByName(line)
+        .unionByName(units)
     )
     first = wrote.where(F.col("turn").isNotNull()).groupBy("conv_id", "hash").agg(F.min("turn").alias("source"))
-    first = first.withColumnsRenamed({"conv_id": "_conv", "hash": "_hash"})
+    first = written(first.withColumnsRenamed({"conv_id": "_conv", "hash": "_hash"}), "writers")
     quoted = parts.where((F.col("level") > 0) & F.col("hash").isNotNull())
     linked = quoted.join(
         first, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("hash") == F.col("_hash")) & (F.col("source") < F.col("turn")), "left"
     )
+    linked = written(linked.select("conv_id", "turn", "th", "at", "level", "body", "source"), "quoted")
+    keys = ["conv_id", "turn", "th"]
+    named = {k: f"_{k}" for k in [*keys, "at"]}
+    part = _trimmed(linked.where("source IS NULL"), first).withColumnsRenamed(named)
+    on = [linked[k].eqNullSafe(part[f"_{k}"]) for k in named]
+    linked = linked.join(part, on, "left").withColumn("source", F.coalesce("source", "part")).drop(*named.values(), "part")
     per = linked.groupBy("conv_id", "turn", "th").agg(
         F.count(F.lit(1)).alias("n_quotes"),
         F.count("source").alias("n_linked"),
@@ -108,7 +168,6 @@ def link(messages: DataFrame) -> DataFrame:
         F.min(F.struct("level", "at", "source")).alias("any"),
     )
     per = per.select("conv_id", "turn", "th", "n_quotes", "n_linked", F.coalesce("outer.source", "any.source").alias("reply_to"))
-    keys = ["conv_id", "turn", "th"]
     named = {k: f"_{k}" for k in keys}
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -164,7 +223,8 @@ def quoting(conversations: DataFrame) -> DataFrame:
     """``conversations`` as mail threads: each turn quotes the one before it, and that one's quotation one deeper.
 
     A turn's mail is an introduction, the quotation of the previous turn's mail down to two levels, and
-    its own text.
+    its own text. Every third turn trims the quotation of the previous turn by its first line, if three
+    lines or more are there.
     """
     prev = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("one"))
     older = conversations.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("two"))
@@ -176,12 +236,16 @@ def quoting(conversations: DataFrame) -> DataFrame:
     def marked(text: Column, mark: str) -> Column:
         return F.array_join(F.transform(F.split(text, "\n", -1), lambda x: F.concat(F.lit(mark), x)), "\n")
 
+    def trimmed(text: Column) -> Column:
+        cut = (F.col("turn") % 3 == 2) & (F.size(F.split(text, "\n", -1)) >= 3)
+        return F.when(cut, F.regexp_replace(text, r"^[^\n]*\n", "")).otherwise(text)
+
     joined = conversations.select("conv_id", "turn", "role", "text").join(prev, keys, "left").join(older, keys, "left")
     mail = F.concat_ws(
         "\n",
         F.when(F.col("one").isNotNull(), F.lit("On the day before, they wrote:")),
         marked(F.col("two"), ">> "),
-        marked(F.col("one"), "> "),
+        marked(trimmed(F.col("one")), "> "),
         whole(F.col("text")),
     )
     return joined.select("conv_id", "turn", "role", mail.alias("text"))

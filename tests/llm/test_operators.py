@@ -394,6 +394,28 @@ def test_quotations(spark):
     assert out[2, 0]["reply_to"] is None and out[None, 1]["reply_to"] == 0 and out[1, 4]["own_text"] == ""
 
 
+def test_trimmed_quotations(spark):
+    lines = [f"line {k} of the first message" for k in range(5)]
+    rows = [
+        (1, 0, "\n".join(lines)),
+        (1, 1, "\n".join(lines[:3]) + "\nand a line of its own\nmore"),
+        (1, 2, f"> {lines[3]}\n> {lines[4]}\ntwo lines"),
+        (1, 3, f"> {lines[1]}\n> {lines[2]}\n> and a line of its own\nthe second wrote all three"),
+        (1, 4, f"> {lines[0]}\n> [...]\n> {lines[4]}\ncut within"),
+        (1, 5, "> two lines of nobody\n> at all\nreply"),
+        (None, 0, "\n".join(lines)),
+        (None, 1, f"> {lines[2]}\n> {lines[3]}\nleaf"),
+    ]
+    made = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("role", F.lit("user"))
+    out = {(r["conv_id"], r["turn"]): r for r in chat.link(made).collect()}
+    assert [out[1, k]["reply_to"] for k in range(6)] == [None, None, 0, 1, 0, None] and out[None, 1]["reply_to"] == 0
+    assert [out[1, k]["n_linked"] for k in range(6)] == [0, 0, 1, 1, 1, 0] and out[1, 2]["depth"] == 1
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "one\ntwo\nthree"), (1, 2, "user", "b")]
+    mails = chat.quoting(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    assert "> one" not in dict(result(mails, "turn", "text"))[2]
+    assert {r["turn"]: r["reply_to"] for r in chat.link(mails).collect()} == {0: None, 1: 0, 2: 1}
+
+
 @pytest.mark.parametrize(
     "run",
     [
