@@ -1,9 +1,10 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contextual extraction.
 
-Base spans are the seeds. Tokens with a digit are candidates, each with its lexical context: the word
-before it and the sign that opens it. A context that mostly holds known identifiers becomes a pattern,
-the candidates in it become known in turn, and so on for some rounds. Contexts and identifiers form a
-graph whose scores Spark aggregates; candidates that a trusted pattern holds are added to the spans.
+Base spans are the seeds. Runs of tokens with digits are candidates. Each has its lexical context: the
+word before it and the sign that opens it. A context that mostly holds known identifiers becomes a
+pattern, the candidates in it become known in turn, and so on until no new pattern appears. Contexts and
+identifiers form a graph whose scores Spark aggregates; candidates that a trusted pattern holds are added
+to the spans.
 """
 
 from __future__ import annotations
@@ -29,11 +30,16 @@ JOINT = "\ue000"
 CARD = rf"[0-9][0-9{JOINT}]++"
 
 CONTEXT = 40
-ROUNDS = 2
 MIN_KNOWN = 3
 CONFIDENCE = 0.8
-#: A candidate: at least six characters of these with a digit among them.
-TOKEN = r"[A-Za-z0-9_@.+%-]{6,}"
+#: A candidate: tokens of these, each with a digit, and single blanks between letters or digits of them; at
+#: least ``SHORTEST`` characters. Tokens start where none stands before, and nothing is tried twice.
+_SIGN = r"A-Za-z_@.+%\-"
+_TOKEN = rf"[{_SIGN}]*+[0-9][{_SIGN}0-9]*+"
+TOKENS = rf"(?<![{_SIGN}0-9]){_TOKEN}(?:(?<=[A-Za-z0-9])[\x20\u00a0](?=[A-Za-z0-9]){_TOKEN})*+"
+SHORTEST = 6
+#: Stands for each character of a base span while candidates are searched.
+MASK = "\ue000"
 ADDED = "id"
 
 
@@ -124,33 +130,64 @@ def listed(found: Column, names: tuple[str, ...]) -> Column:
     )
 
 
+def masked(body: Column, base: Column) -> Column:
+    """``body`` with the base spans blanked out, places unchanged."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, b: Column) -> Column:
+        begin = F.greatest(b["start"], acc["at"])  # spans of different kinds may overlap
+        end = F.greatest(b["end"], acc["at"])
+        gap = F.substring(body, acc["at"] + 1, begin - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(MASK), end - begin))).alias("out"))
+
+    def finish(acc: Column) -> Column:
+        return F.concat(F.array_join(acc["out"], ""), F.substring(body, acc["at"] + 1, F.char_length(body)))
+
+    return F.when(F.size(base) == 0, body).otherwise(F.aggregate(F.array_sort(base), start, step, finish))
+
+
 def candidates(marked: DataFrame) -> DataFrame:
-    """Candidate tokens (doc_id, th, start, end, value, context, seed) of texts with a digit.
+    """Instances (doc_id, th, start, end, value, context, seed): every base span, and the candidates beside them.
 
-    The context is the last word before the token, its digits as 0, and the signs between them, taken
-    from the ``CONTEXT`` characters before it. ``seed`` tells that the token overlaps a base span.
+    The context is the last word before the instance, its digits as 0, and the signs between them, taken
+    from the ``CONTEXT`` characters before it. ``seed`` tells base spans. Candidates that touch one are none.
     """
     body = F.col("body")
-    held = marked.where(body.rlike("[0-9]")).select("doc_id", "th", "body", "base", F.explode(spans(body, TOKEN)).alias("s"))
-    held = held.where(F.col("s.value").rlike("[0-9]"))
+
+    def found(open_: Column) -> Column:
+        long = F.filter(spans(open_, TOKENS), lambda s: s["end"] - s["start"] >= SHORTEST)
+
+        def touches(s: Column) -> Column:
+            before = (s["start"] > 0) & (F.substring(open_, s["start"], F.lit(1)) == MASK)
+            return before | (F.substring(open_, s["end"] + 1, F.lit(1)) == MASK)
+
+        return F.filter(long, lambda s: F.when(F.size("base") > 0, ~touches(s)).otherwise(True))
+
+    def instance(s: Column, value: Column, seed: bool) -> Column:
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), value.alias("value"), F.lit(seed).alias("seed"))
+
+    seeds = F.transform("base", lambda b: instance(b, F.substring(body, b["start"] + 1, b["end"] - b["start"]), True))
+    more = F.transform(let(masked(body, F.col("base")), found), lambda s: instance(s, s["value"], False))
+    held = marked.where((F.size("base") > 0) | body.rlike("[0-9]"))
+    held = held.select("doc_id", "th", "body", F.explode(F.concat(seeds, more)).alias("s"))
     before = F.substring(body, F.greatest(F.col("s.start") - CONTEXT, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(CONTEXT)))
     context = F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S*[\s]*[^\p{L}\p{N}\s]*)$", 1)), "[0-9]", "0")
-    seed = F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))
     return held.select(
         "doc_id", "th", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-        F.xxhash64(F.lower("s.value")).alias("value"), F.trim(context).alias("context"), seed.alias("seed"),
+        F.xxhash64(F.lower("s.value")).alias("value"), F.trim(context).alias("context"), F.col("s.seed").alias("seed"),
     ).where(F.col("context") != "")
 
 
-def trusted(tokens: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, min_known: int = MIN_KNOWN) -> DataFrame:
+def trusted(tokens: DataFrame, confidence: float = CONFIDENCE, min_known: int = MIN_KNOWN) -> DataFrame:
     """Contexts that hold known identifiers: at least ``min_known`` different ones, and ``confidence`` of all.
 
-    Known are the seeds at first, then also what trusted contexts hold.
+    Known are the seeds at first, then also what trusted contexts hold. What is known only grows, so
+    patterns do too, and the rounds end when no context is added.
     """
     edges = written(tokens.groupBy("context", "value").agg(F.max("seed").alias("seed")), "pii-edges")
     known = edges.groupBy("value").agg(F.max(F.col("seed").cast("int")).alias("known"))
-    patterns = None
-    for _ in range(rounds):
+    count = 0
+    while True:
         scored = (
             edges.select("context", "value").join(known, "value")
             .groupBy("context")
@@ -159,12 +196,14 @@ def trusted(tokens: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDE
         patterns = written(
             scored.where((F.col("hits") >= min_known) & (F.col("hits") >= F.col("all") * confidence)).select("context"), "pii-patterns"
         )
+        before, count = count, patterns.count()
+        if count == before:
+            return patterns
         reached = edges.join(patterns, "context", "left_semi").select("value").distinct().withColumn("more", F.lit(1))
         known = written(
             known.join(reached, "value", "left").select("value", F.greatest("known", F.coalesce("more", F.lit(0))).alias("known")),
             "pii-known",
         )
-    return patterns
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -344,6 +344,27 @@ def test_personal_data_bootstraps_contexts(spark):
     assert spans[0].startswith("email:")
 
 
+def test_personal_data_bootstraps_from_spaced_seeds(spark):
+    names = ["ada", "bob", "cyd", "dan"]
+    rows = [(k, f"please write to: {n}@mail.example.org soon") for k, n in enumerate(names)]
+    rows += [(10 + k, f"office Tel: +1 (017) 555-77{k}3 is open") for k in range(4)]
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004"]
+    rows += [(20 + k, f"paid by card no {c} today") for k, c in enumerate(cards)]
+    unseen = {30: ("please write to: ", "ID77-4410"), 31: ("office Tel: ", "017 555 7799"), 32: ("paid by card no ", "4111 1111 1111 1112")}
+    rows += [(i, f"{lead}{value} soon") for i, (lead, value) in unseen.items()]
+    spans = dict(result(pii.find(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "spans"))
+    assert {i: spans[i] for i in unseen} == {i: f"id:{len(a)}:{len(a) + len(b)}" for i, (a, b) in unseen.items()}
+    assert all(spans[i].startswith(("email:", "phone:", "card:")) and "id:" not in spans[i] for i in spans if i < 30)
+
+
+def test_personal_data_iterates_to_the_end(spark):
+    edges = [("c0", v, True) for v in (0, 1, 2, 3)]
+    for k in range(1, 6):  # each context shares four values with the one before and has one of its own
+        edges += [(f"c{k}", v, False) for v in range(k, k + 4)] + [(f"c{k - 1}", k + 3, False)]
+    made = spark.createDataFrame(edges, "context string, value long, seed boolean")
+    assert {r["context"] for r in pii.trusted(made).collect()} == {f"c{k}" for k in range(6)}
+
+
 def test_revisits(spark):
     at = "2024-01-0{} 00:00:00".format
     full = lambda i, url, day, tag, **more: (i, url, at(day), "response", 200, {"ETag": tag, "Content-Type": "text/html", "Date": str(day), **more}, f"d{i}")
