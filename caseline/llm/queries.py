@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseline.llm import (
@@ -13,13 +13,16 @@ from caseline.llm import (
     license_scan,
     mixing,
     ngram_join,
+    periodic,
     pii,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_files,
+    vector_caps,
     warc,
 )
-from caseline.llm.common import table
+from caseline.llm.common import let, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +107,60 @@ def op7_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     linked = chat.link(chat.quoting(table(spark, folder, "conversations")))
     return linked.withColumn("own_md5", F.md5("own_text")).drop("own_text")
+
+
+@query
+def op11_vector_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_caps.near_duplicates(table(spark, folder, "embeddings"))
+
+
+#: One occurrence in so many loses a character, so that variants are there to be found.
+MISSPELT = 199
+
+
+def _misspelt(run: Column) -> Column:
+    """A run of one document, without one of its characters where its hash says so."""
+    h = F.crc32(F.concat_ws(":", F.col("doc_id").cast("string"), run).cast("binary"))
+    at = F.pmod(h, F.char_length(run)).cast("int")
+    shorter = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))
+    return F.when(F.col("doc_id").isNotNull() & (h % MISSPELT == 0), shorter).otherwise(run)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, edit=_misspelt))
+
+
+def _repeating(words: Column) -> Column:
+    """The words of every tenth text from some place on replaced by a repetition of their beginning."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size(words).cast("long"), F.floor(h / 10).cast("long")
+    a = F.when((h % 10 == 0) & (n > 0), g % n)
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    changed = let(
+        F.struct(words.alias("w"), a.alias("a"), p.alias("p")),
+        lambda v: F.transform(
+            v["w"], lambda x, i: F.when(i >= v["a"], F.get(v["w"], (v["a"] + (i - v["a"]) % v["p"]).cast("int"))).otherwise(x)
+        ),
+    )
+    return F.when(a.isNotNull(), changed).otherwise(words)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    words = F.filter(F.split(whole(F.col("text")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    docs = table(spark, folder, "documents").select("doc_id", let(words, lambda w: F.concat_ws(" ", _repeating(w))).alias("text"))
+    found = periodic.periodic_runs(docs)
+    longest = F.get(F.array_sort(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"].alias("length")))), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("_longest.start").alias("start"),
+        F.col("_longest.length").alias("length"),
+        F.col("_longest.period").alias("period"),
+        F.floor(1000 * F.col("_longest.length") / F.col("_longest.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
