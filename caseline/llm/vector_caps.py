@@ -6,8 +6,8 @@ vectors; a filter takes one code word of every block. So a code of few words nam
 vector's list, all filters whose cap holds it, is decoded block by block: partial sums that can't reach the
 threshold any more go at once.
 
-Vectors join on filters of equal label. The code grows with the table, so that a filter holds less than
-one unrelated vector on average; filters with one vector are dropped by their count before any vector moves.
+Vectors join on filters of equal label. The code grows with the table, so that a filter seldom holds two
+unrelated vectors; filters with one vector are dropped by their count before any vector moves.
 The pairs that meet are verified by their cosine in double precision. A pair that meets in several filters
 counts in the first of them. Copies of one vector are one member with a weight. A filter that very many
 vectors share is cut into blocks, each pair of blocks is a unit of work, and a unit hands on counts and a
@@ -30,16 +30,16 @@ THRESHOLD = 0.98
 #: Product codes, each with a rotation of its own; several even out how many filters a vector lies in.
 CODES = 16
 #: Words per block that a code has at most, before it gets another block.
-MOST_WORDS = 512
+MOST_WORDS = 1024
 #: Unrelated vectors of its label that a filter holds on average.
-UNRELATED = 0.25
+UNRELATED = 0.03
 #: All but a tenth of the vectors lie in so many filters at least.
 LISTED = 6
 #: The cap's threshold is fitted on so many vectors at most, the ones of smallest hash.
-SAMPLE = 2000
+SAMPLE = 500
 SEED = 11
 #: Vectors of a filter that one unit of work compares with another block.
-BLOCK_VECTORS = 1024
+BLOCK_VECTORS = 512
 #: Members up to which the pairs of many filters are verified together.
 FEW = 16
 #: Vectors that are decoded together, and earlier filters that are looked up together.
@@ -108,7 +108,7 @@ class Filters:
         self.codes = [Code(d, words, blocks, seed) for seed in range(codes)]
         self.span = words ** len(self.codes[0].books)
         if cap is None:  # of a length that the sample lacks
-            self.cap = self.fitted(np.random.default_rng([SEED, d]).standard_normal((SAMPLE // 10, d)))
+            self.cap = self.fitted(np.random.default_rng([SEED, d]).standard_normal((SAMPLE, d)))
         else:
             self.cap = cap
 
@@ -161,7 +161,7 @@ def _listed(batches: Iterator[pd.DataFrame], words: int, blocks: int, caps: dict
             at = np.flatnonzero(lengths == d)
             for i, found in zip(at, ready[d].lists(units_of(np.stack(batch["embedding"].iloc[at])))):
                 lists[i] = found
-        yield batch.assign(filters=lists)
+        yield batch.drop(columns="embedding").assign(d=lengths, filters=lists)
 
 
 KEY = ["label", "d", "filter", "lo", "hi"]
@@ -274,38 +274,47 @@ def near_duplicates(
     key = F.concat_ws(":", F.col("label").cast("string"), *[F.xxhash64(F.lit(k), "label", embedding) for k in (1, 2)])
     rows = vectors.select("vec_id", "label", embedding, F.when(usable, F.unhex(F.md5(key))).alias("node"))
     found = rows.where(F.col("node").isNotNull())
-    unique = found.groupBy("node").agg(
-        F.min("vec_id").alias("least"),
-        F.count(F.lit(1)).alias("copies"),
-        F.first("label").alias("label"),
-        F.first("embedding").alias("embedding"),
-    )
-    unique = unique.withColumn("d", F.size("embedding"))
-    unique = written(unique, "vectors")
-    most = unique.groupBy("label", "d").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    most = found.groupBy("label", F.size("embedding")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     words, blocks = code_size(most or 0, unrelated)
-    sample = unique.orderBy("node").limit(SAMPLE).select("d", "embedding").toPandas()
+    sample = found.orderBy(F.xxhash64("node", "vec_id")).limit(SAMPLE).select(F.size("embedding").alias("d"), "embedding").toPandas()
     caps = {
         int(d): Filters(int(d), words, blocks, 0.0, codes).fitted(np.stack(some["embedding"].to_numpy()))
         for d, some in sample.groupby("d")
         if len(some) >= SAMPLE // 20
     }
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in unique.schema)
+    label_type = vectors.schema["label"].dataType.simpleString()
+    listed = found.select("node", "label", "embedding").mapInPandas(
+        lambda it: _listed(it, words, blocks, caps, codes), f"node binary, label {label_type}, d int, filters array<long>"
+    )
+    # lists and ids only: vectors stay where they are until a filter is shared
     nodes = written(
-        unique.mapInPandas(lambda it: _listed(it, words, blocks, caps, codes), f"{types}, filters array<long>"), "caps"
+        listed.groupBy("node").agg(
+            F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("d").alias("d"), F.first("filters").alias("filters")
+        ),
+        "caps",
     )
-    entries = nodes.select("node", "label", "d", F.explode("filters").alias("filter"))
+    entries = nodes.select("node", "copies", "label", "d", F.explode("filters").alias("filter"))
     bucket = ["label", "d", "filter"]
     shared = entries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    parts = F.ceil(F.col("held") / BLOCK_VECTORS).cast("int")
+    members = (  # a node's filters are a short list, however many share them
+        entries.join(shared, bucket).groupBy("node").agg(
+            F.first("copies").alias("copies"),
+            F.first("label").alias("label"),
+            F.first("d").alias("d"),
+            F.array_sort(F.collect_list(F.struct("filter", parts.alias("parts")))).alias("held"),
+        )
+    )
+    carried = found.join(members.select("node"), "node", "left_semi").groupBy("node").agg(F.first("embedding").alias("embedding"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    members = (
-        entries.join(shared, bucket)
-        .withColumn("parts", F.ceil(F.col("held") / BLOCK_VECTORS).cast("int"))
+    work = (
+        members.join(carried, "node")
+        .select("node", "copies", "label", "d", "embedding", F.col("held.filter").alias("filters"), F.inline("held"))
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("with", other)
-        .select("node", "filter", "parts", "part", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"))
+        .withColumns({"lo": F.least("part", "with"), "hi": F.greatest("part", "with")})
+        .drop("with")
     )
-    work = members.join(nodes.select("node", "label", "d", "copies", "embedding", "filters"), "node")
     links = written(
         work.repartition(*KEY).sortWithinPartitions(*KEY)
         .mapInPandas(lambda it: _linked(it, threshold), "node binary, other binary, links long"),
@@ -313,9 +322,9 @@ def near_duplicates(
     )
     reached = components(links.select("node", "other"), "node", "other")
     degree = links.groupBy("node").agg(F.sum("links").alias("links"))
-    about = nodes.select("node", "least", "copies").join(degree, "node", "left").join(reached, "node", "left")
+    least = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("vec_id").alias("least"))
     about = written(
-        about.select(
+        nodes.select("node", "copies").join(least, "node").join(degree, "node", "left").join(reached, "node", "left").select(
             "node",
             F.coalesce("root", "node").alias("root"),
             "least",
