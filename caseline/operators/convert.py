@@ -18,9 +18,10 @@ class ConvertFailure(ValueError):
     """Too many cells of a column could not be parsed."""
 
 
-# Complete days and times; the plain cast behind them is much faster than a format, but laxer.
-_DAY = r"^\d{4}-\d{2}-\d{2}$"
-_MOMENT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# Days and times, with months, days and time parts of one digit or two; the plain cast behind them is much
+# faster than a format, but laxer. What follows a complete date or time doesn't matter.
+_DAY = r"^\d{4}-\d{1,2}-\d{1,2}"
+_MOMENT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}"
 
 
 def _number(text: Column) -> Column:
@@ -41,11 +42,9 @@ def parse(text: Column, kind: str) -> Column:
     if kind == "double":
         return _number(text)
     if kind == "datetime":
-        moment = F.substring(text, 1, 19)
-        return F.when(moment.rlike(_MOMENT), moment.try_cast("timestamp"))
+        return F.regexp_substr(text, F.lit(_MOMENT)).try_cast("timestamp")
     if kind == "date":
-        day = F.substring(text, 1, 10)
-        return F.when(day.rlike(_DAY), day.try_cast("date"))
+        return F.regexp_substr(text, F.lit(_DAY)).try_cast("date")
     raise ValueError(f"unknown type {kind!r}")
 
 
@@ -111,6 +110,26 @@ def failure_examples(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
             )
         )
     ).where(F.col("value").isNotNull())
+    return smallest_values(cells)
+
+
+def unparsed(kinds: Mapping[str, str]) -> Column:
+    """The filled cells of a row of ``with_parsed`` that did not parse, as (variable, value); null if all did."""
+    cells = F.array(
+        *[
+            F.when(F.coalesce(_filled(F.col(c)), F.lit(False)) & F.col(parsed_column(c)).isNull(), F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")))
+            for c in kinds
+        ]
+    )
+    found = F.filter(cells, lambda x: x.isNotNull())
+    return F.when(F.size(found) > 0, found)
+
+
+def smallest_values(cells: DataFrame) -> DataFrame:
+    """The five smallest distinct values of each variable of (variable, value), as one text.
+
+    Distinct values are found task by task, and each task hands on five of a variable, so what meets is bounded.
+    """
     place = F.row_number().over(Window.partitionBy("variable").orderBy("value"))
     kept = cells.distinct().withColumn("place", place).where(F.col("place") <= EXAMPLES)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), ", ")
@@ -143,3 +162,10 @@ def check_converted(df: DataFrame, kinds: Mapping[str, str], max_fail_rate: floa
     if stops:
         raise ConvertFailure(f"parse failures above {100 * max_fail_rate:.3f}% in {'; '.join(stops)}")
     return messages
+
+
+def stop_on(lines: Sequence[Mapping[str, object]], variables: Mapping[str, str], max_fail_rate: float | None) -> None:
+    """Raise if there are rule lines of columns that fail too often; they have their examples."""
+    if lines:
+        said = [f"{variables[r['rule']]}: {r['failed']} ({100 * r['fraction']:.4f}%) e.g. {r['examples']}" for r in lines]
+        raise ConvertFailure(f"parse failures above {100 * max_fail_rate:.3f}% in {'; '.join(sorted(said))}")

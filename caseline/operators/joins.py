@@ -167,3 +167,29 @@ def require_row_count(before: DataFrame, after: DataFrame) -> None:
     row = row_count_report(before, after).first()
     if not row["matches"]:
         raise ValueError(f"expected {row['expected']} rows, got {row['actual']}")
+
+
+def duplicate_keys(lookups: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Keys that occur more than once in their lookup, for all lookups at once: lookup, key and lines.
+
+    ``lookups`` maps a name to a table and its key columns. Rows whose key has a missing part can't be
+    matched by a plain join and don't count. The tables are reduced to their keys and united, so one
+    aggregation checks them all, whatever columns a later plan reads.
+    """
+    keys = None
+    for name, (lookup, columns) in lookups.items():
+        known = lookup.dropna(subset=list(columns)).select(
+            F.lit(name).alias("lookup"), F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("key")
+        )
+        keys = known if keys is None else keys.unionByName(known)
+    return keys.groupBy("lookup", "key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
+
+
+def used_duplicates(duplicates: DataFrame, base: DataFrame, uses: Sequence[tuple[str, str]]) -> DataFrame:
+    """Duplicate keys that code columns of ``base`` use: lookup, key, lines and the rows that use them.
+
+    ``uses`` lists (lookup, code column). The rows are reduced to counted codes before the join.
+    """
+    cells = [F.struct(F.lit(lookup).alias("lookup"), F.col(c).cast("string").alias("key")) for lookup, c in uses]
+    used = base.select(F.inline(F.array(*cells))).where(F.col("key").isNotNull()).groupBy("lookup", "key").agg(F.count(F.lit(1)).alias("rows"))
+    return duplicates.join(used, ["lookup", "key"])

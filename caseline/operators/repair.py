@@ -180,16 +180,93 @@ def shift_left(cells: Column, start: Column, n: Column) -> Column:
 
 @dataclass
 class Repaired:
-    """Rows after the repair, and the log of every row it fixed or dropped."""
+    """Rows after the repair, and the log of every row it fixed or dropped.
+
+    ``marked`` holds all rows, dropped ones too, with what happened to each in the column ``_mend``; written
+    once, it is the evidence for counts, log and fingerprints.
+    """
 
     rows: DataFrame
     log: DataFrame
     staged: DataFrame
+    marked: DataFrame
 
     def summary(self) -> DataFrame:
         """One row of counts over all input rows."""
         return self.staged.agg(*summary_metrics())
 
+    def fingerprints(self, raw: DataFrame) -> DataFrame:
+        """Sums of row prints: of all rows of ``raw``, of the touched ones among them, of the untouched ones that come out.
+
+        The first sum reads ``raw`` by itself, so it knows nothing of the repair.
+        """
+        names = [c for c in raw.columns if c != OVERFLOW]
+        before = raw.agg(_total(row_print(names)).alias("before"))
+        return self.marked.agg(
+            before.scalar().alias("print_before"),
+            _total(F.when(~_untouched(), F.col(f"{MEND}.print_in"))).alias("print_touched"),
+            _total(F.when(_untouched(), F.col(f"{MEND}.print_out"))).alias("print_after"),
+        ).withColumn("unchanged", F.expr("print_before - print_touched = print_after"))
+
+
+#: What the repair did to a row: status (null if untouched), whether it broke a rule, whether it was longer
+#: than the header, prints of the cells before and after, and its log entry.
+MEND = "_mend"
+DROPPED = ("dropped", "dropped_after_fix")
+
+
+def row_print(names: Sequence[str]) -> Column:
+    """60 bits of a hash of the named cells of a row; missing cells differ from empty ones."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in names]
+    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast("long")
+
+
+def _total(prints: Column) -> Column:
+    """Sum that no order and no number of rows can change."""
+    return F.coalesce(F.sum(prints.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+
+
+def _untouched() -> Column:
+    return F.col(f"{MEND}.status").isNull()
+
+
+def kept(marked: DataFrame) -> DataFrame:
+    """The rows of a marked table that the repair keeps, without its marks."""
+    return marked.where(_untouched() | (F.col(f"{MEND}.status") == "fixed")).drop(MEND)
+
+
+def counts_of(marked: DataFrame) -> DataFrame:
+    """One row of counts and fingerprints of a marked table that was written."""
+    status = F.col(f"{MEND}.status")
+    return marked.agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(status == "fixed").alias("fixed"),
+        F.count_if(status == "dropped").alias("dropped"),
+        F.count_if(status == "dropped_after_fix").alias("dropped_after_fix"),
+        F.count_if(_untouched() | (status == "fixed")).alias("rows_out"),
+        F.count_if(status.isin("fixed", "dropped_after_fix") & ~F.col(f"{MEND}.violated")).alias("fixed_without_cause"),
+        _total(F.col(f"{MEND}.print_in")).alias("print_before"),
+        _total(F.when(~_untouched(), F.col(f"{MEND}.print_in"))).alias("print_touched"),
+        _total(F.when(_untouched(), F.col(f"{MEND}.print_out"))).alias("print_after"),
+    )
+
+
+def log_of(marked: DataFrame) -> DataFrame:
+    """The audit log of a marked table that was written.
+
+    Rows without extra cells are handled in the overflow pass of a table that has any longer row.
+    """
+    longer = marked.agg(F.coalesce(F.max(F.col(f"{MEND}.wide")), F.lit(False)).alias("longer")).scalar()
+    entry, status = F.col(f"{MEND}.log"), F.col(f"{MEND}.status")
+    return marked.where(~_untouched()).select(
+        entry["row_n"].alias("row_n"),
+        entry["n_extra"].alias("n_extra"),
+        entry["shift_col"].alias("shift_col"),
+        F.when(longer, "overflow").otherwise("hidden").alias("pass"),
+        status.alias("status"),
+        *[entry[c].alias(c) for c in ("original_violations", "original_vals", "fixed_violations", "fixed_vals")],
+    )
+
 
 def summary_metrics() -> list[Column]:
     status = F.col("_repair.status")
@@ -260,7 +337,24 @@ def repair_shifts(
     rows = kept.select(
         *[F.when(status == "fixed", F.get(F.col("_repair.after"), F.lit(i))).otherwise(F.col(c)).alias(c) for i, c in enumerate(names)]
     )
-    return Repaired(rows, _log(_watched(staged), staged, layout, row_id), staged)
+    entry = F.struct(*_entries(layout, row_id))
+    marked = watched.select(
+        *[F.when(status == "fixed", F.get(F.col("_repair.after"), F.lit(i))).otherwise(F.col(c)).alias(c) for i, c in enumerate(names)],
+        status.alias("_status"),
+        F.col("_repair.violated").alias("_violated"),
+        (F.coalesce(F.size(OVERFLOW), F.lit(0)) > 0).alias("_wide"),
+        row_print(names).alias("_in"),
+        F.when(status.isNotNull(), entry).alias("_entry"),
+    )
+    mend = F.struct(
+        F.col("_status").alias("status"),
+        F.col("_violated").alias("violated"),
+        F.col("_wide").alias("wide"),
+        F.col("_in").alias("print_in"),
+        row_print(names).alias("print_out"),
+        F.col("_entry").alias("log"),
+    )
+    return Repaired(rows, _log(_watched(staged), staged, layout, row_id), staged, marked.select(*names, mend.alias(MEND)))
 
 
 def _watched(staged: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -269,22 +363,27 @@ def _watched(staged: DataFrame, observation: Observation | None = None) -> DataF
     return staged.observe(observation or f"repair_{uuid.uuid4().hex}", *summary_metrics())
 
 
-def _log(watched: DataFrame, staged: DataFrame, layout: _Layout, row_id: str | None) -> DataFrame:
-    # Rows without extra cells are handled in the overflow pass of a table that has any longer row.
-    longer = staged.agg(F.coalesce(F.max(F.size(OVERFLOW) > 0), F.lit(False)).alias("longer")).scalar()
+def _entries(layout: _Layout, row_id: str | None) -> list[Column]:
+    """The entries of the log that a row knows by itself."""
     before, after = F.col("_repair.before"), F.col("_repair.after")
-    start = F.get(_texts(layout.names), F.col("_repair.start") - 1)
-    return watched.where(F.col("_repair").isNotNull()).select(
+    return [
         F.col(row_id or "_row").alias("row_n"),
         F.col("_repair.n_extra").alias("n_extra"),
-        start.alias("shift_col"),
-        F.when(longer, "overflow").otherwise("hidden").alias("pass"),
+        F.get(_texts(layout.names), F.col("_repair.start") - 1).alias("shift_col"),
         F.col("_repair.status").alias("status"),
         layout.describe_violations(before).alias("original_violations"),
         layout.snapshot(before).alias("original_vals"),
         F.when(F.col("_repair.status") != "dropped", layout.describe_violations(after)).alias("fixed_violations"),
         layout.snapshot(after).alias("fixed_vals"),
-    )
+    ]
+
+
+def _log(watched: DataFrame, staged: DataFrame, layout: _Layout, row_id: str | None) -> DataFrame:
+    # Rows without extra cells are handled in the overflow pass of a table that has any longer row.
+    longer = staged.agg(F.coalesce(F.max(F.size(OVERFLOW) > 0), F.lit(False)).alias("longer")).scalar()
+    entries = _entries(layout, row_id)
+    place = F.when(longer, "overflow").otherwise("hidden").alias("pass")
+    return watched.where(F.col("_repair").isNotNull()).select(*entries[:3], place, *entries[3:])
 
 
 def check_repair(counts: dict, max_share: float | None = None) -> dict:
@@ -299,6 +398,8 @@ def check_repair(counts: dict, max_share: float | None = None) -> dict:
         raise RepairFailure(f"{counts['fixed_without_cause']} rows fixed without a violation")
     if counts["rows_in"] - counts["dropped"] - counts["dropped_after_fix"] != counts["rows_out"]:
         raise RepairFailure("row count does not add up")
+    if "print_before" in counts and counts["print_before"] - counts["print_touched"] != counts["print_after"]:
+        raise RepairFailure("a row that the repair had no reason to touch has changed")
     return counts
 
 

@@ -1,13 +1,14 @@
 """Declarative data-quality rules, evaluated together in one aggregation.
 
-A rule says which rows fail. All rules of a table become columns of a single aggregate, either as
-a query of its own (``evaluate``) or as metrics observed while the table is written (``Watch``),
-which costs no extra pass. Only key uniqueness needs a shuffle.
+A rule says which rows fail. All rules of a table become columns of a single aggregate (``evaluate``), or
+marks that are written beside the rows and counted in the committed files (``marks``, ``count_marks``).
+Membership in lookups is counted by code (``count_members``). ``Watch`` observes metrics in passing; they
+are a view of a running job, as Spark adds the metrics of a task that has to be run again once more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -26,7 +27,8 @@ class Rule:
     """``fails`` marks failing rows, ``where`` (if any) the rows the rule looks at.
 
     Without levels a single failing row stops. ``value`` replaces both for a rule on an aggregate:
-    it is a boolean aggregate that must hold.
+    it is a boolean aggregate that must hold. ``code`` names the column of a membership rule and
+    ``extra`` the codes that pass besides the lookup's.
     """
 
     name: str
@@ -35,6 +37,8 @@ class Rule:
     warn_at: float | None = None
     stop_at: float | None = None
     value: Column | None = None
+    code: str | None = None
+    extra: tuple[str, ...] = ()
 
     def when(self, where: Column) -> Rule:
         return replace(self, where=where)
@@ -132,7 +136,7 @@ def in_lookup(column: str, extra: Sequence[str] = ()) -> Rule:
     known = F.coalesce(F.col(known_column(column)), F.lit(False))
     if extra:
         known = known | F.coalesce(c.isin(list(extra)), F.lit(False))
-    return Rule(f"in_lookup({column})", c.isNotNull() & ~known)
+    return Rule(f"in_lookup({column})", c.isNotNull() & ~known, code=column, extra=tuple(extra))
 
 
 def flag_known(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -216,6 +220,81 @@ def enforce(report: Iterable[dict]) -> list[dict]:
     return [r for r in lines if r["level"] == "warn"]
 
 
+# One character per rule and row: passed, failed, not looked at.
+PASSED, FAILED, SKIPPED = "p", "f", "-"
+
+
+def marks(rules: Sequence[Rule]) -> Column:
+    """What every rule says of a row, as a text with one character per rule.
+
+    Rows of one table share few such texts, so they cost little where they are written, and counting
+    the texts of committed files gives exact counts however often a task had to be run again.
+    """
+    verdicts = []
+    for rule in rules:
+        if rule.value is not None or rule.code is not None:
+            raise ValueError(f"{rule.name} is no rule on single rows")
+        verdict = F.when(F.coalesce(rule.fails, F.lit(True)), FAILED).otherwise(PASSED)
+        verdicts.append(verdict if rule.where is None else F.when(F.coalesce(rule.where, F.lit(False)), verdict).otherwise(SKIPPED))
+    return F.concat(F.lit(""), *verdicts)
+
+
+def _lines(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Report of counts (at, failed, total) by the places of the rules; what has no count has zero rows."""
+    spark = counts.sparkSession
+    places = [(i, r.name, r.warn_at, r.stop_at) for i, r in enumerate(rules)]
+    named = spark.createDataFrame(places, "at int, rule string, warn_at double, stop_at double")
+    zero = F.lit(0).cast("long")
+    joined = named.join(counts, "at", "left").withColumns({c: F.coalesce(c, zero) for c in ("failed", "total")})
+    return _report(joined)
+
+
+def count_marks(df: DataFrame, column: str, rules: Sequence[Rule]) -> DataFrame:
+    """Report of the rules behind the marks in ``column``; rows without marks don't count."""
+    texts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    places = F.transform(
+        F.sequence(F.lit(1), F.length(column)),
+        lambda i: F.struct((i - 1).cast("int").alias("at"), F.substring(F.col(column), i, F.lit(1)).alias("mark")),
+    )
+    verdicts = texts.where(F.length(column) > 0).select("n", F.inline(places))
+    counts = verdicts.groupBy("at").agg(
+        F.sum(F.when(F.col("mark") == FAILED, F.col("n"))).alias("failed"),
+        F.sum(F.when(F.col("mark") != SKIPPED, F.col("n"))).alias("total"),
+    )
+    return _lines(counts, rules)
+
+
+def code_histogram(df: DataFrame, codes: Sequence[Column]) -> DataFrame:
+    """Rows per code column and code as (at, code, n), with ``at`` the place of the column and null codes kept."""
+    cells = [F.struct(F.lit(i).alias("at"), c.cast("string").alias("code")) for i, c in enumerate(codes)]
+    return df.select(F.inline(F.array(*cells))).groupBy("at", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_members(
+    df: DataFrame, rules: Sequence[Rule], known: Sequence[tuple[DataFrame, str, Sequence[str]]], names: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Report of membership rules from counted codes: rows are reduced to one line per column and code, and
+    these lines meet all lookups in one join.
+
+    ``known`` lists (lookup, key, columns); ``names`` are the columns' names in ``df`` where they differ.
+    """
+    names = names or {}
+    used = code_histogram(df, [F.col(names.get(r.code, r.code)) for r in rules])
+    at = {r.code: i for i, r in enumerate(rules)}
+    members = df.sparkSession.createDataFrame(
+        [(i, code) for i, r in enumerate(rules) for code in r.extra], "at int, code string"
+    )
+    for lookup, key, columns in known:
+        places = [F.lit(at[c]) for c in columns if c in at]
+        if places:
+            codes = lookup.where(F.col(key).isNotNull()).select(F.explode(F.array(*places)).alias("at"), F.col(key).cast("string").alias("code"))
+            members = members.unionByName(codes)
+    members = members.distinct().withColumn("member", F.lit(True))
+    failed = F.sum(F.when(F.col("code").isNotNull() & F.col("member").isNull(), F.col("n")).otherwise(0))
+    counts = used.join(members, ["at", "code"], "left").groupBy("at").agg(failed.alias("failed"), F.sum("n").alias("total"))
+    return _lines(counts, rules)
+
+
 class Watch:
     """Rules counted while a table passes through a job that writes it.
 

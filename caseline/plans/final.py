@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseline.functions import codes, text, values
 from caseline.operators import columns, filters, joins, rules
-from caseline.operators.rules import Rule, Watch
+from caseline.operators.rules import Rule
 from caseline.plans import specs
 from caseline.plans.specs import CODES, FILLED, KEYS
 from caseline.plans.stages import Lookups, court_decisions
@@ -19,6 +19,8 @@ NO_APPLICATION = "No application"
 FIRST_DAY = "1997-10-01"
 CASE_TYPES = ("RMV", "WHO")
 MAX_DROPPED = 0.01
+#: What the final rules say of a row.
+MARKS = "_marks"
 
 # Labels of custody and asylum claim codes.
 CUSTODY_LABELS = {"N": "never detained", "R": "released", "D": "detained throughout"}
@@ -172,17 +174,21 @@ def final_rules(excused: Sequence[str] = specs.CHECKED_GRANTS) -> list[Rule]:
     ]
 
 
-def _assemble(stages: Mapping[str, DataFrame], crosswalk: DataFrame, lookups: Lookups) -> DataFrame:
-    """All by-case tables joined on the case, with dates, amounts and outcomes settled.
+def by_case(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """The seven tables joined on the case, one row per case.
 
-    The stage tables come hashed on the case, so the joins share one partitioning.
+    Stage tables that were written in buckets of the case join without an exchange.
     """
     cases = joins.left_by_key(stages["proceedings"], "idncase", stages["custody"])
     cases = joins.inner_by_key(cases, stages["cases"], "idncase")
-    areas = {c: c for c in crosswalk.columns if c != "zcta"}
-    cases = joins.many_to_one(cases, crosswalk, {"alien_zipcode": "zcta"}, areas).drop("alien_zipcode")
     bonds = stages["bonds"].withColumnsRenamed({f"hearing_location_code_{p}": f"bond_hearing_location_code_{p}" for p in PLACES})
-    cases = joins.left_by_key(cases, "idncase", stages["appeals"], stages["applications"], bonds, stages["charges"])
+    return joins.left_by_key(cases, "idncase", stages["appeals"], stages["applications"], bonds, stages["charges"])
+
+
+def _assemble(stages: Mapping[str, DataFrame], crosswalk: DataFrame, lookups: Lookups) -> DataFrame:
+    """All by-case tables joined on the case, with areas, dates, amounts and outcomes settled."""
+    areas = {c: c for c in crosswalk.columns if c != "zcta"}
+    cases = joins.many_to_one(by_case(stages), crosswalk, {"alien_zipcode": "zcta"}, areas).drop("alien_zipcode")
     cases = columns.rename(
         cases,
         {
@@ -288,31 +294,62 @@ def _case_labels(cases: DataFrame) -> DataFrame:
     )
 
 
-def build_final(
-    stages: Mapping[str, DataFrame],
-    lookups: Lookups,
-    crosswalk: DataFrame,
-    watch: Watch | None = None,
-    measure: bool = False,
+def assembled(
+    stages: Mapping[str, DataFrame], lookups: Lookups, crosswalk: DataFrame, excused: Sequence[str] = specs.CHECKED_GRANTS, measure: bool = False
 ) -> DataFrame:
-    """The final table in its column order, for cases since the cohort's first day.
+    """All cases with their labels as decoded, before the cohort filter, and in ``_marks`` what the final rules say.
 
-    Without a ``watch`` the cohort filter moves below all joins. With one, its rules are counted on
-    the assembled rows before the filter, in the same job. ``measure`` measures each lookup before
-    it may be broadcast instead of trusting the size estimate.
+    A job writes this table, counts the marks of the committed files and goes on only if they pass.
+    ``measure`` measures each lookup before it may be broadcast instead of trusting the size estimate.
     """
     cases = _decode_all(_assemble(stages, crosswalk, lookups), lookups, measure)
-    if watch is not None:
-        kept = cases.columns
-        for name, column in (("tblLookupCaseType", "case_type_code"), ("tblLookupBIADecisionType", "bia_decision_type_code")):
-            cases = rules.flag_known(cases, lookups[name], "str_code", [column])
-        cases = watch.attach(cases).select(*kept)
-    cases = columns.map_columns(cases, lambda f: f.dataType.simpleString() == "timestamp", values.utc_date)
+    return cases.withColumn(MARKS, rules.marks([r for r in final_rules(excused) if r.code is None]))
+
+
+def final_lines(cases: DataFrame, lookups: Lookups, excused: Sequence[str] = specs.CHECKED_GRANTS) -> DataFrame:
+    """Rule lines of an assembled table."""
+    every = final_rules(excused)
+    plain, members = [r for r in every if r.code is None], [r for r in every if r.code is not None]
+    known = [(lookups["tblLookupCaseType"], "str_code", ["case_type_code"]), (lookups["tblLookupBIADecisionType"], "str_code", ["bia_decision_type_code"])]
+    lines = rules.count_marks(cases, MARKS, plain).unionByName(rules.count_members(cases, members, known))
+    return lines.select(F.lit("final").alias("table"), *lines.columns)
+
+
+def finished(cases: DataFrame) -> DataFrame:
+    """The release of an assembled table: labels cased, names, durations and column order, the cohort alone."""
+    cases = columns.map_columns(cases.drop(MARKS), lambda f: f.dataType.simpleString() == "timestamp", values.utc_date)
     cases = columns.rename(_case_labels(cases), RENAMES)
     cases = cases.withColumns({f"{a}_to_{b}_days": values.days_between(F.col(b), F.col(a)) for a, b in DURATIONS})
     return filters.cohort(columns.to_front(cases, column_order()), "nta_date", FIRST_DAY, "case_type_code", CASE_TYPES)
 
 
+def build_final(stages: Mapping[str, DataFrame], lookups: Lookups, crosswalk: DataFrame, measure: bool = False) -> DataFrame:
+    """The final table in its column order, for cases since the cohort's first day, in one plan.
+
+    Its rules aren't looked at, so the cohort filter moves below all joins.
+    """
+    return finished(assembled(stages, lookups, crosswalk, measure=measure))
+
+
+def unique_lookups(lookups: Lookups) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Lookups that a key may occur in only once, with their keys; the others are decoded null-safe or where they are unique."""
+    plain = {name: key for name, key, _, _ in DECODES} | {"tblLookupBaseCity": "base_city_code", "tblLookupJudge": "judge_code"}
+    return {name: (lookups[name], [key]) for name, key in plain.items()}
+
+
+def lookup_uses() -> list[tuple[str, str]]:
+    """Which code columns of the joined by-case tables are decoded with which of them."""
+    named = {"language_code": "lang", "nationality_code": "nat", "appeal_type_code": "appeal_type", "bia_decision_code": "bia_decision"}
+    uses = [(name, named.get(c, c)) for name, _, _, targets in DECODES for c in targets]
+    uses += [("tblLookupBaseCity", c) for c in ("first_court_code", "final_court_code", *[f"bond_court_code_{p}" for p in PLACES])]
+    return uses + [("tblLookupJudge", c) for c in ("first_judge_code", "last_judge_code", *[f"bond_judge_code_{p}" for p in PLACES])]
+
+
+def used_duplicates(stages: Mapping[str, DataFrame], lookups: Lookups) -> DataFrame:
+    """Lookup keys that occur more than once and that a case uses."""
+    return joins.used_duplicates(joins.duplicate_keys(unique_lookups(lookups)), by_case(stages), lookup_uses())
+
+
 def join_report(stages: Mapping[str, DataFrame]) -> DataFrame:
     """Cases the inner join with the case table keeps and drops."""
     return joins.inner_join_report(stages["proceedings"], stages["cases"], "idncase", MAX_DROPPED)

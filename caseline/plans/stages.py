@@ -1,96 +1,158 @@
 """The seven by-case tables: repaired, cleaned, checked, typed and collapsed to one row per case.
 
-A stage is one lazily planned job over its source table. The raw text is scanned once, and all the
-stage's rules are counted in that scan or while the result is written.
+A stage has two steps. The first turns the raw text into typed rows in one scan without a shuffle; every
+row carries what the repair did to it and what each rule says of it. A job writes these rows and counts
+the committed files, so the counts are exact however often a task has to be run again. The second step
+collapses the rows that the repair keeps. Queries may chain both without writing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseline.functions import codes, text
 from caseline.operators import collapse, columns, convert, repair, rules
-from caseline.operators.rules import Rule, Watch
+from caseline.operators.rules import Rule
 from caseline.plans import specs
 from caseline.plans.specs import TableSpec
-from caseline.session import cut_lineage
 
 Lookups = Mapping[str, DataFrame]
+Known = Sequence[tuple[str, str, Sequence[str]]]
+
+#: What the rules say of a row before and after typing, and its cells that didn't parse.
+SOURCE_MARKS, TYPED_MARKS, UNPARSED = "_source_marks", "_typed_marks", "_unparsed"
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
 
 
 @dataclass
 class Stage:
-    """A by-case table with the counts to be checked after it is written."""
+    """A by-case table in the making: ``checked`` are its typed rows with their marks, ``collapse`` makes the table of them."""
 
     spec: TableSpec
-    table: DataFrame
-    log: DataFrame
-    repair_counts: Observation
-    watches: list[Watch]
-    clean: DataFrame
-
-    def check(self, max_share: float | None = None) -> list[dict]:
-        """Raise if the repair, the typing or a rule stops; return all rule lines."""
-        repair.check_repair(self.repair_counts.get, max_share)
-        lines = [line for w in self.watches for line in w.report()]
-        stopped = [c for c, kind in self.spec.kinds.items() if any(
-            line["rule"] == convert.rule_name(c, kind) and line["level"] == "stop" for line in lines
-        )]
-        if stopped:
-            # Only now is a second pass worth it, to show what could not be parsed.
-            convert.check_converted(self.clean, {c: self.spec.kinds[c] for c in stopped}, self.spec.max_fail_rate)
+    lookups: Lookups
+    checked: DataFrame
+    collapse: Callable[[DataFrame], DataFrame] = _same
+    extra_rules: Sequence[Rule] = field(default_factory=list)
+    result_known: Known = ()
+
+    @property
+    def table(self) -> DataFrame:
+        """The by-case table, planned in one piece from the raw text."""
+        return self.collapse(self.rows(self.checked))
+
+    @staticmethod
+    def rows(checked: DataFrame) -> DataFrame:
+        """The typed rows that the repair keeps."""
+        return repair.kept(checked.drop(SOURCE_MARKS, TYPED_MARKS, UNPARSED))
+
+    def _known(self, known: Known) -> list[tuple[DataFrame, str, Sequence[str]]]:
+        return [(self.lookups[name], key, names) for name, key, names in known]
+
+    def _labelled(self, lines: DataFrame, part: str) -> DataFrame:
+        return lines.select(F.lit(f"{self.spec.name} {part}").alias("table"), *lines.columns)
+
+    def row_lines(self, checked: DataFrame) -> DataFrame:
+        """Rule lines of the rows: the marks that were written, and the codes counted against the lookups."""
+        source = [r for r in _source_checks(self.spec) if r.code is None]
+        members = [r for r in _source_checks(self.spec) if r.code is not None]
+        lines = self._labelled(rules.count_marks(checked, SOURCE_MARKS, source), "source")
+        if members:
+            coded = [r.code for r in members]
+            names = dict(zip(coded, _renamed(self.spec, coded)))
+            counted = rules.count_members(self.rows(checked), members, self._known(self.spec.known), names)
+            lines = lines.unionByName(self._labelled(counted, "source"))
+        typed = self.spec.typed_rules()
+        return lines.unionByName(self._labelled(rules.count_marks(checked, TYPED_MARKS, typed), "typed")) if typed else lines
+
+    def result_lines(self, table: DataFrame) -> DataFrame | None:
+        """Rule lines of the by-case table."""
+        every = [*self.spec.result_rules(), *self.extra_rules]
+        plain, members = [r for r in every if r.code is None], [r for r in every if r.code is not None]
+        parts = []
+        if plain:
+            parts.append(rules.evaluate(table, plain))
+        if members:
+            parts.append(rules.count_members(table, members, self._known(self.result_known)))
+        for part in parts[1:]:
+            parts[0] = parts[0].unionByName(part)
+        return self._labelled(parts[0], "result") if parts else None
+
+    def unparsed(self, checked: DataFrame) -> DataFrame:
+        """Examples of the cells that did not parse, below the limit too: variable and examples."""
+        return convert.smallest_values(checked.where(F.col(UNPARSED).isNotNull()).select(F.inline(UNPARSED)))
+
+    def check_rows(self, checked: DataFrame, max_share: float | None = None) -> tuple[dict, list[dict]]:
+        """Raise if the repair, the typing or a rule stops; return the repair's counts and all rule lines.
+
+        Lines of columns with cells that did not parse have ``examples`` of them.
+        """
+        counts = repair.check_repair(repair.counts_of(checked).first().asDict(), max_share)
+        lines = [r.asDict() for r in self.row_lines(checked).collect()]
+        parses = {convert.rule_name(c, kind): c for c, kind in self.spec.kinds.items()}
+        failing = [line for line in lines if line["rule"] in parses and line["failed"]]
+        if failing:
+            shown = {r["variable"]: r["examples"] for r in self.unparsed(checked).collect()}
+            for line in failing:
+                line["examples"] = shown[parses[line["rule"]]]
+            convert.stop_on([line for line in failing if line["level"] == "stop"], parses, self.spec.max_fail_rate)
         rules.enforce(lines)
-        return lines
+        return counts, lines
 
+    def check_result(self, table: DataFrame) -> list[dict]:
+        """Raise if a rule on the by-case table stops; return its lines."""
+        lines = self.result_lines(table)
+        found = [] if lines is None else [r.asDict() for r in lines.collect()]
+        rules.enforce(found)
+        return found
 
-def _flagged(df: DataFrame, known: Sequence[tuple[str, str, Sequence[str]]], lookups: Lookups) -> DataFrame:
-    for name, key, names in known:
-        df = rules.flag_known(df, lookups[name], key, names)
-    return df
 
+def repair_log(checked: DataFrame) -> DataFrame:
+    """The audit log of the repair of a stage's rows."""
+    return repair.log_of(checked)
 
-def _watched(df: DataFrame, label: str, table_rules: Sequence[Rule], watches: list[Watch]) -> DataFrame:
-    if not table_rules:
-        return df
-    watch = Watch(label, table_rules)
-    watches.append(watch)
-    return watch.attach(df)
 
+def _source_checks(spec: TableSpec) -> list[Rule]:
+    return spec.source_rules() + convert.failure_rules(spec.kinds, spec.max_fail_rate, parsed=True)
 
-def _prepare(
-    spec: TableSpec,
-    raw: DataFrame,
-    lookups: Lookups,
-    tidy: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> tuple[DataFrame, Stage]:
-    """Everything up to the typed table under its final names."""
-    counts, watches = Observation(), []
-    fixed = repair.repair_shifts(raw, spec.shift, observation=counts)
-    clean = tidy(repair.clean_columns(fixed.rows))
-    checks = spec.source_rules() + convert.failure_rules(spec.kinds, spec.max_fail_rate, parsed=True)
-    parsed = convert.with_parsed(_flagged(clean, spec.known, lookups), spec.kinds)
-    checked = _watched(parsed, f"{spec.name} source", checks, watches)
-    typed = convert.keep_parsed(checked, spec.kinds, clean.columns)
-    named = columns.rename(typed.toDF(*text.snake_names(typed.columns)), spec.renames)
-    named = _watched(named, f"{spec.name} typed", spec.typed_rules(), watches)
-    return named, Stage(spec, named, fixed.log, counts, watches, clean)
 
+def _renamed(spec: TableSpec, names: Sequence[str]) -> list[str]:
+    """Final names of source columns."""
+    return [spec.renames.get(n, n) for n in text.snake_names(names)]
 
-def _finish(stage: Stage, table: DataFrame, extra: Sequence[Rule] = ()) -> Stage:
-    stage.table = _watched(table, f"{stage.spec.name} result", [*stage.spec.result_rules(), *extra], stage.watches)
-    return stage
+
+def _prepare(spec: TableSpec, raw: DataFrame, tidy: Callable[[DataFrame], DataFrame] = _same) -> DataFrame:
+    """Typed rows under their final names, with marks; rows that the repair dropped have no rule marks."""
+    marked = repair.repair_shifts(raw, spec.shift).marked
+    clean = tidy(repair.clean_columns(marked))
+    names = [c for c in clean.columns if c != repair.MEND]
+    parsed = convert.with_parsed(clean, spec.kinds)
+    status = F.col(f"{repair.MEND}.status")
+    stays = status.isNull() | (status == "fixed")
+    source = [r for r in _source_checks(spec) if r.code is None]
+    checked = parsed.select(
+        "*", F.when(stays, rules.marks(source)).alias(SOURCE_MARKS), F.when(stays, convert.unparsed(spec.kinds)).alias(UNPARSED)
+    )
+    typed = convert.keep_parsed(checked, spec.kinds, [*names, repair.MEND, SOURCE_MARKS, UNPARSED])
+    named = typed.toDF(*_renamed(spec, names), repair.MEND, SOURCE_MARKS, UNPARSED)
+    return named.withColumn(TYPED_MARKS, F.when(F.col(SOURCE_MARKS).isNotNull(), rules.marks(spec.typed_rules())))
 
 
 def proceedings(raw: DataFrame, lookups: Lookups) -> Stage:
     """First and last proceeding per case, for cases with one case type."""
-    df, stage = _prepare(specs.PROCEEDINGS, raw, lookups)
+    return Stage(specs.PROCEEDINGS, lookups, _prepare(specs.PROCEEDINGS, raw), _case_proceedings)
+
+
+def _case_proceedings(df: DataFrame) -> DataFrame:
     df = df.where(F.col("idncase").isNotNull()).withColumn("in_absentia", codes.flag_from_code(F.col("in_absentia")))
-    table = collapse.collapse_ends(
+    return collapse.collapse_ends(
         df,
         ["idncase"],
         ["comp_date", "dec_code", "other_comp", "idnproceeding"],
@@ -114,60 +176,69 @@ def proceedings(raw: DataFrame, lookups: Lookups) -> Stage:
         },
         constant="case_type_code",
     )
-    return _finish(stage, table)
 
 
 def cases(raw: DataFrame, lookups: Lookups, as_of: dt.date) -> Stage:
     """The case table, which has one row per case already."""
-    df, stage = _prepare(
-        specs.CASES, raw, lookups, lambda c: c.withColumn("ALIEN_ZIPCODE", text.zip5(F.col("ALIEN_ZIPCODE")))
-    )
+    checked = _prepare(specs.CASES, raw, lambda c: c.withColumn("ALIEN_ZIPCODE", text.zip5(F.col("ALIEN_ZIPCODE"))))
+    return Stage(specs.CASES, lookups, checked, _case_columns, specs.birth_year_rules(as_of))
+
+
+def _case_columns(df: DataFrame) -> DataFrame:
     df = columns.drop_columns(df, specs.CASE_DROPPED, missing_ok=True)
     df = df.withColumn("birth_year", text.year_of(F.col("c_birthdate"))).withColumn("represented", F.col("e28_date").isNotNull())
-    return _finish(stage, df.drop("c_birthdate"), specs.birth_year_rules(as_of))
+    return df.drop("c_birthdate")
 
 
 def custody(raw: DataFrame, lookups: Lookups) -> Stage:
     """The first four detention spells per case."""
-    df, stage = _prepare(specs.CUSTODY, raw, lookups)
-    table = collapse.first_n_wide(
-        df, ["idncase"], ["date_detained", "idncustody"], 4, {"detention_start": "date_detained", "detention_end": "date_released"}
+    spells = {"detention_start": "date_detained", "detention_end": "date_released"}
+    return Stage(
+        specs.CUSTODY,
+        lookups,
+        _prepare(specs.CUSTODY, raw),
+        lambda df: collapse.first_n_wide(df, ["idncase"], ["date_detained", "idncustody"], 4, spells),
     )
-    return _finish(stage, table)
 
 
 def appeals(raw: DataFrame, lookups: Lookups) -> Stage:
     """The last appeal per case."""
-    df, stage = _prepare(specs.APPEALS, raw, lookups)
     kept = (
         "bia_decision", "bia_decision_type_code", "appeal_type", "appeal_filed_by_code", "custody_at_appeal_code",
         "e27_date", "bia_decision_date", "appeal_filed_date",
     )
     order = ["bia_decision_date", "appeal_filed_date", "idn_appeal"]
-    return _finish(stage, collapse.collapse_ends(df, ["idncase"], order, last={c: c for c in kept}))
+    return Stage(
+        specs.APPEALS,
+        lookups,
+        _prepare(specs.APPEALS, raw),
+        lambda df: collapse.collapse_ends(df, ["idncase"], order, last={c: c for c in kept}),
+    )
 
 
 def applications(raw: DataFrame, lookups: Lookups) -> Stage:
     """The last decision per kind of application, the weightier one within a day."""
-    df, stage = _prepare(specs.APPLICATIONS, raw, lookups)
+    known = (("tblLookupCourtAppDecisions", "str_court_appln_dec_desc", list(specs.APPLICATION_COLUMNS)),)
+    return Stage(specs.APPLICATIONS, lookups, _prepare(specs.APPLICATIONS, raw), _case_applications, result_known=known)
+
+
+def _case_applications(df: DataFrame) -> DataFrame:
     rank = codes.priority_rank(F.col("appl_dec"), tuple(specs.APPLICATION_DECISIONS))
     order = [F.col("appl_recd_date").cast("date"), rank, "appl_recd_date", "idnproceedingappln"]
     table = collapse.last_per_code(
         df.where(F.col("idncase").isNotNull()), ["idncase"], order, "appl_code", "appl_dec", specs.APPLICATION_COLUMNS
     )
-    table = columns.map_columns(
+    return columns.map_columns(
         table, lambda f: f.name.endswith("_decision_last"), lambda c: codes.recode(c, specs.APPLICATION_DECISIONS)
     )
-    names = list(specs.APPLICATION_COLUMNS)
-    flagged = rules.flag_known(table, lookups["tblLookupCourtAppDecisions"], "str_court_appln_dec_desc", names)
-    stage = _finish(stage, flagged)
-    stage.table = stage.table.select(*table.columns)
-    return stage
 
 
 def bonds(raw: DataFrame, lookups: Lookups) -> Stage:
     """First, second and last bond hearing per case."""
-    df, stage = _prepare(specs.BONDS, raw, lookups)
+    return Stage(specs.BONDS, lookups, _prepare(specs.BONDS, raw), _case_bonds)
+
+
+def _case_bonds(df: DataFrame) -> DataFrame:
     kept = {
         "bond_completion_date": "bond_completion_date",
         "bond_court_code": "base_city_code",
@@ -178,26 +249,23 @@ def bonds(raw: DataFrame, lookups: Lookups) -> Stage:
         "initial_bond_amount": "initial_bond_amount",
         "new_bond_amount": "new_bond_amount",
     }
-    # The collapse reads its input twice; the written typed columns are cheaper to read than raw text.
-    typed = cut_lineage(df.select("idncase", "idnassocbond", *kept.values()))
-    table = collapse.first_second_last(
-        typed, ["idncase"], ["bond_completion_date", "bond_hearing_request_date", "idnassocbond"], kept
-    )
-    table = columns.map_columns(
+    table = collapse.first_second_last(df, ["idncase"], ["bond_completion_date", "bond_hearing_request_date", "idnassocbond"], kept)
+    return columns.map_columns(
         table, lambda f: f.name.startswith("bond_decision_"), lambda c: codes.recode(c, specs.BOND_DECISIONS)
     )
-    return _finish(stage, table)
 
 
 def charges(raw: DataFrame, lookups: Lookups) -> Stage:
     """The first four charges per case, each counted once per proceeding."""
-    df, stage = _prepare(specs.CHARGES, raw, lookups)
+    return Stage(specs.CHARGES, lookups, _prepare(specs.CHARGES, raw), _case_charges)
+
+
+def _case_charges(df: DataFrame) -> DataFrame:
     cited = df.select("idncase", "idnproceeding", "idnprcdchg", codes.citation(F.col("charge")).alias("charge_section"))
     unique = collapse.distinct_first(cited, ["idncase", "idnproceeding", "charge_section"], ["idnprcdchg"])
-    table = collapse.first_n_wide(
+    return collapse.first_n_wide(
         unique, ["idncase"], ["idnproceeding", "idnprcdchg"], 4, {"charge_section": "charge_section"}, nulls="first"
     )
-    return _finish(stage, table)
 
 
 def court_decisions(lookups: Lookups) -> tuple[DataFrame, DataFrame]:

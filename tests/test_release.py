@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -172,10 +173,8 @@ def test_override_count(written):
 
 def test_stage_stops_on_bad_codes(spark, folder, lookups, tmp_path):
     raw = build.read_sources(spark, str(folder))["custody"].withColumn("CUSTODY", F.lit("Z"))
-    stage = stages.custody(raw, lookups)
-    stage.table.write.parquet(str(tmp_path / "out"))
     with pytest.raises(RuleFailure, match="in_lookup"):
-        stage.check()
+        build.build_stages(spark, {"custody": stages.custody(raw, lookups)}, str(tmp_path))
 
 
 def test_crosswalk_rules(spark, crosswalk):
@@ -187,10 +186,8 @@ def test_crosswalk_rules(spark, crosswalk):
 
 def test_stage_shows_unparsable_cells(spark, folder, lookups, tmp_path):
     raw = build.read_sources(spark, str(folder))["custody"].withColumn("IDNCUSTODY", F.lit("FC"))
-    stage = stages.custody(raw, lookups)
-    stage.table.write.parquet(str(tmp_path / "out"))
     with pytest.raises(convert.ConvertFailure, match="IDNCUSTODY: 6 .* e.g. FC"):
-        stage.check()
+        build.build_stages(spark, {"custody": stages.custody(raw, lookups)}, str(tmp_path))
 
 
 def test_crosswalk_from_shares(spark):
@@ -218,10 +215,101 @@ def test_shuffle_partitions():
     assert shuffle_partitions(10 << 40) == 81920
 
 
-def test_unchecked_result_is_not_published(spark, folder, crosswalk, monkeypatch, tmp_path):
-    monkeypatch.setattr(final, "final_rules", lambda excused: [rules.not_null("deported_1")])
-    monkeypatch.setattr(stages, "all_stages", lambda *a: {})
-    monkeypatch.setattr(final, "build_final", lambda written, lookups, areas, watch: watch.attach(spark.sql("select cast(null as string) deported_1")))
-    with pytest.raises(RuleFailure):
-        build.build_release(spark, str(folder), str(tmp_path / "w"), str(tmp_path / "out"), crosswalk, AS_OF, check_areas=False)
-    assert not (tmp_path / "out").exists()
+@pytest.fixture
+def again(spark, folder, crosswalk, release, written, monkeypatch, tmp_path):
+    """Build the release anew from the stage tables that are there."""
+    monkeypatch.setattr(build, "build_stages", lambda *a: (written, release.rule_lines, release.repair_counts))
+
+    def run():
+        return build.build_release(
+            spark, str(folder), str(tmp_path / "w"), str(tmp_path / "out"), crosswalk, AS_OF, check_areas=False, excused=specs.BOND_GRANTS
+        )
+
+    return run
+
+
+def test_unchecked_result_is_not_published(spark, again, monkeypatch, tmp_path):
+    strict = [*final.final_rules(specs.BOND_GRANTS), rules.not_null("deported_1")]
+    monkeypatch.setattr(final, "final_rules", lambda excused: strict)
+    with pytest.raises(RuleFailure, match="deported_1"):
+        again()
+    assert tables.current_version(spark, str(tmp_path / "out")) is None and not tables.versions(spark, str(tmp_path / "out"))
+
+
+def test_release_stopped_before_the_swap_leaves_the_old_one(spark, again, monkeypatch, tmp_path):
+    out = str(tmp_path / "out")
+    first = again()
+    before = rows(tables.read_current(spark, out), "idncase")
+
+    def stopped(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "point_to", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            again()
+    assert len(tables.versions(spark, out)) == 2  # the second is written, but nobody reads it
+    assert tables.current_version(spark, out) == first.version
+    assert rows(tables.read_current(spark, out), "idncase") == before == rows(tables.read_optional(spark, out), "idncase")
+
+
+def test_by_case_joins_need_no_exchange(spark, folder, release, lookups):
+    """Joins of stage tables that were written in buckets, opened anew as another job would."""
+    opened = {t.name: tables.read_bucketed(spark, str(folder / "work" / t.name), "idncase", 8) for t in specs.TABLES}
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = final.by_case(opened)
+        assert joined.count() == 7
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert plan.count("SortMergeJoin") == 6 and "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_a_bucket_is_one_file(folder, release):
+    for spec in specs.TABLES:
+        names = [p.name for p in (folder / "work" / spec.name).iterdir() if p.name.startswith("part-")]
+        assert len({n.split("_")[1].split(".")[0] for n in names}) == len(names) <= 8
+
+
+def test_repairs_are_logged_and_counted(spark, folder, release):
+    log = spark.read.parquet(str(folder / "work" / "cases.repairs")).collect()
+    assert [(r["status"], r["shift_col"], r["pass"]) for r in log] == [("fixed", "ALIEN_STATE", "overflow")]
+    counts = release.repair_counts["cases"]
+    assert (counts["rows_in"], counts["fixed"], counts["rows_out"]) == (8, 1, 8)
+    assert counts["print_before"] - counts["print_touched"] == counts["print_after"] != 0
+
+
+def test_warnings_come_with_the_release(release):
+    assert release.overridden == 2
+    assert any(w.startswith("tbl_Court_Appln:") for w in release.warnings)
+
+
+def test_dropped_cases_warn(again, monkeypatch):
+    monkeypatch.setattr(final, "MAX_DROPPED", -1.0)
+    got = again()
+    assert any("are not in the case table" in w for w in got.warnings)
+
+
+def test_release_stops_on_a_used_duplicate_key(spark, again, monkeypatch, tmp_path):
+    plain = build.read_lookups
+
+    def doubled(*a):
+        found = plain(*a)
+        language = found["tblLanguage"]
+        return {**found, "tblLanguage": language.unionByName(language)}
+
+    monkeypatch.setattr(build, "read_lookups", doubled)
+    with pytest.raises(build.ReleaseFailure, match="tblLanguage: SP"):
+        again()
+
+
+def test_examples_below_the_limit(spark, folder, lookups, tmp_path):
+    raw = build.read_sources(spark, str(folder))["custody"].withColumn("DATRELEASED", F.concat(F.lit("never "), F.col("IDNCUSTODY")))
+    stage = stages.custody(raw, lookups)
+    stage.spec = dataclasses.replace(stage.spec, max_fail_rate=None)
+    _, lines, _ = build.build_stages(spark, {"custody": stage}, str(tmp_path))
+    (line,) = [x for x in lines if x.get("examples")]
+    assert line["rule"].startswith("parses(DATRELEASED") and line["failed"] == 6 and line["level"] == "pass"
+    assert line["examples"].split(", ") == sorted(line["examples"].split(", ")) and len(line["examples"].split(", ")) == 5

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from caseline.operators.repair import OVERFLOW
@@ -106,9 +107,28 @@ def test_header_equal_data_lines_stay(spark, write_lines, tmp_path):
     assert rows(delimited.read_ragged(spark, str(tmp_path / "two")), "A", "B") == [("1", "2"), ("5", "6"), *[("A", "B")] * 3]
 
 
-def test_publish_replaces_a_table(spark, tmp_path):
-    old, new = str(tmp_path / "old"), str(tmp_path / "new")
-    tables.write_table(spark.range(3), old)
-    tables.write_table(spark.range(5), new)
-    tables.publish(spark, new, old)
-    assert tables.read_table(spark, old).count() == 5
+def test_versions_and_pointer(spark, tmp_path):
+    root = str(tmp_path / "table")
+    assert tables.current_version(spark, root) is None and tables.versions(spark, root) == []
+    with pytest.raises(FileNotFoundError):
+        tables.read_current(spark, root)
+    names = [tables.write_version(spark.range(n), root) for n in (3, 4, 5, 6)]
+    assert tables.current_version(spark, root) is None and tables.versions(spark, root) == names
+    for name, n in zip(names, (3, 4, 5, 6)):
+        tables.point_to(spark, root, name)
+        assert tables.read_current(spark, root).count() == n and tables.current_version(spark, root) == name
+    tables.point_to(spark, root, names[0])  # back to the first
+    assert tables.prune_versions(spark, root) == [names[1]]
+    assert tables.read_optional(spark, root).count() == 3
+    with pytest.raises(FileNotFoundError):
+        tables.point_to(spark, root, names[1])
+    assert tables.current_version(spark, root) == names[0]
+
+
+def test_buckets_outlive_the_session_catalog(spark, tmp_path):
+    path = str(tmp_path / "by key")
+    df = spark.range(100).selectExpr("cast(id % 30 as int) k", "id v").unionByName(spark.sql("select cast(null as int) k, -1L v"))
+    got = tables.write_bucketed(df, path, "k", 4)
+    assert rows(got) == rows(df) == rows(tables.read_bucketed(spark, path, "k", 4))
+    grouped = tables.read_bucketed(spark, path, "k", 4).groupBy("k").count()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
