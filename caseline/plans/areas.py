@@ -30,5 +30,5 @@ def build_crosswalk(counties: DataFrame, places: DataFrame, states: DataFrame) -
 
 
 def with_territories(main: DataFrame, territories: DataFrame) -> DataFrame:
-    """Add the areas of territories, which come from files of their own."""
-    return main.unionByName(territories)
+    """Add the areas of territories, which come from files of their own and override the shares."""
+    return main.join(territories.select("zcta"), "zcta", "left_anti").unionByName(territories)

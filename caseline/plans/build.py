@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseline.operators import rules
+from caseline.operators import repair, rules
 from caseline.plans import final, specs, stages
 from caseline.sources import delimited, tables
 
@@ -62,7 +62,7 @@ def build_stages(
         path = os.path.join(work, name)
         tables.write_table(stage.checked, f"{path}.rows")
         checked = tables.read_table(spark, f"{path}.rows")
-        tables.write_table(stages.repair_log(checked), f"{path}.repairs")
+        tables.write_table(repair.log_of(checked), f"{path}.repairs")
         repairs[name], found = stage.check_rows(checked, max_share)
         written[name] = tables.write_bucketed(stage.collapse(stage.rows(checked)), path, "idncase", buckets)
         lines += found + stage.check_result(written[name])

@@ -765,5 +765,258 @@ WHERE nta_date >= DATE '1997-10-01' AND case_type_code IN ('RMV', 'WHO')"""
 _ORACLES["release_table"] = _RELEASE
 
 
+# --- evidence ------------------------------------------------------------------------------------------
+
+_ORACLES["stage_counts"] = """
+WITH t AS (
+  SELECT 'proceedings' AS table_name, count(*) AS n, count(CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 1 END) AS fixed, 0 AS off FROM orders
+  UNION ALL SELECT 'cases', count(*), count(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 END), 0 FROM customer
+  UNION ALL SELECT 'custody', count(*), 0, 0 FROM events
+  UNION ALL SELECT 'appeals', count(*), 0, NULL FROM orders
+  UNION ALL SELECT 'applications', count(*), 0, NULL FROM lineitem
+  UNION ALL SELECT 'bonds', count(*), 0, 7 FROM orders
+  UNION ALL SELECT 'charges', count(*), 0, 0 FROM lineitem)
+SELECT table_name, n AS rows_in, fixed, CAST(0 AS BIGINT) AS dropped, CAST(0 AS BIGINT) AS dropped_after_fix, n AS rows_out,
+       CAST(n - off AS BIGINT) AS expected, CASE WHEN off >= 5 THEN 'warn' ELSE 'pass' END AS level
+FROM t"""
+
+_PRINT = "('0x' || substr(md5(array_to_string(list_transform({cells}[1:7], lambda x: CASE WHEN x IS NULL THEN '' ELSE '=' || x END), chr(31))), 1, 15))::HUGEINT"
+_ORACLES["untouched_fingerprint"] = f"""
+WITH t AS ({_TEXT_ORDERS}),
+c AS (SELECT *, CASE WHEN urgent THEN [ORDERKEY, CUSTKEY, NULL, STATUS, PLACED, PRIORITY, COMPLETED]
+                     WHEN two THEN [ORDERKEY, NULL, NULL, CUSTKEY, STATUS, PLACED, PRIORITY]
+                     WHEN lost THEN [ORDERKEY, CUSTKEY, NULL, NULL, STATUS, PLACED, PRIORITY]
+                     WHEN hidden THEN [ORDERKEY, CUSTKEY, NULL, STATUS, PLACED, PRIORITY, COMPLETED]
+                     ELSE [ORDERKEY, CUSTKEY, STATUS, PLACED, PRIORITY, COMPLETED, PRIORITY] END AS cells FROM t),
+h AS (SELECT {_PRINT.format(cells="cells")} AS h, urgent OR two OR hidden OR lost AS touched FROM c)
+SELECT CAST(sum(h) AS VARCHAR) AS print_before, CAST(coalesce(sum(h) FILTER (WHERE touched), 0) AS VARCHAR) AS print_touched,
+       CAST(sum(h) FILTER (WHERE NOT touched) AS VARCHAR) AS print_after, TRUE AS unchanged
+FROM h"""
+
+
+def _rule_lines(source: str, label: str, lines: list[tuple[str, str, str, float | None, float | None]]) -> str:
+    """Lines of (rule, failed, total, warn, stop), the counts as aggregates over a source."""
+    counts = ", ".join(f"CAST({failed} AS BIGINT) AS f{i}, CAST({total} AS BIGINT) AS t{i}" for i, (_, failed, total, _, _) in enumerate(lines))
+    parts = []
+    for i, (rule, _, _, warn, stop) in enumerate(lines):
+        share = f"CASE WHEN t{i} = 0 THEN 0.0::DOUBLE ELSE f{i}::DOUBLE / t{i} END"
+        if warn is None and stop is None:
+            level = f"CASE WHEN f{i} > 0 THEN 'stop' ELSE 'pass' END"
+        else:
+            level = "CASE " + (f"WHEN {share} >= {stop!r} THEN 'stop' " if stop is not None else "") + (f"WHEN {share} >= {warn!r} THEN 'warn' " if warn is not None else "") + "ELSE 'pass' END"
+        name = rule.replace("'", "''")
+        parts.append(f'SELECT \'{label}\' AS "table", \'{name}\' AS rule, f{i} AS failed, t{i} AS total, {share} AS fraction, {level} AS level FROM c')
+    return f"SELECT * FROM (WITH c AS (SELECT {counts} FROM {source}) " + " UNION ALL ".join(parts) + ")"
+
+
+# Warn and stop levels of the rules.
+_KEYS, _CODES, _DATES, _FILLED = (0.005, 0.01), (0.0001, 0.001), (0.001, 0.01), (0.01, 0.05)
+_PARSED, _UNCHECKED = (None, 0.0010000000000000002), (None, 2.0)
+
+
+def _count(condition: str) -> str:
+    return f"count(CASE WHEN {condition} THEN 1 END)"
+
+
+
+_MANY = (0.0001, 0.005)
+_UNTIL: dict[str, dict[tuple, str]] = {
+    "proceedings source": {
+        _KEYS: "not_null(IDNPROCEEDING) | not_null(IDNCASE) | holds(second country needs a first)",
+        _CODES: "matches(IDNPROCEEDING) | in_lookup(CASE_TYPE) | in_lookup(CUSTODY) | in_set(ABSENTIA) | in_set(TRANSFER_STATUS) | in_lookup(NAT)"
+        " | in_lookup(DEPORTED_1) | in_lookup(DEPORTED_2) | in_lookup(LANG) | in_lookup(BASE_CITY_CODE) | in_lookup(HEARING_LOC_CODE)"
+        " | in_lookup(SCHEDULED_HEAR_LOC) | in_lookup(PREV_HEARING_LOC) | in_lookup(PREV_HEARING_BASE) | in_lookup(DEC_CODE) | in_lookup(OTHER_COMP)",
+        (None, None): "matches(IDNCASE)",
+        _DATES: "in_set(DEC_TYPE) | holds(countries differ)",
+        _FILLED: "holds(deportation has a country)",
+        (0.0001, 0.025): "in_lookup(TRANSFER_TO)",
+        (0.0001, 0.0025): "in_lookup(IJ_CODE) | in_lookup(PREV_IJ_CODE)",
+        _UNCHECKED: "parses(IDNPROCEEDING: integer) | parses(IDNCASE: integer) | parses(OSC_DATE: date) | parses(INPUT_DATE: date)"
+        " | parses(TRANS_IN_DATE: date) | parses(HEARING_DATE: date) | parses(COMP_DATE: date) | parses(VENUE_CHG_GRANTED: date)"
+        " | parses(DATE_APPEAL_DUE_STATUS: date) | parses(DATE_DETAINED: date) | parses(DATE_RELEASED: date)",
+    },
+    "proceedings typed": {_DATES: "holds(nta_date <= comp_date) | holds(date_detained <= date_released)"},
+    "proceedings result": {
+        (0.25, 0.5): "not_null(final_completion_date)",
+        _FILLED: "not_null(nta_date) | not_null(first_court_code) | not_null(final_court_code) | not_null(first_judge_code) | not_null(last_judge_code)",
+        _DATES: "holds(nta_date <= final_completion_date)",
+    },
+    "cases source": {
+        _KEYS: "not_null(IDNCASE)",
+        (None, None): "matches(IDNCASE)",
+        _CODES: "in_lookup(Sex) | in_set(C_ASY_TYPE) | in_lookup(CASE_TYPE) | in_lookup(CUSTODY) | in_set(LPR) | in_lookup(NAT) | in_lookup(LANG)"
+        " | in_lookup(CASEPRIORITY_CODE) | matches(DETENTION_DATE)",
+        _DATES: "matches(ALIEN_STATE) | matches(ALIEN_ZIPCODE)",
+        _PARSED: "parses(IDNCASE: integer) | parses(E_28_DATE: datetime) | parses(LATEST_HEARING: datetime) | parses(UP_BOND_DATE: datetime)"
+        " | parses(DATE_OF_ENTRY: datetime) | parses(C_RELEASE_DATE: datetime) | parses(ADDRESS_CHANGEDON: datetime) | parses(DATE_DETAINED: datetime)"
+        " | parses(DATE_RELEASED: datetime)",
+    },
+    "cases result": {_DATES: "between(birth_year)"},
+    "custody source": {
+        _KEYS: "not_null(IDNCUSTODY) | not_null(IDNCASE)",
+        _CODES: "in_lookup(CUSTODY)",
+        _PARSED: "parses(IDNCUSTODY: integer) | parses(IDNCASE: integer) | parses(DATDETAINED: datetime) | parses(DATRELEASED: datetime)",
+    },
+    "custody typed": {_DATES: "holds(date_detained <= date_released)"},
+    "custody result": {_DATES: "holds(detention_start_1 <= detention_start_2) | holds(detention_start_2 <= detention_start_3)"},
+    "appeals source": {
+        _KEYS: "not_null(idncase)",
+        (None, None): "matches(idncase) | matches(idnAppeal) | in_set(strAppealCategory)",
+        _CODES: "matches(idnProceeding) | in_lookup(strBIADecision) | in_lookup(strAppealType) | in_lookup(strCaseType) | in_set(strCustody)"
+        " | in_lookup(strNat) | in_lookup(strLang) | in_set(strProbono)",
+        (0.00001, 0.0001): "in_lookup(strBIADecisionType)",
+        _PARSED: "parses(idnAppeal: integer) | parses(idnProceeding: integer) | parses(idncase: integer) | parses(datAppealFiled: datetime)"
+        " | parses(datBIADecision: datetime) | parses(datAttorneyE27: datetime)",
+    },
+    "appeals typed": {_DATES: "holds(appeal_filed_date <= bia_decision_date)"},
+    "appeals result": {_CODES: "in_set(custody_at_appeal_code)"},
+    "applications source": {
+        _KEYS: "not_null(IDNPROCEEDINGAPPLN) | not_null(IDNPROCEEDING) | not_null(IDNCASE)",
+        (None, None): "matches(IDNPROCEEDINGAPPLN) | matches(IDNPROCEEDING) | matches(IDNCASE)",
+        _MANY: "in_lookup(APPL_CODE) | in_lookup(APPL_DEC)",
+        _CODES: "matches(APPL_RECD_DATE)",
+        _PARSED: "parses(IDNPROCEEDINGAPPLN: integer) | parses(IDNPROCEEDING: integer) | parses(IDNCASE: integer) | parses(APPL_RECD_DATE: datetime)",
+    },
+    "applications result": {_CODES: " | ".join(f"in_lookup({name}_decision_last)" for name, _ in _APPLICATION_COLUMNS)},
+    "bonds source": {
+        _KEYS: "not_null(IDNASSOCBOND) | not_null(IDNPROCEEDING) | not_null(IDNCASE)",
+        (None, None): "matches(IDNASSOCBOND) | matches(IDNPROCEEDING) | matches(IDNCASE)",
+        _CODES: "in_lookup(DEC) | in_set(BOND_TYPE) | in_lookup(BASE_CITY_CODE) | in_lookup(HEARING_LOC_CODE) | in_lookup(FILING_METHOD)"
+        " | in_lookup(FILING_PARTY) | matches(INITIAL_BOND) | matches(NEW_BOND)",
+        (0.001, 0.005): "in_lookup(IJ_CODE)",
+        _PARSED: "parses(IDNASSOCBOND: integer) | parses(IDNPROCEEDING: integer) | parses(IDNCASE: integer) | parses(OSC_DATE: datetime)"
+        " | parses(UPDATE_DATE: datetime) | parses(INPUT_DATE: datetime) | parses(COMP_DATE: date) | parses(BOND_HEAR_REQ_DATE: date)"
+        " | parses(DATE_APPEAL_DUE: datetime) | parses(E_28_DATE: datetime) | parses(DECISION_DUE_DATE: datetime) | parses(INITIAL_BOND: double)"
+        " | parses(NEW_BOND: double)",
+    },
+    "bonds typed": {
+        (None, None): "at_least(initial_bond_amount) | at_least(new_bond_amount)",
+        _DATES: "holds(bond_hearing_request_date <= bond_completion_date)",
+    },
+    "bonds result": {_CODES: "not_in_set(bond_decision_first) | not_in_set(bond_decision_second) | not_in_set(bond_decision_last)"},
+    "charges source": {
+        _KEYS: "not_null(IDNPRCDCHG) | not_null(IDNCASE) | not_null(IDNPROCEEDING)",
+        (None, None): "matches(IDNPRCDCHG) | matches(IDNCASE) | matches(IDNPROCEEDING)",
+        _MANY: "not_null(CHARGE)",
+        _DATES: "matches(CHARGE)",
+        _CODES: "in_set(CHG_STATUS)",
+        _PARSED: "parses(IDNPRCDCHG: integer) | parses(IDNCASE: integer) | parses(IDNPROCEEDING: integer)",
+    },
+    "charges result": {_FILLED: "not_null(charge_section_1)"},
+    "final": {
+        _CODES: "in_set(state) | matches(county_fips_code) | matches(place_fips_code) | in_set(asylum_claim_type) | in_lookup(case_type_code)"
+        " | in_lookup(bia_decision_type_code) | in_set(custody) | "
+        + " | ".join(f"{rule}_bond_amount_{p})" for rule in ("at_least(initial", "at_least(new", "above(new") for p in ("first", "second", "last")),
+        _KEYS: "not_null(idncase)",
+        _FILLED: "not_null(language) | not_null(nationality) | not_null(deported_1) | not_null(deported_2) | not_null(sex) | not_null(case_priority)"
+        " | not_null(case_type) | not_null(last_judge_name) | not_null(first_judge_name) | not_null(appeal_type) | not_null(appeal_filed_by)"
+        " | not_null(bia_decision) | not_null(bia_decision_type) | not_null(custody) | not_null(custody_at_appeal)",
+    },
+}
+
+#: Conditions of the rows that fail; all other rules hold on these tables.
+_FAILS = {
+    ("proceedings source", "in_lookup(HEARING_LOC_CODE)"): "o_orderpriority = '5-LOW'",
+    ("proceedings typed", "holds(nta_date <= comp_date)"): "o_orderstatus <> 'O'",
+    ("proceedings result", "not_null(final_completion_date)"): "final_completion_date IS NULL",
+    ("proceedings result", "holds(nta_date <= final_completion_date)"): "nta_date > final_completion_date",
+    ("appeals source", "in_lookup(strBIADecisionType)"): "o_orderstatus NOT IN ('A', 'N', 'R')",
+    ("applications source", "in_lookup(APPL_CODE)"): "l_linenumber > 3",
+    ("applications source", "in_lookup(APPL_DEC)"): "l_linestatus = 'F' OR l_returnflag = 'A'",
+    **{("applications result", f"in_lookup({n}_decision_last)"): f"{n}_decision_last NOT IN ('DENY', 'FULL GRANT', 'WITHDRAWN')" for n, _ in _APPLICATION_COLUMNS},
+    ("bonds source", "in_lookup(DEC)"): "substr(o_orderpriority, 1, 1) IN ('1', '2', '4')",
+    ("bonds source", "in_lookup(HEARING_LOC_CODE)"): "o_orderpriority = '5-LOW'",
+    ("charges source", "not_null(CHARGE)"): "l_linenumber = 7",
+    ("charges source", "matches(CHARGE)"): "l_linenumber = 5",
+    ("charges result", "not_null(charge_section_1)"): "charge_section_1 IS NULL",
+    **{("final", f"above(new_bond_amount_{p})"): f"new_bond_amount_{p} = 0 AND bond_decision_{p} = 'FLORES - RELEASE'" for p in ("first", "second", "last")},
+    ("final", "not_null(bia_decision_type)"): "bia_decision_type_code IS NOT NULL",
+    ("final", "in_lookup(bia_decision_type_code)"): "bia_decision_type_code NOT IN ('A', 'N', 'R')",
+}
+
+#: Conditions of the rows that a rule looks at, where those aren't all.
+_LOOKS = {
+    **{
+        ("final", f"above(new_bond_amount_{p})"): f"coalesce(bond_decision_{p}, '') NOT IN ('AMELIORATION GRANTED', 'BOND GRANTED-AMOUNT DECREASED', 'BOND GRANTED-OWN RECOGNIZANCE')"
+        for p in ("first", "second", "last")
+    },
+    **{("final", f"not_null({n})"): f"{n}_code IS NOT NULL" for n in ("deported_1", "deported_2", "appeal_filed_by", "custody", "custody_at_appeal", "bia_decision_type")},
+    ("final", "not_null(appeal_type)"): "bia_decision_type_code IS NOT NULL",
+    ("final", "not_null(bia_decision)"): "bia_decision_type_code IS NOT NULL",
+}
+
+_RULE_SOURCES = {"proceedings": "orders", "cases": "customer", "custody": "events", "appeals": "orders", "applications": "lineitem", "bonds": "orders", "charges": "lineitem"}
+
+
+def _count(condition: str | None) -> str:
+    return "count(*)" if condition is None else f"count(CASE WHEN {condition} THEN 1 END)"
+
+
+def _stage_lines(label: str, source: str) -> str:
+    lines = [
+        (rule.strip(), _count(_FAILS.get((label, rule.strip()), "FALSE")), _count(_LOOKS.get((label, rule.strip()))), *levels)
+        for levels, names in _UNTIL[label].items()
+        for rule in names.split(" | ")
+    ]
+    return _rule_lines(source, label, lines)
+
+
+_ORACLES["stage_rules"] = " UNION ALL ".join(
+    _stage_lines(label, f"({_STAGES[label.split()[0]]})" if label.endswith("result") else _RULE_SOURCES[label.split()[0]])
+    for label in _UNTIL
+    if label != "final"
+)
+_JOINED = f"""({_STAGES["proceedings"]}) p JOIN ({_STAGES["cases"]}) c USING (idncase)
+ LEFT JOIN ({_STAGES["appeals"]}) a USING (idncase) LEFT JOIN ({_STAGES["bonds"]}) b USING (idncase)"""
+_ORACLES["final_rules"] = _stage_lines("final", _JOINED)
+
+_ORACLES["lookup_duplicates"] = """
+WITH k AS (
+  SELECT 'nation' AS lookup, CAST(n_nationkey AS VARCHAR) AS key FROM nation UNION ALL SELECT 'region', CAST(n_regionkey AS VARCHAR) FROM nation
+  UNION ALL SELECT 'supplier', s_nationkey || '|' || s_suppkey % 3 FROM supplier WHERE s_suppkey % 3 > 0),
+d AS (SELECT lookup, key, count(*) AS lines FROM k GROUP BY lookup, key HAVING count(*) > 1),
+u AS (
+  SELECT 'nation' AS lookup, CAST(c_nationkey AS VARCHAR) AS key FROM customer UNION ALL SELECT 'region', CAST(c_custkey % 9 AS VARCHAR) FROM customer
+  UNION ALL SELECT 'supplier', c_nationkey || '|' || c_custkey % 4 FROM customer)
+SELECT lookup, key, lines, count(*) AS rows FROM d JOIN u USING (lookup, key) GROUP BY lookup, key, lines"""
+
+_ORACLES["share_crosswalk"] = """
+WITH s AS (SELECT lpad(CAST(s_suppkey % 40 AS VARCHAR), 5, '0') AS zcta, s_nationkey AS n, max(s_acctbal) AS share FROM supplier GROUP BY ALL),
+c AS (SELECT zcta, arg_min(n, (-share, lpad(CAST(n AS VARCHAR), 5, '0'))) AS n FROM s GROUP BY zcta),
+p AS (SELECT zcta, arg_min(n, (-share, lpad(CAST(n AS VARCHAR), 7, '0'))) AS n FROM s WHERE n % 2 = 0 GROUP BY zcta),
+t AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS zcta, n_nationkey AS n, n_name FROM nation WHERE n_regionkey = 0)
+SELECT zcta, 'CA' AS state, substr(lpad(CAST(c.n AS VARCHAR), 5, '0'), 1, 2) AS state_fips_code, 'County ' || c.n AS county,
+       lpad(CAST(c.n AS VARCHAR), 5, '0') AS county_fips_code, 'place ' || p.n AS place, lpad(CAST(p.n AS VARCHAR), 7, '0') AS place_fips_code
+FROM c LEFT JOIN p USING (zcta) WHERE zcta NOT IN (SELECT zcta FROM t)
+UNION ALL SELECT zcta, 'PR', substr(CAST(n + 72000 AS VARCHAR), 1, 2), n_name, CAST(n + 72000 AS VARCHAR), NULL, NULL FROM t"""
+
+_ORACLES["ragged_files"] = """
+SELECT CASE WHEN odd THEN 'ORDERKEY' ELSE CAST(o_orderkey AS VARCHAR) END AS ORDERKEY, CASE WHEN odd THEN 'STATUS' ELSE o_orderstatus END AS STATUS,
+       CASE WHEN odd THEN 'PRIORITY' ELSE o_orderpriority END AS PRIORITY
+FROM (SELECT *, o_orderkey % 50 = 0 AS odd FROM orders)"""
+
+_ORACLES["broken_text"] = f"""
+SELECT rule, failed, total, fraction, level FROM ({_rule_lines("documents", "documents", [
+    ("valid_text(text)", _count("doc_id % 7 = 0 OR doc_id % 5 = 0"), "count(*)", 0.1, 0.9),
+    ("valid_text(text)", _count("doc_id % 7 = 0 OR doc_id % 5 = 0 OR doc_id % 11 = 0"), "count(*)", 0.0001, 0.3),
+    ("valid_text(lang)", "0", "count(*)", None, None),
+])})"""
+
+_RECENCY_LINES = """
+  SELECT 'recency' AS part, 'last_modified' AS name, CAST(last_modified AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS warning FROM g
+  UNION ALL SELECT 'recency', 'latest', CAST(event_max AS VARCHAR), NULL FROM g
+  UNION ALL SELECT 'recency', 'gap_days', CAST(gap_days AS VARCHAR), warning FROM g"""
+_ORACLES["release_check_first"] = f"""
+WITH g AS ({_ORACLES["recency_gap"]})
+{_RECENCY_LINES} UNION ALL SELECT 'rows', 'new', CAST(count(*) AS VARCHAR), NULL FROM orders"""
+_ORACLES["release_check"] = f"""
+WITH g AS ({_ORACLES["recency_gap"]}), d AS ({_ORACLES["release_row_delta"]}), s AS ({_ORACLES["schema_delta"]}), f AS ({_ORACLES["drift_flags"]})
+{_RECENCY_LINES}
+UNION ALL SELECT 'rows', 'new', CAST(n_new AS VARCHAR), NULL FROM d UNION ALL SELECT 'rows', 'old', CAST(n_old AS VARCHAR), NULL FROM d
+UNION ALL SELECT 'rows', 'delta', CAST(delta AS VARCHAR), warning FROM d
+UNION ALL SELECT 'schema', column_name, CAST(n_filled AS VARCHAR), 'column ' || change FROM s
+UNION ALL SELECT 'drift', variable, NULL, flag FROM f"""
+
+
 def oracles() -> dict[str, str]:
     return dict(_ORACLES)

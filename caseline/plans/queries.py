@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from caseline.functions import codes, text, values
 from caseline.operators import collapse, columns, convert, filters, joins, profile, repair, rules
-from caseline.plans import extracts, final, specs, stages
-from caseline.sources import delimited
+from caseline.plans import areas, extracts, final, specs, stages
+from caseline.session import work_folder, written
+from caseline.sources import delimited, reports, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -800,10 +801,145 @@ def court_decision_lookups(spark, folder):
     )
 
 
+def _written_stages(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """By-case tables in buckets and lookups, each written once and read again as the job does."""
+    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(spark, folder).items()}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
+    return {n: tables.write_bucketed(s.table, work_folder(spark, n), "idncase", buckets) for n, s in built.items()}, lookups
+
+
 @query
 def release_table(spark, folder):
     """All stages and the final join over whole tables: one row per case, every column of the release."""
-    lookups = extracts.lookups(spark, folder)
-    built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
-    cases = final.build_final({n: s.table for n, s in built.items()}, lookups, extracts.crosswalk(spark, folder))
-    return cases.select(*final.column_order())
+    built, lookups = _written_stages(spark, folder)
+    return final.build_final(built, lookups, extracts.crosswalk(spark, folder)).select(*final.column_order())
+
+
+# --- evidence: what a job counts in the files that it has committed -----------------------------------------
+
+
+@query
+def stage_counts(spark, folder):
+    """SRC-2 REP-4: rows of every source table in and out of the repair, counted in committed files and held against a manifest."""
+    parts = None
+    for spec in specs.TABLES:
+        marked = repair.repair_shifts(getattr(extracts, spec.name)(spark, folder), spec.shift).marked
+        counts = repair.counts_of(written(marked.select(repair.MEND), spec.name)).select(
+            F.lit(spec.name).alias("table_name"), "rows_in", "fixed", "dropped", "dropped_after_fix", "rows_out"
+        )
+        parts = counts if parts is None else parts.unionByName(counts)
+    sizes = {"proceedings": "orders", "cases": "customer", "custody": "events", "charges": "lineitem", "bonds": "orders"}
+    manifest = None
+    for name, source in sizes.items():  # the manifest lacks two tables and is wrong about the bonds
+        line = table(spark, folder, source).agg((F.count(F.lit(1)) - (7 if name == "bonds" else 0)).alias("expected")).select(F.lit(name).alias("table_name"), "expected")
+        manifest = line if manifest is None else manifest.unionByName(line)
+    checked = delimited.manifest_check(parts.select("table_name", F.col("rows_in").alias("actual")), manifest)
+    return parts.join(checked.select("table_name", "expected", "level"), "table_name")
+
+
+@query
+def untouched_fingerprint(spark, folder):
+    """REP-4: sums of row prints show that the repair left alone what it had no reason to touch."""
+    raw = ragged_orders(spark, folder)
+    sums = repair.repair_shifts(raw, RAGGED_RULES).fingerprints(raw)
+    return sums.select(*[F.col(c).cast("string").alias(c) for c in ("print_before", "print_touched", "print_after")], "unchanged")
+
+
+@query
+def stage_rules(spark, folder):
+    """DQ-1..7 TYP-1 DQ-3: the rule lines of all seven stages, from marks and codes in committed rows."""
+    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(spark, folder).items()}
+    lines = None
+    for name, stage in stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF).items():
+        checked = written(stage.checked, f"{name}.rows")
+        found = stage.row_lines(checked)
+        result = stage.result_lines(written(stage.collapse(stage.rows(checked)), name))
+        found = found if result is None else found.unionByName(result)
+        lines = found if lines is None else lines.unionByName(found)
+    return lines
+
+
+@query
+def final_rules(spark, folder):
+    """DQ-1..9: the rule lines of the assembled cases, before the cohort filter."""
+    built, lookups = _written_stages(spark, folder)
+    return final.final_lines(written(final.assembled(built, lookups, extracts.crosswalk(spark, folder)), "assembled"), lookups)
+
+
+@query
+def lookup_duplicates(spark, folder):
+    """JN-3 DQ-8: keys of several lookups that occur twice, found at once, with the rows that use them."""
+    nation, supplier = table(spark, folder, "nation"), table(spark, folder, "supplier")
+    regions = nation.select(F.col("n_regionkey").alias("region"), F.col("n_nationkey").alias("label"))
+    pairs = supplier.select("s_nationkey", F.when(F.col("s_suppkey") % 3 > 0, F.col("s_suppkey") % 3).alias("grade"))
+    twice = joins.duplicate_keys({
+        "nation": (nation, ["n_nationkey"]), "region": (regions, ["region"]), "supplier": (pairs, ["s_nationkey", "grade"])
+    })
+    customers = table(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("nation"), (F.col("c_custkey") % 9).alias("region"),
+        F.concat_ws("|", "c_nationkey", (F.col("c_custkey") % 4).cast("string")).alias("graded"),
+    )
+    return joins.used_duplicates(twice, customers, [("nation", "nation"), ("region", "region"), ("supplier", "graded")])
+
+
+@query
+def share_crosswalk(spark, folder):
+    """SRC-5 AG-10: a crosswalk from share files, territories in the place of what the shares say."""
+    supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
+    area = F.lpad((F.col("s_suppkey") % 40).cast("string"), 5, "0")
+    county = F.lpad(F.col("s_nationkey").cast("string"), 5, "0")
+    shares = supplier.groupBy(area.alias("zcta"), "s_nationkey").agg(F.max("s_acctbal").alias("share"))
+    counties = shares.select("zcta", county.alias("county_fips_code"), F.concat(F.lit("County "), "s_nationkey").alias("county"), "share")
+    places = shares.where("s_nationkey % 2 = 0").select(
+        "zcta", F.lpad(F.col("s_nationkey").cast("string"), 7, "0").alias("place_fips_code"), F.concat(F.lit("place "), "s_nationkey").alias("place"), "share"
+    )
+    states = nation.select(F.substring(F.lpad(F.col("n_nationkey").cast("string"), 5, "0"), 1, 2).alias("state_fips_code"), F.lit("CA").alias("state")).distinct()
+    territories = nation.where("n_regionkey = 0").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("zcta"), F.lit("PR").alias("state"), F.lit("72").alias("state_fips_code"),
+        F.col("n_name").alias("county"), F.lpad((F.col("n_nationkey") + 72000).cast("string"), 5, "0").alias("county_fips_code"),
+        F.lit(None).cast("string").alias("place"), F.lit(None).cast("string").alias("place_fips_code"),
+    )
+    made = areas.with_territories(areas.build_crosswalk(counties, places, states), territories)
+    raw = made.select(
+        "zcta", F.col("state").alias("stusps"), F.col("county_fips_code").alias("county_geoid"), "county", F.col("place_fips_code").alias("place_geoid"), "place"
+    )
+    return tables.crosswalk_columns(written(raw, "crosswalk"))
+
+
+@query
+def ragged_files(spark, folder):
+    """SRC-1: orders as several files of lines, each with the header, and data lines that equal it."""
+    names = ["ORDERKEY", "STATUS", "PRIORITY"]
+    orders = table(spark, folder, "orders")
+    odd = F.col("o_orderkey") % 50 == 0
+    cells = [F.when(odd, F.lit(n)).otherwise(F.col(c).cast("string")).alias(n) for n, c in zip(names, ("o_orderkey", "o_orderstatus", "o_orderpriority"))]
+    path = work_folder(spark, "lines")
+    orders.repartition(3, "o_orderkey").select(*cells).write.option("header", "true").option("sep", "\t").option("quote", "\x00").csv(path)
+    return delimited.read_ragged(spark, path).select(*names)
+
+
+@query
+def broken_text(spark, folder):
+    """DQ-11: texts that end in half a character or hold a replacement character."""
+    half = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("C3"))).cast("string")
+    docs = table(spark, folder, "documents").select(
+        F.when(F.col("doc_id") % 7 == 0, half).when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("\ufffd"))).when(F.col("doc_id") % 11 != 0, F.col("text")).alias("text"),
+        "lang",
+    )
+    return rules.evaluate(docs, [rules.valid_text("text").at(0.1, 0.9), rules.valid_text("text", na_pass=False).at(0.0001, 0.3), rules.valid_text("lang")])
+
+
+@query
+def release_check(spark, folder):
+    """QA-1..4 SRC-6: what a release is checked for against the one before, as rows."""
+    new, old = releases(spark, folder)
+    return reports.release_check(new, old, "order_day", LAST_MODIFIED, AS_OF)
+
+
+@query
+def release_check_first(spark, folder):
+    """QA-1..2 SRC-6: the same for a first release, which has none before it."""
+    new, _ = releases(spark, folder)
+    missing = tables.read_optional(spark, f"{folder}/no-earlier-release")
+    return reports.release_check(new, missing, "order_day", LAST_MODIFIED, AS_OF)

@@ -9,6 +9,7 @@ collapses the rows that the repair keeps. Queries may chain both without writing
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -45,8 +46,11 @@ class Stage:
 
     @property
     def table(self) -> DataFrame:
-        """The by-case table, planned in one piece from the raw text."""
-        return self.collapse(self.rows(self.checked))
+        """The by-case table, planned in one piece from the raw text.
+
+        The count of rows in passing keeps the optimiser from copying whole typing expressions into filters.
+        """
+        return self.collapse(self.rows(self.checked).observe(f"rows_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows")))
 
     @staticmethod
     def rows(checked: DataFrame) -> DataFrame:
@@ -114,11 +118,6 @@ class Stage:
         return found
 
 
-def repair_log(checked: DataFrame) -> DataFrame:
-    """The audit log of the repair of a stage's rows."""
-    return repair.log_of(checked)
-
-
 def _source_checks(spec: TableSpec) -> list[Rule]:
     return spec.source_rules() + convert.failure_rules(spec.kinds, spec.max_fail_rate, parsed=True)
 

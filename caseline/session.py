@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 # UTC because timestamps are turned into dates; adaptive execution splits the hot keys of joins;
-# plans of several thousand expressions build several times faster without call-site capture.
+# plans of several thousand expressions build several times faster without call-site capture; generated
+# methods above the size that the JVM compiles are much slower than the same expressions in small ones.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -42,17 +45,35 @@ def builder(app_name: str = "caseline", shuffled_bytes: int | None = None) -> Sp
     return b
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which the whole cluster shares.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session that names none, as
-    in tests, gets a folder of its own; a cluster must name one that its executors share.
+    Only a local session that names none, as in tests, gets a folder of its own; a cluster must name one
+    that its executors share.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="caseline-"))
+        folder = tempfile.mkdtemp(prefix="caseline-")
+    return folder.rstrip("/")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables that a job writes and reads again."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: lineage ends there."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the reliable checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

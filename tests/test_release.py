@@ -1,5 +1,9 @@
 import dataclasses
 import datetime as dt
+import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +14,7 @@ from caseline.operators.rules import RuleFailure
 from caseline.plans import areas, build, final, specs, stages
 from caseline.plans.final import column_order
 from caseline.session import shuffle_partitions
-from caseline.sources import tables
+from caseline.sources import reports, tables
 from conftest import rows
 
 AS_OF = dt.date(2026, 6, 2)
@@ -313,3 +317,53 @@ def test_examples_below_the_limit(spark, folder, lookups, tmp_path):
     (line,) = [x for x in lines if x.get("examples")]
     assert line["rule"].startswith("parses(DATRELEASED") and line["failed"] == 6 and line["level"] == "pass"
     assert line["examples"].split(", ") == sorted(line["examples"].split(", ")) and len(line["examples"].split(", ")) == 5
+
+
+def test_counts_are_exact_though_a_task_fails(tmp_path):
+    script = os.path.join(os.path.dirname(os.path.abspath(__file__)), "failing_task.py")
+    run = subprocess.run([sys.executable, script, str(tmp_path)], capture_output=True, text=True, timeout=300)
+    got = json.loads(run.stdout.strip().split("\n")[-1])
+    assert got == {"rows_in": 2000, "failed": {"in_lookup(CUSTODY)": [4, 2000], "parses(DATRELEASED: datetime)": [2, 2000]}}
+
+
+def test_reports_are_written(spark, release, folder, tmp_path):
+    out = str(folder / "cases")
+    first = reports.write_reports(spark, out, None, str(tmp_path / "first"), "nta_date", "Tue, 02 Jun 2026 11:59:25 GMT", AS_OF)
+    assert {r["part"] for r in first.collect()} == {"rows", "recency"}
+    text = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "first" / "sanity")).collect())
+    assert "no prior version" in text and not (tmp_path / "first" / "comparison").exists()
+    earlier = str(tmp_path / "earlier")
+    tables.write_table(release.table.where("idncase <> 8").drop("place").withColumn("gone", F.lit(1)), earlier)
+    second = reports.write_reports(spark, out, earlier, str(tmp_path / "second"), "nta_date", None, AS_OF)
+    got = {(r["part"], r["name"]): r for r in second.collect()}
+    assert got["rows", "delta"]["value"] == "1" and got["schema", "gone"]["warning"] == "column removed" and ("schema", "place") in got
+    assert (tmp_path / "second" / "comparison").exists()
+
+
+def test_rule_levels_of_marks_and_members(spark):
+    df = spark.range(1000).select(F.when(F.col("id") >= 5, F.col("id")).alias("a"), F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("c"))
+    plain = [rules.not_null("a").at(0.01, 0.1), rules.not_null("a").at(0.001, 0.1), rules.not_null("a").at(0.001, 0.005), rules.not_null("a").when(F.col("c") == "x").at(None, 0.5)]
+    marked = df.withColumn("m", rules.marks(plain))
+    lines = {(r["level"], r["failed"], r["total"]) for r in rules.count_marks(marked, "m", plain).collect()}
+    assert lines == {("pass", 5, 1000), ("warn", 5, 1000), ("stop", 5, 1000), ("pass", 3, 500)}
+    members = [rules.in_lookup("c").at(0.1, 0.9), rules.in_lookup("a", ("7",)).at(0.1, 0.99)]
+    known = [(spark.createDataFrame([("x",), ("x",), (None,)], "k string"), "k", ["c"]), (spark.createDataFrame([(9,)], "k int"), "k", ["a"])]
+    got = {r["rule"]: (r["failed"], r["total"], r["level"]) for r in rules.count_members(df, members, known).collect()}
+    assert got == {"in_lookup(c)": (500, 1000, "warn"), "in_lookup(a)": (993, 1000, "stop")}
+    empty = rules.count_marks(marked.limit(0), "m", plain).collect()
+    assert [(r["failed"], r["total"], r["level"]) for r in empty] == [(0, 0, "pass")] * 4
+    with pytest.raises(ValueError, match="single rows"):
+        rules.marks(members)
+
+
+def test_a_changed_untouched_row_raises(spark):
+    raw = spark.createDataFrame([("1", "2001-01-01", "x", None), ("2", "2001-01-02", None, None)], "ID string, D string, N string, _overflow array<string>")
+    fixed = repair.repair_shifts(raw, repair.ShiftRules(dates=("D",), others=("N",)))
+    assert fixed.fingerprints(raw).first()["unchanged"] is True
+    repair.check_repair(repair.counts_of(fixed.marked).first().asDict())
+    changed = raw.withColumn("N", F.when(F.col("ID") == "2", "").otherwise(F.col("N")))
+    assert fixed.fingerprints(changed).first()["unchanged"] is False  # an empty cell is not a missing one
+    status = F.col("_mend")
+    broken = fixed.marked.withColumn("_mend", status.withField("print_out", status["print_out"] + F.when(F.col("ID") == "1", 1).otherwise(0)))
+    with pytest.raises(repair.RepairFailure, match="has changed"):
+        repair.check_repair(repair.counts_of(broken).first().asDict())
