@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseline.llm.common import whole, written
+from caseline.llm.common import let, whole, written
 
 #: Quote marks that a line starts with, each with a blank or none after it.
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)*)")
@@ -33,6 +33,11 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
+def hashed(text: Column) -> Column:
+    """16 bytes that stand for a passage."""
+    return F.unhex(F.md5(text))
+
+
 def runs_of(text: str) -> list[tuple[int, str]]:
     """(level, body) of each run of lines with equally many quote marks, the marks off."""
     runs: list[tuple[int, list[str]]] = []
@@ -64,7 +69,7 @@ def passages(messages: DataFrame) -> DataFrame:
     types = ", ".join(f"{c} {held.schema[c].dataType.simpleString()}" for c in ("conv_id", "turn", "th"))
     out = held.mapInPandas(run, f"{types}, at int, level int, body string")
     text = normalised(F.col("body"))
-    return out.withColumn("hash", F.when(text != "", F.sha2(text, 256)))
+    return out.withColumn("hash", F.when(text != "", hashed(text)))
 
 
 def lines_of(text: Column) -> Column:
@@ -74,11 +79,14 @@ def lines_of(text: Column) -> Column:
 
 
 def units_of(lines: Column) -> Column:
-    """(pair, k, hash) of each line and of each pair of neighbouring lines; a line hashes as a passage does."""
-    one = F.transform(lines, lambda x, k: F.struct(F.lit(0).alias("pair"), k.alias("k"), F.sha2(x, 256).alias("hash")))
+    """(pair, k, hash) of each line and of each pair of neighbouring lines; a line hashes as a passage does.
+
+    The lines must be bound by ``let``, as every unit reads them.
+    """
+    one = F.transform(lines, lambda x, k: F.struct(F.lit(0).alias("pair"), k.alias("k"), hashed(x).alias("hash")))
     two = F.transform(
         F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))),
-        lambda x, k: F.struct(F.lit(1).alias("pair"), k.alias("k"), F.sha2(F.concat(F.get(lines, k), F.lit("\n"), x), 256).alias("hash")),
+        lambda x, k: F.struct(F.lit(1).alias("pair"), k.alias("k"), hashed(F.concat(F.get(lines, k), F.lit("\n"), x)).alias("hash")),
     )
     return F.concat(one, two)
 
@@ -91,7 +99,7 @@ def _trimmed(left: DataFrame, first: DataFrame) -> DataFrame:
     longest stretch decides, the latest source among equals; single lines count where no pair is linked.
     """
     units = left.withColumn("lines", lines_of(F.col("body"))).where(F.size("lines") > 0)
-    units = units.select("conv_id", "turn", "th", "at", F.explode(units_of(F.col("lines"))).alias("u"))
+    units = units.select("conv_id", "turn", "th", "at", F.explode(let(F.col("lines"), units_of)).alias("u"))
     met = units.select("conv_id", "turn", "th", "at", "u.pair", "u.k", "u.hash").join(
         first, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("hash") == F.col("_hash")) & (F.col("source") < F.col("turn")), "left"
     )
@@ -132,18 +140,19 @@ def link(messages: DataFrame) -> DataFrame:
     whole own text of it. A passage that nobody wrote as such has a source if some of its lines do, see
     ``_trimmed``. Null and empty texts quote and write nothing. Null turns quote, but nobody
     quotes them, and they are roots. Rows with equal conv_id and turn are one source, and each is linked
-    by its own text. Null conversations are one conversation. Other columns are ignored. An empty table gives an empty
+    by its own text; rows equal in text as well have equal results. Null conversations are one conversation. Other columns are ignored. An empty table gives an empty
     result.
     """
     rows = messages.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("th"))
-    parts = written(passages(rows), "passages")
+    # equal rows are one message, so that a message's runs are never gathered twice
+    parts = written(passages(rows.dropDuplicates(["conv_id", "turn", "th"])), "passages")
     own = parts.where("level = 0").groupBy("conv_id", "turn", "th").agg(
         F.array_sort(F.collect_list(F.struct("at", "body"))).alias("runs")  # of one message
     )
     intro = F.filter(F.split(F.array_join(F.transform("runs", lambda r: r["body"]), "\n"), "\n", -1), lambda x: ~x.rlike(INTRO))
     own = own.select("conv_id", "turn", "th", F.trim(F.array_join(intro, "\n")).alias("own_text"))
-    whole_own = own.select("conv_id", "turn", F.sha2(normalised(F.col("own_text")), 256).alias("hash"), F.lit("own_text").alias("_w"), "own_text")
-    units = own.select("conv_id", "turn", F.explode(units_of(lines_of(F.col("own_text")))["hash"]).alias("hash"))
+    whole_own = own.select("conv_id", "turn", hashed(normalised(F.col("own_text"))).alias("hash"), F.lit("own_text").alias("_w"), "own_text")
+    units = own.select("conv_id", "turn", F.explode(let(lines_of(F.col("own_text")), units_of)["hash"]).alias("hash"))
     wrote = (
         parts.where((F.col("level") == 0) & F.col("hash").isNotNull()).select("conv_id", "turn", "hash")
         .unionByName(whole_own.where(normalised(F.col("own_text")) != "").select("conv_id", "turn", "hash"))
