@@ -205,27 +205,28 @@ def link(messages: DataFrame) -> DataFrame:
 def _depths(parents: DataFrame) -> DataFrame:
     """(conv_id, turn, root, depth) by pointer jumping: each round doubles the way known upwards.
 
-    A parent is an earlier turn, so chains end; one that is no row ends a chain too.
+    A parent is an earlier turn, so chains end; one that is no row ends a chain too. Turns whose root is
+    known take no part in later rounds, so only long chains do.
     """
+    none = F.col("up").isNull()
     now = written(
-        parents.select("conv_id", "turn", F.coalesce("up", "turn").alias("root"), F.col("up").isNotNull().cast("long").alias("depth")),
+        parents.select("conv_id", "turn", F.coalesce("up", "turn").alias("root"), (~none).cast("long").alias("depth"), none.alias("done")),
         "depths",
     )
-    while True:
-        above = now.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
-        after = written(
-            now.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("root") == F.col("_t")), "left").select(
-                "conv_id",
-                "turn",
-                F.coalesce("_r", "root").alias("root"),
-                (F.col("depth") + F.when(F.col("root") == F.col("turn"), 0).otherwise(F.coalesce("_d", F.lit(0)))).alias("depth"),
-                F.coalesce(F.col("_r") != F.col("root"), F.lit(False)).alias("moved"),
-            ),
-            "depths",
+    while not now.where("NOT done").isEmpty():
+        above = now.select(
+            F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("root").alias("_r"), F.col("depth").alias("_d"), F.col("done").alias("_done")
         )
-        now = after.drop("moved")
-        if after.where("moved").isEmpty():
-            return now
+        climbing = now.where("NOT done").drop("done")
+        climbed = climbing.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("root") == F.col("_t")), "left").select(
+            "conv_id",
+            "turn",
+            F.coalesce("_r", "root").alias("root"),
+            (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
+            F.coalesce("_done", F.lit(True)).alias("done"),
+        )
+        now = written(now.where("done").unionByName(climbed), "depths")
+    return now.drop("done")
 
 
 def quoting(conversations: DataFrame) -> DataFrame:
