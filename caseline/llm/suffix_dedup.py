@@ -96,6 +96,16 @@ def _unique_anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
     return places, h[places], first, last
 
 
+def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
+    """The range that each hash is counted in."""
+    return ((h >> np.uint64(44)) * np.uint64(ranges) >> np.uint64(20)).astype(np.int64)
+
+
+def _in_range(home: np.ndarray | int, low: np.ndarray) -> np.ndarray:
+    """Range and low 32 bits of hashes as one number, by which an anchor is counted and looked up."""
+    return (np.asarray(home, np.uint64) << np.uint64(32)) | low.astype(np.uint64)
+
+
 def _sent(batches: Iterator[pd.DataFrame], length: int, ranges: int) -> Iterator[pd.DataFrame]:
     """Packed (document, hash) of the anchors per range, gathered over batches until they are worth a row."""
     hashes: list[np.ndarray] = []
@@ -105,7 +115,7 @@ def _sent(batches: Iterator[pd.DataFrame], length: int, ranges: int) -> Iterator
     def packed() -> pd.DataFrame:
         h = np.concatenate(hashes)
         d = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(x) for x in hashes])
-        home = ((h >> np.uint64(44)) * np.uint64(ranges) >> np.uint64(20)).astype(np.int64)
+        home = _range_of(h, ranges)
         order = np.argsort(home, kind="stable")
         h, d, home = h[order].astype(np.uint32), d[order], home[order]
         first = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(h) else np.empty(0, np.int64)
@@ -146,8 +156,12 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per document: the anchors of this range that another document has too, and those of them that are hot."""
+    """Per document: the anchors of this range that another document has too, and those of them that are hot.
+
+    Both carry their range: low bits that are hot in one range say nothing of another.
+    """
     for g in _runs(batches, "range"):
+        home = int(g["range"].iloc[0])
         keys, hashes = [], []
         for k, count, h in zip(g["keys"], g["counts"], g["hashes"]):
             keys.append(np.repeat(np.frombuffer(k, np.int64), np.frombuffer(count, np.uint32)))
@@ -160,7 +174,7 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = np.repeat(size, size)
         k, h, hot = k[size > 1], h[size > 1], size[size > 1] > max(HOT_ROWS, len(h) // 16)
         order = np.argsort(k, kind="stable")
-        k, h, hot = k[order], h[order], hot[order]
+        k, h, hot = k[order], _in_range(home, h[order]), hot[order]
         if len(k):
             a = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
             b = np.r_[a[1:], len(k)]
@@ -212,7 +226,7 @@ def _unpacked(n: int, pack: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.frombuffer(raw, np.int64, 5 * n).reshape(5, n), flags, raw[40 * n + -(-n // 8) :]
 
 
-def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Iterator[pd.DataFrame]:
+def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int, ranges: int) -> Iterator[pd.DataFrame]:
     """Shared anchors with the bytes of the strings that they are the anchors of, dealt to units by anchor;
     the strings of hot anchors one by one, dealt by their own bytes."""
     pack = _Pack(units)
@@ -220,9 +234,9 @@ def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int) -> Itera
         for key, order, text, shared, hot in zip(batch["key"], batch["doc_order"], batch["text"], batch["hashes"], batch["hot"]):
             data = text.encode()
             _, h, first, last = _unique_anchors(np.frombuffer(data, np.uint8), length)
-            low = h.astype(np.uint32)
-            held = np.isin(low, np.frombuffer(b"".join(shared), np.uint32))
-            single = np.isin(low[held], np.frombuffer(b"".join(hot), np.uint32))
+            code = _in_range(_range_of(h, ranges), h.astype(np.uint32))
+            held = np.isin(code, np.frombuffer(b"".join(shared), np.uint64))
+            single = np.isin(code[held], np.frombuffer(b"".join(hot), np.uint64))
             home = (_mixed(h[held]) % np.uint64(units * PARTS)).astype(np.int64)
             for unit, lo, hi, split in zip(home.tolist(), first[held].tolist(), last[held].tolist(), single.tolist()):
                 if split:
@@ -372,7 +386,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = False, ranges
     )
     covered = (
         singles.join(shared, "key")
-        .mapInPandas(lambda it: _contexts(it, length, ranges), "unit long, n int, pack binary")
+        .mapInPandas(lambda it: _contexts(it, length, ranges, ranges), "unit long, n int, pack binary")
         .repartition(ranges, "unit").sortWithinPartitions("unit")
         .mapInPandas(lambda it: _covered(it, length), "key long, starts binary")
         .groupBy("key").agg(F.collect_list("starts").alias("starts"))  # of one document
