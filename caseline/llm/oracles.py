@@ -28,15 +28,16 @@ WITH w AS (
            len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
            len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_kinds,
            coalesce(cov.n, 0) AS n_repeat_words,
-           length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper,
-           length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) AS lower,
+           length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS upper,
+           length(t) - length(regexp_replace(t, '\p{L}', '', 'g')) AS letters,
+           coalesce(list_max(map_values(list_histogram(w))), 0) AS top,
            len(string_split(t, chr(10))) AS lines
     FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id
 ), f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_lines - n_kinds AS n_dup_lines FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > word_chars OR (2 * n_dup_lines > lines AND lines >= 4)
-            OR (n_words >= 20 AND 20 * (n_words - len(list_distinct(w))) > 19 * n_words)
-            OR (10 * upper > 7 * (upper + lower) AND upper + lower > 40)) AS kept
+            OR (n_words >= 20 AND 2 * top > n_words)
+            OR (10 * upper > 7 * letters AND letters > 40)) AS kept
 FROM f
 """
 

@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade ordered by rejections per cost.
 
-A rule is a rejecting condition with an estimate of the elementary steps it takes on a row. Both are
-measured on a bounded sample; the cascade then runs the rule first that rejects most of what is left
+A rule is a rejecting condition with an estimate of the elementary steps it takes on a row. Rejections and
+steps are added up on a sample, drawn row by row from the whole table; the cascade then runs the rule first that rejects most of what is left
 per step, and a row stops at the first rule that rejects it. The order changes the cost alone: a row
 is kept exactly if no rule rejects it.
 """
@@ -21,8 +21,9 @@ SYMBOLS = r"[#*$%&|<>]+"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Rows of the sample that costs and selectivities are estimated on.
+#: Expected rows of the sample that costs and selectivities are estimated on, and what draws them.
 SAMPLE_ROWS = 2000
+SAMPLE_SEED = 11
 
 
 @dataclass(frozen=True)
@@ -93,8 +94,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts have no words and fail. Columns of the same names are replaced.
     """
     body = whole(F.col(text))
+    held = "__quality_words"
     out = docs.withColumn(
-        "_m",
+        held,
         let(
             words_of(body),
             lambda w: F.struct(
@@ -105,7 +107,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     for name in ("n_words", "word_chars", "n_repeat_words"):
-        out = out.withColumn(name, F.col(f"_m.{name}"))
+        out = out.withColumn(name, F.col(f"{held}.{name}"))
     return (
         out.withColumn(
             "n_symbols", (F.char_length(body) - F.char_length(F.regexp_replace(body, SYMBOLS, ""))).cast("long")
@@ -115,7 +117,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             "base_failed",
             (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
         )
-        .drop("_m")
+        .drop(held)
     )
 
 
@@ -155,20 +157,30 @@ def default_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per step among what the earlier ones leave, on at most ``sample_rows`` rows.
+def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Each row of ``docs`` with the same chance, ``rows`` expected in all; the whole of a smaller table.
 
-    The driver gets one row per combination of rejecting rules seen in the sample. Rules that reject
-    nothing there come last, the cheapest first.
+    Rows are drawn one by one, wherever they lie, so neither a hot key nor the order of the files matters,
+    and the number does not grow with the tasks. The draw reads the table once more and moves nothing.
     """
-    flags = [F.coalesce(r.rejects, F.lit(False)).alias(f"_r{i}") for i, r in enumerate(rules)]
-    works = [F.sum(r.work.cast("double")).alias(f"_w{i}") for i, r in enumerate(rules)]
-    sample = docs.limit(sample_rows)
-    names = [f"_r{i}" for i in range(len(rules))]
+    total = docs.count()
+    return docs if total <= rows else docs.sample(rows / total, SAMPLE_SEED)
+
+
+def ordered(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """The rules by rejections per step among what the earlier ones leave of the measured ``sample``.
+
+    Tasks count their rows by the rules that reject them; only these counts are shuffled, and the driver
+    gets one row per combination of rejecting rules. Rules that reject nothing there come last, the
+    cheapest first.
+    """
+    names = [f"r{i}" for i in range(len(rules))]
+    flags = [F.coalesce(r.rejects, F.lit(False)).alias(n) for n, r in zip(names, rules)]
+    works = [r.work.cast("double").alias(f"w{i}") for i, r in enumerate(rules)]
     seen = (
-        sample.select("*", *flags)
+        sample.select(*flags, *works)
         .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_n"), *works)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(rules))])
         .collect()
     )
     left, picked = list(range(len(rules))), []
@@ -176,14 +188,14 @@ def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_RO
     while left:
 
         def gain(i: int) -> tuple[float, float, int]:
-            rejected = sum(row["_n"] for row in alive if row[f"_r{i}"])
-            cost = sum(row[f"_w{i}"] or 0.0 for row in alive)
+            rejected = sum(row["n"] for row in alive if row[f"r{i}"])
+            cost = sum(row[f"w{i}"] or 0.0 for row in alive)
             return (rejected / max(cost, 1.0), -cost, -i)
 
         best = max(left, key=gain)
         left.remove(best)
         picked.append(best)
-        alive = [row for row in alive if not row[f"_r{best}"]]
+        alive = [row for row in alive if not row[f"r{best}"]]
     return [rules[i] for i in picked]
 
 
@@ -199,9 +211,9 @@ def cascade(rules: Sequence[Rule]) -> Column:
 def quality(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Every row of ``docs`` with its measures, ``base_failed`` and ``kept``.
 
-    Null and empty texts fail the base rule. Repeated rows stay as they are. An empty table gives an
+    Null and empty texts fail the base rule. The order of the rules comes from about ``sample_rows`` rows. Repeated rows stay as they are. An empty table gives an
     empty result. Columns of ``docs`` named like a result are replaced.
     """
-    measured = measures(docs, text)
     rules = default_rules(text) if rules is None else list(rules)
-    return measured.withColumn("kept", cascade(ordered(measured, rules, sample_rows)))
+    order = ordered(measures(sampled(docs, sample_rows), text), rules)
+    return measures(docs, text).withColumn("kept", cascade(order))

@@ -7,12 +7,16 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from caseline.llm import chat, decontaminate, license_scan, mixing, ngram_join, pii, quality_rules, suffix_dedup, token_files, warc
+from caseline.llm.oracles import ORACLES
 from caseline.llm.queries import MIX_WEIGHTS, tokenizer_path
+from compare import difference
 
 PROSE = "the quick brown fox jumps over the lazy dog while seven wise men watch from a small green hill near town and say nothing at all"
 LONG = " ".join(f"word{i % 977}x{i // 977}" for i in range(6000))
@@ -91,6 +95,11 @@ def test_quality_rules_at_any_length_and_script(spark):
     made = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     kept = dict(result(quality_rules.quality(made), "doc_id", "kept"))
     assert kept == {1: True, 2: False, 3: True, 4: True, 5: False, 6: False}
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([(i, t) for i, t in texts.items() if i > 1], columns=["doc_id", "text"]))  # the SQL is quadratic in words
+    made = made.where("doc_id > 1")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert difference(quality_rules.quality(made).select(*names, "kept"), con, ORACLES["op2_quality_rules"]) is None
 
 
 def test_quality_order(spark):
@@ -101,6 +110,16 @@ def test_quality_order(spark):
     assert [r.name for r in quality_rules.ordered(rows, [dear, cheap, strong])] == ["strong", "dear", "cheap"]
 
 
+def test_quality_sample(spark):
+    rows = spark.range(50_000, numPartitions=40).select(F.col("id").alias("_m"), F.lit(PROSE).alias("text"), F.col("id").alias("r0"))
+    found = quality_rules.sampled(rows, 2000)
+    assert 1700 < found.count() < 2300 and found.where("_m >= 25000").count() > 700
+    assert "Limit" not in found._jdf.queryExecution().executedPlan().toString()
+    assert quality_rules.sampled(rows, 50_000).count() == 50_000
+    out = quality_rules.quality(rows.limit(10))
+    assert set(rows.columns) < set(out.columns) and out.where("kept").count() == 10
+
+
 def test_suffix_dedup(docs, spark):
     rows = [(i, t, (t or "").encode()) for i, t in rows_of(docs)]
     rows += [(100 + k, None, (PROSE[k:] + str(k) * 60 + PROSE).encode()) for k in range(5)]
@@ -129,6 +148,24 @@ def test_suffix_dedup_splits_hot_anchors(docs, monkeypatch):
     assert result(suffix_dedup.dedup(docs, ranges=200), "doc_id", "n_removed", "n_spans", "kept_sha256") == plain
 
 
+def test_suffix_dedup_tells_ranges_of_equal_low_bits(monkeypatch):
+    ranges, low = 1 << 20, np.uint64(77)
+    hot, plain = (np.uint64(5) << np.uint64(44)) | low, (np.uint64(9) << np.uint64(44)) | low  # equal but for the range
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 2)
+
+    def rows(h, keys):
+        n = len(keys)
+        home = int(suffix_dedup._range_of(np.array([h]), ranges)[0])
+        return (home, np.array(keys, np.int64).tobytes(), np.ones(n, np.uint32).tobytes(), np.full(n, h, np.uint64).astype(np.uint32).tobytes())
+
+    sent = pd.DataFrame([rows(hot, [1, 2, 3, 4]), rows(plain, [1, 5])], columns=["range", "keys", "counts", "hashes"])
+    shared = pd.concat(list(suffix_dedup._shared(iter([sent]))))
+    of_one = shared[shared["key"] == 1]
+    codes = suffix_dedup._in_range(suffix_dedup._range_of(np.array([hot, plain]), ranges), np.array([low, low], np.uint32))
+    assert set(np.frombuffer(b"".join(of_one["hashes"]), np.uint64)) == set(codes)
+    assert np.frombuffer(b"".join(of_one["hot"]), np.uint64).tolist() == [codes[0]]
+
+
 def test_suffix_dedup_sorts_in_slices(docs, monkeypatch):
     plain = result(suffix_dedup.dedup(docs), "doc_id", "n_removed", "n_spans", "kept_sha256")
     monkeypatch.setattr(suffix_dedup, "SORTED_STRINGS", 3)
