@@ -7,6 +7,7 @@ of all of them split by stripe.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -31,6 +32,11 @@ SIMPLE = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 PIECES = re.compile(r"[a-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]|[!-/:-@\[-`{-~]+")
 #: Characters of a text that part the ranges of a repeated id.
 HEAD = 64
+#: Number of a part, and of a file inside it, in the names of written files.
+PART = r"^part-(\d+)"
+PIECE = r"-c(\d+)[^-]*$"
+# Fixed value: the cut of text that ``PIECES`` repeats for ASCII and Latin letters, as tokenizer files write it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.bloom.filter.columns": "doc_id",
@@ -49,19 +55,40 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(hidden)}
 
 
+def _cuts_as_here(shape: dict) -> bool:
+    """Whether a tokenizer file normalises and cuts text the way ``_Encoder`` does without it.
+
+    Its normaliser must compose, make white space one blank and lower, its cutter keep letters, single
+    digits and runs of other signs apart and go on to byte letters, and nothing may be added to the ids.
+    """
+    steps = (shape.get("normalizer") or {}).get("normalizers") or []
+    cuts = (shape.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return False
+    blank, (split, letters) = steps[1], cuts
+    return (
+        blank["pattern"] == {"Regex": r"\s+"} and blank["content"] == " "
+        and split["pattern"] == {"Regex": SPLIT} and split["behavior"] == "Removed" and split["invert"]
+        and not letters["add_prefix_space"] and not letters["use_regex"]
+        and not shape.get("truncation") and not shape.get("padding")
+    )
+
+
 class _Encoder(dict):
     """Ids of chunks, as bytes, by a tokenizer that never joins across blanks; chunks are remembered.
 
     The tokenizer drops white space and splits there, so a text's ids are those of its chunks in order.
     It lowers a chunk and cuts it into runs of letters, single digits and runs of other signs. Chunks of
     ASCII and Latin letters are cut here and their pieces go to the tokenizer's model alone; all other
-    chunks, and those that hold an added token or an apostrophe, go through the whole tokenizer.
+    chunks, and those that hold an added token or an apostrophe, go through the whole tokenizer. Texts go
+    through it whole where its file says that it normalises or cuts in another way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_chunk = _cuts_as_here(json.loads(self.tokenizer.to_str()))
         self.pieces = self.tokenizer.model.tokenize
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("(?i)" + "|".join(added) if added else "(?!)")
@@ -85,6 +112,9 @@ class _Encoder(dict):
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_chunk:
+            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            return [array("i", e.ids).tobytes() for e in found]
         if len(self) > CACHED_CHUNKS:
             self.clear()
         return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
@@ -123,7 +153,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     """Write doc_id and ids as ORC in ascending doc_id order; null ids come first.
 
     Null and empty texts are the end id alone. Repeated ids are kept, ordered by text. The files of the
-    folder, by the smallest id and then by name, hold the ids in order. The ranges come from a sample of
+    folder, by the numbers of their parts, hold the ids in order. The ranges come from a sample of
     ids and of heads of texts, so that no whole text goes to the driver.
     """
     body = docs.select("doc_id", whole(F.col("text")).alias("text"))
@@ -156,7 +186,7 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens and ids_crc32, read from the files alone.
 
     Rows of a file keep their order. Tokens are added up inside a file over its narrow rows, and files
-    over one row each.
+    over one row each, by the numbers of their parts: names stop sorting where a number outgrows its digits.
     """
     rows = read_tokens(spark, folder).select(
         "doc_id",
@@ -170,7 +200,10 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     )
     inside = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    name = F.col("file")
+    before = Window.orderBy(
+        F.regexp_extract(name, PART, 1).try_cast("long"), F.regexp_extract(name, PIECE, 1).try_cast("long"), name
+    ).rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     placed = rows.withColumn("_in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return placed.join(bases, "file").select(

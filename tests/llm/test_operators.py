@@ -10,7 +10,9 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyarrow import orc
 from pyspark.sql import functions as F
 
 from caseline.llm import chat, decontaminate, license_scan, mixing, ngram_join, pii, quality_rules, suffix_dedup, token_files, warc
@@ -302,6 +304,51 @@ def test_encoder_equals_tokenizer_on_odd_texts():
         assert np.frombuffer(got, np.int32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_token_files_of_six_digit_parts(spark, tmp_path):
+    order = ["part-00007-u-c000.orc", "part-99999-u-c000.orc", "part-99999-u-c001.orc", "part-100000-u-c000.orc", "part-1000000-u-c000.orc"]
+    for k, name in enumerate(order):
+        orc.write_table(pa.table({"doc_id": pa.array([k], pa.int64()), "ids": pa.array([[k] * (k + 1)], pa.list_(pa.int32()))}), str(tmp_path / name))
+    assert dict(result(token_files.token_index(spark, str(tmp_path)), "doc_id", "start")) == {0: 0, 1: 1, 2: 3, 3: 6, 4: 10}
+
+
+def test_token_files_of_another_tokenizer(docs, spark, tmp_path):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    other = Tokenizer.from_file(tokenizer_path())
+    assert token_files._Encoder(tokenizer_path()).by_chunk
+    for normalizer, cutter in [(normalizers.NFC(), other.pre_tokenizer), (other.normalizer, pre_tokenizers.ByteLevel(add_prefix_space=True))]:
+        changed = Tokenizer.from_file(tokenizer_path())
+        changed.normalizer, changed.pre_tokenizer = normalizer, cutter
+        path = str(tmp_path / "other.json")
+        changed.save(path)
+        encoder = token_files._Encoder(path)
+        texts = [t or "" for _, t in rows_of(docs)]
+        assert not encoder.by_chunk
+        assert [np.frombuffer(x, np.int32).tolist() for x in encoder.encode(texts)] == [changed.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_files_hold_stripes_indexes_and_bloom_filters(spark, tmp_path):
+    rows = spark.range(40_000).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("some words of "), "id").alias("text"))
+    folder = token_files.write_tokens(rows.coalesce(1), str(tmp_path / "tokens"), tokenizer_path())
+    read = token_files.read_tokens(spark, folder)
+    assert read.count() == 40_000
+    wanted = read.where("doc_id = 31234")
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,31234)" in plan and wanted.count() == 1
+    reader = spark._jvm.org.apache.orc.OrcFile
+    conf = spark._jsc.hadoopConfiguration()
+    for name in sorted((tmp_path / "tokens").glob("part-*.orc"))[:1]:
+        held = reader.createReader(spark._jvm.org.apache.hadoop.fs.Path(str(name)), reader.readerOptions(conf))
+        assert held.getRowIndexStride() == 5000 and held.getStripes().size() >= 1 and str(held.getCompressionKind()) == "ZSTD"
+        kinds, columns = set(), held.getSchema().getFieldNames()
+        stripe = held.rows().readStripeFooter(held.getStripes().get(0))
+        for k in range(stripe.getStreamsCount()):
+            kinds.add((str(stripe.getStreams(k).getKind()), stripe.getStreams(k).getColumn()))
+        at = 1 + list(columns).index("doc_id")
+        assert ("ROW_INDEX", at) in kinds and ("BLOOM_FILTER_UTF8", at) in kinds and ("BLOOM_FILTER_UTF8", at + 1) not in kinds
+        assert str(stripe.getColumns(at).getKind()) == "DIRECT_V2"
+
+
 def test_license_scan(docs):
     phrases = {tuple(p.split()): v for p, v in license_scan.PHRASES.items()}
     templates = {k: set(w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", v.lower()) if w) for k, v in license_scan.TEMPLATES.items()}
