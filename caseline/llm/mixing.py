@@ -3,8 +3,8 @@
 A source that should make up a share of the mixture has a mean repetition rate: its share of the rows
 wanted over its rows. Every document draws a uniform number from a hash of seed and id, inverts the
 Poisson distribution of its source's rate, is repeated that often, and all copies are put in the order
-of another hash. Rows of a null or repeated id draw by their text too. The draw depends on seed, id and text
-alone, so a lost task gives the same rows again.
+of another hash. Rows of a null or repeated id draw by their text too, and those that share both by their
+place in the scan. All this is the same when a lost task runs again on the same files.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseline.llm.common import written
+from caseline.llm.common import let, written
 from caseline.operators.joins import bounded
 
 SEED = 17
@@ -87,25 +87,42 @@ def mixed(
     Adds ``replica`` (from 0) and ``shuffle_key``, which the rows are range-partitioned and sorted by.
     ``epochs`` times the rows of ``docs`` are expected in all, each source with its share of the
     weights. A weight of 0 drops a source. Null sources count as one source. A row whose key no other
-    has draws by its key; rows of a null or repeated key draw by key and text, so only rows that are
-    equal in both draw alike. A table without the text column draws by key. Null texts are rows like
-    others. Columns of ``docs`` named like a result are replaced. An empty table gives an empty result.
+    has draws by its key; rows of a null or repeated key draw by key and text, and rows that are equal in
+    both by their place in the scan too, so that each draws for itself and a hot group of them spreads over
+    the global order. These alone differ if the same rows come in other files. A table without the text
+    column has key and place. Null texts are rows like others. Columns of ``docs`` named like a result are
+    replaced. An empty table gives an empty result.
     """
     table = bounded(rates(docs, weights, other, epochs, source).select("__mix_source", "__mix_first", "__mix_cdf"))
     docs = docs.drop("replica", "shuffle_key")
     texts = [F.col(text)] if text in docs.columns else []
-    repeated = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__mix_key")).agg(F.count(F.lit(1)).alias("__mix_rows"))
-    repeated = bounded(written(repeated.where("__mix_rows > 1").select("__mix_key"), "mix-keys"))
-    held = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source")))
+    # 128 bits of the text, so that no whole text is shuffled to find equal rows
+    docs = docs.withColumn("__mix_print", F.md5(texts[0]) if texts else F.lit(None).cast("string"))
+    keys = docs.groupBy(F.col(key).alias("__mix_key")).agg(F.count(F.lit(1)).alias("__mix_rows"))
+    keys = written(keys.where("__mix_rows > 1").select("__mix_key"), "mix-keys")
+    repeated = bounded(keys.where("__mix_key IS NOT NULL"))
+    alike = F.xxhash64(F.col(key).isNull(), F.col(key), "__mix_print")
+    shared = docs.select(key, "__mix_print").join(bounded(keys), F.col(key).eqNullSafe(F.col("__mix_key")), "left_semi")
+    equal = shared.groupBy(alike.alias("__mix_alike")).agg(F.count(F.lit(1)).alias("__mix_rows"))
+    # keys that are all different need no second look at the texts
+    equal = written((equal.limit(0) if keys.isEmpty() else equal.where("__mix_rows > 1")).select("__mix_alike"), "mix-alike")
+    held = docs.withColumn("__mix_at", F.monotonically_increasing_id())
+    held = held.join(table, F.col(source).eqNullSafe(F.col("__mix_source")))
     held = held.join(repeated, F.col(key) == F.col("__mix_key"), "left")
+    held = held.join(bounded(equal), alike == F.col("__mix_alike"), "left")
     alone = F.col(key).isNotNull() & F.col("__mix_key").isNull()
-    draw = F.when(alone, uniform(seed, F.col(key))).otherwise(uniform(seed, F.col(key), *texts))
-    held = held.withColumn("__mix_draw", draw)
+    at = F.when(F.col("__mix_alike").isNotNull(), F.col("__mix_at"))
+    draw = (
+        F.when(alone, uniform(seed, F.col(key)))
+        .when(at.isNull(), uniform(seed, F.col(key), *texts))
+        .otherwise(uniform(seed, F.col(key), *texts, at))
+    )
     # the count is the number of distribution values at or below the draw
-    below = F.size(F.filter("__mix_cdf", lambda c: c <= F.col("__mix_draw")))
+    below = let(draw, lambda u: F.size(F.filter("__mix_cdf", lambda c: c <= u)))
     counted = held.withColumn("__mix_count", F.col("__mix_first") + below)
     copies = counted.where(F.col("__mix_count") > 0).withColumn(
         "replica", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_count") - 1))
     )
-    place = F.xxhash64(F.lit(seed), F.col(key), *texts, F.col("replica"))
-    return copies.withColumn("shuffle_key", place).drop("__mix_source", "__mix_key", "__mix_first", "__mix_cdf", "__mix_draw", "__mix_count").orderBy("shuffle_key", "replica")
+    # a null place leaves the hash as it is
+    placed = copies.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.col(key), *texts, at, F.col("replica")))
+    return placed.drop(*[c for c in placed.columns if c.startswith("__mix_")]).orderBy("shuffle_key", "replica")
