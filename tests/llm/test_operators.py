@@ -275,6 +275,23 @@ def test_mixing_of_null_and_repeated_ids(spark):
     assert result(out, "doc_id", "text", "replica") == result(mixing.mixed(rows.repartition(5), {}), "doc_id", "text", "replica")
 
 
+def test_mixing_of_equal_rows(spark):
+    i = F.col("id")
+    key = F.when(i % 3 == 0, None).when(i % 3 == 1, F.lit(7)).otherwise(i)
+    text = F.when(i % 3 == 0, None).when(i % 3 == 1, F.lit("the same")).otherwise(F.concat(F.lit("text "), i))
+    rows = spark.range(0, 12000, 1, 6).select(key.alias("doc_id"), text.alias("text"), F.lit("a").alias("source"))
+    out = mixing.mixed(rows, {}).cache()
+    kinds = Counter("null" if k is None else "hot" if k == 7 else "single" for k, _ in rows_of(out))
+    assert all(abs(kinds[k] / 4000 - 1) < 0.06 for k in ("null", "hot", "single"))
+    drawn = Counter("null" if k is None else "hot" if k == 7 else "single" for k, _ in rows_of(out.where("replica = 0")))
+    twice = Counter("null" if k is None else "hot" if k == 7 else "single" for k, _ in rows_of(out.where("replica = 1")))
+    assert all(abs(drawn[k] / 4000 - 0.632) < 0.03 and abs(twice[k] / 4000 - 0.264) < 0.03 for k in kinds)  # Poisson at mean 1
+    assert out.select("shuffle_key").distinct().count() == out.count()
+    assert result(out, "doc_id", "replica", "shuffle_key") == result(mixing.mixed(rows, {}), "doc_id", "replica", "shuffle_key")
+    without = mixing.mixed(rows.drop("text"), {})
+    assert abs(without.where("doc_id IS NULL").count() / 4000 - 1) < 0.06
+
+
 def test_mixing_of_a_rare_source(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 40, "rare").otherwise("b").alias("source"))
     counts = [n for _, n in result(mixing.mixed(rows, {"rare": 1.0, "b": 1.0}, epochs=200.0).where("source = 'rare'").groupBy("doc_id").count(), "doc_id", "count")]
@@ -364,7 +381,9 @@ def test_license_scan(docs):
         w = words(t or "")
         places = [(k, v) for p, v in phrases.items() for k in range(len(w)) if tuple(w[k : k + len(p)]) == p]
         shares = {k: max(len(v & set(words(line))) / len(v) for line in (t or "").split("\n")) for k, v in templates.items()}
-        found = {k: s for k, s in shares.items() if s >= license_scan.THRESHOLD - 1e-9}
+        lines = [" " + " ".join(words(line)) + " " for line in (t or "").split("\n")]
+        decided = {k for k in templates if any(all(" " + " ".join(words(p)) + " " in line for p in license_scan.DECIDING.get(k, ())) for line in lines)}
+        found = {k.split("/")[0]: s for k, s in shares.items() if s >= license_scan.THRESHOLD - 1e-9 and k in decided}
         base = sorted({v for _, v in places})
         starts = [k for k, _ in places]
         score = 1.0 if places else max(found.values(), default=0.0)
@@ -389,6 +408,57 @@ def test_license_scan_by_windows_of_words(spark):
     assert dict(result(out, "doc_id", "labels")) == {1: "bsd-3-clause", 2: "mpl-2.0", 3: "", 4: "mit", 5: "mit"}
 
 
+def test_license_versions_and_variants(spark):
+    texts = {
+        "gpl,gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+        "gpl,gpl-3.0": "You may use it under the terms of the GNU General Public License\n# as published by the Free Software Foundation, either version 3 of the\n# License, or any later version",
+        "lgpl-2.1": "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "lgpl-3.0": license_scan.TEMPLATES["lgpl-3.0"],
+        "agpl-3.0": license_scan.TEMPLATES["agpl-3.0"],
+        "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "cc-by,cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0",
+        "cc-by,cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+        "cc-by,cc-by-4.0,cc-by-nc-4.0": "Text licensed under CC BY 4.0, pictures licensed under CC BY-NC 4.0.",
+        "apache-2.0,mit": "Licensed under the Apache License, Version 2.0. Released under the MIT License.",
+        "bsd": license_scan.TEMPLATES["bsd"] + " provided that the following conditions are met",
+        "bsd,bsd-3-clause": license_scan.TEMPLATES["bsd"] + " provided that. " + license_scan.TEMPLATES["bsd-3-clause"],
+        "": "the license of this version 3 commons work is under general public terms",
+    }
+    made = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    labels = dict(result(license_scan.scan(made), "doc_id", "labels"))
+    expected = dict(enumerate(texts))
+    expected.update({k: "gpl," + v for k, v in expected.items() if v.startswith(("lgpl", "agpl"))})  # the base phrase stands there, too
+    assert {k: set(v.split(",")) for k, v in labels.items()} == {k: set(v.split(",")) for k, v in expected.items()}
+
+
+def test_license_windows_by_brute_force(spark):
+    rng, low = np.random.default_rng(5), license_scan._low_words
+    notices = list(license_scan.TEMPLATES.items())
+    texts = []
+    for k in range(120):
+        name, notice = notices[k % len(notices)]
+        words = notice.split()
+        for _ in range(k % 3):  # words lost, words between
+            words.pop(int(rng.integers(len(words)))) if rng.random() < 0.5 else words.insert(int(rng.integers(len(words))), "other")
+        texts.append(" ".join(["start", "of"] * int(rng.integers(9)) + words + notices[int(rng.integers(len(notices)))][1].split()[: int(rng.integers(12))]))
+
+    def holds(words, name, notice):
+        tokens, window = set(low(notice)), license_scan.SPREAD * len(low(notice))
+        for i in range(len(words)):
+            part = words[i : i + window]
+            phrases = all(any(part[j : j + len(p)] == p for j in range(len(part))) for p in map(low, license_scan.DECIDING.get(name, ())))
+            if phrases and len(tokens & set(part)) >= license_scan.THRESHOLD * len(tokens) - 1e-9:
+                return True
+        return False
+
+    expected = {k: {n.split("/")[0] for n, v in notices if holds(low(t), n, v)} for k, t in enumerate(texts)}
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = license_scan.scan(made).collect()
+    assert {r["doc_id"]: set(r["labels"].split(",")) - set(r["base_labels"].split(",")) - {""} for r in out} == expected
+    assert sum(map(len, expected.values())) > 60
+
+
 def base_pii(text):
     found = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
