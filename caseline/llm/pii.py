@@ -38,35 +38,82 @@ _SIGN = r"A-Za-z_@.+%\-"
 _TOKEN = rf"[{_SIGN}]*+[0-9][{_SIGN}0-9]*+"
 TOKENS = rf"(?<![{_SIGN}0-9]){_TOKEN}(?:(?<=[A-Za-z0-9])[\x20\u00a0](?=[A-Za-z0-9]){_TOKEN})*+"
 SHORTEST = 6
+#: Code points of the pieces that texts are cut into to look places up.
+PIECE = 1024
 #: Stands for each character of a base span while candidates are searched.
 MASK = "\ue000"
 ADDED = "id"
 
 
+def running(values: Column) -> Column:
+    """Running sums of an array of integers, itself included.
+
+    Arrays can only grow by copying, so sums run inside blocks of about the root of the length, and the
+    blocks' totals run over the blocks: for n values n to the power of 1.5 steps, not n squared.
+    """
+    none = F.array().cast("array<int>")
+
+    def sums(v: Column) -> Column:
+        last = lambda acc: F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0))
+        return F.aggregate(v, none, lambda acc, x: F.concat(acc, F.array((last(acc) + x).cast("int"))))
+
+    def joined(blocks: Column) -> Column:
+        before = sums(F.transform(blocks, lambda b: F.get(b, F.size(b) - 1)))
+        return let(
+            before,
+            lambda t: F.flatten(F.transform(blocks, lambda b, i: F.transform(b, lambda x: (x + F.coalesce(F.get(t, i - 1), F.lit(0))).cast("int")))),
+        )
+
+    def of(v: Column) -> Column:
+        n = F.size(v)
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(16))
+        firsts = F.sequence(F.lit(0), n - 1, width)
+        return F.when(n == 0, none).otherwise(let(F.transform(firsts, lambda a: sums(F.slice(v, a + 1, width))), joined))
+
+    return let(values, of)
+
+
+def pieces(text: Column) -> Column:
+    """``text`` in pieces of ``PIECE`` code points, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(held: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from place ``start`` on, out of ``pieces``: the text before is not walked."""
+    first = F.floor(start / PIECE).cast("int")
+    number = F.floor((start + length) / PIECE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(held, first + 1, number), ""), start - first * PIECE + 1, length)
+
+
+SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
+
+
 def spans(text: Column, pattern: str) -> Column:
-    """Matches as an array of (start, end, value), in code points, end exclusive.
+    """Matches as an array of (start, end, value, left, right), in code points, end exclusive; ``left`` and
+    ``right`` are the characters beside the match, empty at the ends and between neighbouring matches.
 
     What stands between the matches and the matches themselves give the places.
     """
 
     def placed(gaps: Column, found: Column) -> Column:
-        start = F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"),
+        sizes = F.transform(found, lambda v, i: F.char_length(F.get(gaps, i)) + F.char_length(v))
+        return let(
+            running(sizes),
+            lambda ends: F.transform(
+                found,
+                lambda v, i: F.struct(
+                    (F.get(ends, i) - F.char_length(v)).alias("start"),
+                    F.get(ends, i).alias("end"),
+                    v.alias("value"),
+                    F.right(F.get(gaps, i), F.lit(1)).alias("left"),
+                    F.left(F.get(gaps, i + 1), F.lit(1)).alias("right"),
+                ),
+            ),
         )
 
-        def step(acc: Column, i: Column) -> Column:
-            begin = acc["at"] + F.char_length(F.get(gaps, i))
-            end = begin + F.char_length(F.get(found, i))
-            one = F.struct(begin.alias("start"), end.alias("end"), F.get(found, i).alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])
-
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda found: F.when(F.size(found) == 0, empty).otherwise(
+        lambda found: F.when(F.size(found) == 0, F.array().cast(SPAN)).otherwise(
             let(F.split(text, pattern, -1), lambda gaps: placed(gaps, found))
         ),
     )
@@ -90,7 +137,7 @@ def luhn(digits: Column) -> Column:
 
 def base_spans(body: Column) -> Column:
     """All base spans as an array of (start, kind number, end), unordered. Failing matches go, with no retry."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast(SPAN)
 
     def part_ok(value: Column) -> Column:
         return F.forall(
@@ -130,20 +177,37 @@ def listed(found: Column, names: tuple[str, ...]) -> Column:
     )
 
 
-def masked(body: Column, base: Column) -> Column:
-    """``body`` with the base spans blanked out, places unchanged."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def masked(held: Column, base: Column) -> Column:
+    """The text of the pieces ``held`` with the base spans blanked out, places unchanged.
+
+    Spans of one kind do not overlap, but those of two kinds may; a span inside those before it has nothing
+    left to blank out. Starts and ends sorted each by itself give the stretches that no span covers: one
+    begins with the k-th end if no more than k spans have started by then.
+    """
+
+    def stretches(starts: Column, ends: Column) -> Column:
+        # where k spans have ended and the next one starts, all that started have ended
+        open_ = F.filter(
+            F.transform(ends, lambda e, k: F.struct(e.alias("at"), F.get(starts, k + 1).alias("to"))),
+            lambda g: g["to"].isNull() | (g["to"] >= g["at"]),
+        )
+        return F.concat(F.array(F.struct(F.lit(0).alias("at"), F.get(starts, F.lit(0)).alias("to"))), open_)
+
+    def text_of(free: Column) -> Column:
+        whole_end = F.aggregate(held, F.lit(0), lambda n, p: n + F.char_length(p))
 
-    def step(acc: Column, b: Column) -> Column:
-        begin = F.greatest(b["start"], acc["at"])  # spans of different kinds may overlap
-        end = F.greatest(b["end"], acc["at"])
-        gap = F.substring(body, acc["at"] + 1, begin - acc["at"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(MASK), end - begin))).alias("out"))
+        def part(g: Column, i: Column) -> Column:
+            end = F.coalesce(g["to"], whole_end)
+            after = F.coalesce(F.get(free, i + 1)["at"], end)
+            return F.concat(cut(held, g["at"], end - g["at"]), F.repeat(F.lit(MASK), after - end))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(body, acc["at"] + 1, F.char_length(body)))
+        return F.array_join(F.transform(free, part), "")
 
-    return F.when(F.size(base) == 0, body).otherwise(F.aggregate(F.array_sort(base), start, step, finish))
+    starts = F.array_sort(F.transform(base, lambda b: b["start"]))
+    ends = F.array_sort(F.transform(base, lambda b: b["end"]))
+    return F.when(F.size(base) == 0, F.array_join(held, "")).otherwise(
+        let(F.struct(starts.alias("s"), ends.alias("e")), lambda v: let(stretches(v["s"], v["e"]), text_of))
+    )
 
 
 def candidates(marked: DataFrame) -> DataFrame:
@@ -151,30 +215,29 @@ def candidates(marked: DataFrame) -> DataFrame:
 
     The context is the last word before the instance, its digits as 0, and the signs between them, taken
     from the ``CONTEXT`` characters before it. ``seed`` tells base spans. Candidates that touch one are none.
+    Contexts are cut inside the row, so that no text goes along with its instances.
     """
     body = F.col("body")
 
-    def found(open_: Column) -> Column:
-        long = F.filter(spans(open_, TOKENS), lambda s: s["end"] - s["start"] >= SHORTEST)
-
-        def touches(s: Column) -> Column:
-            before = (s["start"] > 0) & (F.substring(open_, s["start"], F.lit(1)) == MASK)
-            return before | (F.substring(open_, s["end"] + 1, F.lit(1)) == MASK)
-
-        return F.filter(long, lambda s: F.when(F.size("base") > 0, ~touches(s)).otherwise(True))
-
-    def instance(s: Column, value: Column, seed: bool) -> Column:
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), value.alias("value"), F.lit(seed).alias("seed"))
+    def instances(held: Column) -> Column:
+        def instance(s: Column, value: Column, seed: bool) -> Column:
+            before = cut(held, F.greatest(s["start"] - CONTEXT, F.lit(0)), F.least(s["start"], F.lit(CONTEXT)))
+            context = F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S*[\s]*[^\p{L}\p{N}\s]*)$", 1)), "[0-9]", "0")
+            return F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), F.xxhash64(F.lower(value)).alias("value"),
+                F.trim(context).alias("context"), F.lit(seed).alias("seed"),
+            )
+
+        seeds = F.transform("base", lambda b: instance(b, cut(held, b["start"], b["end"] - b["start"]), True))
+        more = F.filter(
+            let(masked(held, F.col("base")), lambda open_: spans(open_, TOKENS)),
+            lambda s: (s["end"] - s["start"] >= SHORTEST) & (s["left"] != MASK) & (s["right"] != MASK),
+        )
+        return F.concat(seeds, F.transform(more, lambda s: instance(s, s["value"], False)))
 
-    seeds = F.transform("base", lambda b: instance(b, F.substring(body, b["start"] + 1, b["end"] - b["start"]), True))
-    more = F.transform(let(masked(body, F.col("base")), found), lambda s: instance(s, s["value"], False))
     held = marked.where((F.size("base") > 0) | body.rlike("[0-9]"))
-    held = held.select("doc_id", "th", "body", F.explode(F.concat(seeds, more)).alias("s"))
-    before = F.substring(body, F.greatest(F.col("s.start") - CONTEXT, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(CONTEXT)))
-    context = F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S*[\s]*[^\p{L}\p{N}\s]*)$", 1)), "[0-9]", "0")
-    return held.select(
-        "doc_id", "th", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-        F.xxhash64(F.lower("s.value")).alias("value"), F.trim(context).alias("context"), F.col("s.seed").alias("seed"),
+    return held.select("doc_id", "th", F.explode(let(pieces(body), instances)).alias("s")).select(
+        "doc_id", "th", "s.start", "s.end", "s.value", "s.context", "s.seed"
     ).where(F.col("context") != "")
 
 

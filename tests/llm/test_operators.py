@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import regex
 from pyarrow import orc
 from pyspark.sql import functions as F
 
@@ -511,6 +513,74 @@ def test_personal_data_bootstraps_from_spaced_seeds(spark):
     assert all(spans[i].startswith(("email:", "phone:", "card:")) and "id:" not in spans[i] for i in spans if i < 30)
 
 
+def bootstrapped(rows):
+    """All spans of every text, by plain loops."""
+    instances = []
+    for i, t in rows:
+        base = base_pii(t)
+        open_ = list(t)
+        for a, _, b in base:
+            open_[a:b] = pii.MASK * (b - a)
+        open_ = "".join(open_)
+        found = [(a, b, True) for a, _, b in base]
+        for m in regex.finditer(pii.TOKENS, open_):
+            beside = {*open_[max(m.start() - 1, 0) : m.start()], *open_[m.end() : m.end() + 1]}
+            if m.end() - m.start() >= pii.SHORTEST and pii.MASK not in beside:
+                found.append((m.start(), m.end(), False))
+        for a, b, seed in found:
+            lead = regex.search(r"([^\t-\r ]*[\t-\r ]*[^\p{L}\p{N}\t-\r ]*)$", t[max(a - pii.CONTEXT, 0) : a])[1]
+            instances.append((i, a, b, t[a:b].lower(), re.sub("[0-9]", "0", lead.lower()).strip(" "), seed))
+    instances = [x for x in instances if x[4]]
+    values, known = defaultdict(set), {x[3] for x in instances if x[5]}
+    for x in instances:
+        values[x[4]].add(x[3])
+    good = set()
+    while True:
+        more = {c for c, v in values.items() if len(v & known) >= pii.MIN_KNOWN and len(v & known) >= pii.CONFIDENCE * len(v)}
+        if more == good:
+            break
+        good = more
+        known |= {v for c in good for v in values[c]}
+    out = {}
+    for i, t in rows:
+        added = [(x[1], len(pii.KINDS), x[2]) for x in instances if x[0] == i and not x[5] and x[4] in good]
+        out[i] = ",".join(f"{(*pii.KINDS, pii.ADDED)[k]}:{a}:{b}" for a, k, b in sorted({*base_pii(t), *added}))
+    return out
+
+
+def test_personal_data_added_spans_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    leads = ["mail: ", "tel. ", "member no ", "see ", "(ref) ", "room: "]
+    make = [lambda n: f"user{n}@mail.example.org", lambda n: f"+1 (017) 555-{n:04d}", lambda n: f"AB-{n:05d}", lambda n: f"10.{n % 256}.0.{n % 99}", lambda n: f"{n:04d} {n:05d}x"]
+    rows = []
+    for k in range(80):
+        parts = []
+        for _ in range(int(rng.integers(1, 12))):
+            lead, n = int(rng.integers(len(leads))), int(rng.integers(40))
+            kind = lead % 5 if rng.random() < 0.85 else int(rng.integers(5))
+            parts.append("some words " * int(rng.integers(3)) + leads[lead] + make[kind if lead != 2 or rng.random() < 0.1 else 0](n) + ["", ",", " and"][int(rng.integers(3))])
+        rows.append((k, " ".join(parts)))
+    expected = bootstrapped(rows)
+    found = dict(result(pii.find(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "spans"))
+    assert found == expected
+    assert sum("id:" in v for v in expected.values()) > 5
+
+
+def test_personal_data_in_long_texts(spark):
+    body = " ".join(f"item {k:07d}" for k in range(40_000)) + " tail +1 (555) 123-4567 " + "x" * 3000 + "@mail.example.org \U0001f600 10.0.0.1"
+    start = time.time()
+    row = pii.find(spark.createDataFrame([(1, body)], "doc_id long, text string")).first()
+    assert time.time() - start < 60  # appending to arrays and walking from the start took minutes
+    assert row["spans"] == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base_pii(body))
+
+
+def test_running_sums(spark):
+    rows = [(k, list(range(-3, k))) for k in (-3, -2, 0, 13, 14, 500)]
+    made = spark.createDataFrame(rows, "n int, v array<int>")
+    out = dict(result(made.select("n", pii.running(F.col("v")).alias("sums")), "n", "sums"))
+    assert out == {k: np.cumsum(v).tolist() for k, v in rows}
+
+
 def test_personal_data_iterates_to_the_end(spark):
     edges = [("c0", v, True) for v in (0, 1, 2, 3)]
     for k in range(1, 6):  # each context shares four values with the one before and has one of its own
