@@ -169,26 +169,22 @@ SELECT c_custkey, lpad(digits, 5, '0') AS zip FROM z"""
 _ORACLES["year_extract"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS year FROM orders"""
 
+#: The citation is put together from the same pieces of the part as its code, not read out of the code.
 _ORACLES["charge_citation"] = r"""
 WITH p AS (
-  SELECT p_partkey,
+  SELECT p_partkey, p_size, substr(p_name, 1, 1) AS initial, substr(p_type, 1, 1) AS head, substr(p_type, 2, 2) AS more,
          CASE WHEN p_size > 30 THEN '212' WHEN p_size > 20 THEN '237' WHEN p_size > 10 THEN '2153' ELSE '' END AS section,
-         CASE WHEN p_size > 45 THEN 'a03F'
-              ELSE (CASE WHEN p_type = 'SMALL' THEN 'A' ELSE 'a' END) || lpad(CAST(p_size AS VARCHAR), 2, '0')
-                   || substr(p_type, 1, 1) || '-' || lower(substr(p_type, 2, 2)) || upper(substr(p_name, 1, 1)) END AS tail,
-         substr(p_name, 1, 1) AS initial
-  FROM part),
-c AS (SELECT p_partkey, section || CASE WHEN section = '2153' THEN initial ELSE tail END AS charge FROM p),
-k AS (SELECT *, regexp_replace(charge, '[\p{P}\s]+', '', 'g') AS compact FROM c),
-r AS (SELECT *, NULLIF(regexp_extract(compact, '^\d+'), '') AS sec,
-             regexp_replace(regexp_replace(compact, '^\d+', ''), '^[A-Z]([0-9])', 'a\1') AS rest FROM k),
-b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(rest, '([a-z])([A-Z0-9])', '\1)(\2', 'g'),
-             '([A-Z])([a-z0-9])', '\1)(\2', 'g'), '([0-9])([A-Za-z])', '\1)(\2', 'g') AS parts FROM r)
-SELECT p_partkey, charge,
-       CASE charge WHEN '212a03F' THEN '212(a)(3)(F)' WHEN '2153g' THEN '215(g)' WHEN '2153h' THEN '215(h)'
-            ELSE sec || CASE WHEN parts = '' THEN '' ELSE regexp_replace('(' || parts || ')', '\(0+(\d)', '(\1', 'g') END
-       END AS citation
-FROM b"""
+         CASE WHEN p_type = 'SMALL' THEN 'A' ELSE 'a' END AS letter
+  FROM part)
+SELECT p_partkey,
+       section || CASE WHEN section = '2153' THEN initial WHEN p_size > 45 THEN 'a03F'
+            ELSE concat(letter, lpad(CAST(p_size AS VARCHAR), 2, '0'), head, '-', lower(more), upper(initial)) END AS charge,
+       CASE WHEN section = '' THEN NULL
+            WHEN p_size > 45 THEN '212(a)(3)(F)'
+            WHEN section = '2153' AND initial IN ('g', 'h') THEN concat('215(', initial, ')')
+            WHEN section = '2153' THEN concat('2153(', initial, ')')
+            ELSE concat(section, '(a)(', p_size, ')(', head, ')(', lower(more), ')(', upper(initial), ')') END AS citation
+FROM p"""
 
 _ORACLES["recode_default"] = """
 SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'OPEN' ELSE o_orderstatus END AS status
