@@ -42,6 +42,8 @@ HELD_BYTES = 400
 PARTS = 16
 #: Strings whose bytes are sorted at once; a part with more is sorted in slices of the suffix order.
 SORTED_STRINGS = 400_000
+#: Neighbours in suffix order whose common prefixes are taken at once.
+COMPARED_STRINGS = 1 << 16
 #: An anchor of more documents than this, and than a sixteenth of its range, is split.
 HOT_ROWS = 500
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -251,7 +253,7 @@ def _contexts(batches: Iterator[pd.DataFrame], length: int, units: int, ranges:
 
 
 def _covered(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Suffix order of the strings of each unit, part by part; those with an earlier document among equals are covered."""
+    """Suffix order of the strings of each unit, part by part; those whose previous factor has the length are covered."""
     for g in _runs(batches, "unit"):
         packs = [_unpacked(n, pack) for n, pack in zip(g["n"], g["pack"])]
         # what lost to an equal context within its pack is covered as it stands
@@ -275,14 +277,11 @@ def _hits(table: np.ndarray, data: bytes, length: int) -> np.ndarray:
     at, _ = _each(np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.int64), table[3], walk=True)
     hits = []
     for part in _slices(data, at):
+        part = part[np.argsort(docs[part], kind="stable")]  # equal strings follow each other by document
         suffixes = np.ndarray((len(data) - length + 1,), f"S{length}", data, strides=(1,))[at[part]]
         order = np.argsort(suffixes, kind="stable")
-        ranked, ranked_docs = suffixes[order], docs[part][order]
-        # longest common prefixes of neighbours reach the length exactly where the strings are equal; in
-        # a run of them the smallest document is the closest smaller one of all others
-        new = np.r_[True, ranked[1:] != ranked[:-1]]
-        least = np.minimum.reduceat(ranked_docs, np.flatnonzero(new))[np.cumsum(new) - 1]
-        hits.append(part[order[ranked_docs > least]])
+        factors = previous_factors(suffixes[order], docs[part][order], length)
+        hits.append(part[order[factors >= length]])
     hit = np.concatenate(hits)
     if not len(hit):
         return np.empty((3, 0), np.int64)
@@ -293,6 +292,41 @@ def _hits(table: np.ndarray, data: bytes, length: int) -> np.ndarray:
     return np.stack([keys[run], starts[run], np.diff(np.r_[run, len(keys)])])
 
 
+def previous_factors(ranked: np.ndarray, docs: np.ndarray, least: int = 1) -> np.ndarray:
+    """Longest previous factors of strings of one width in suffix order: the longest prefix that each shares
+    with a string of a smaller document. Factors below ``least`` come as 0.
+
+    The closest places of smaller documents, before and after, attain it. Both are searched for all places
+    at once: a place points to its neighbour and jumps over larger documents by their own pointers, with
+    the least common prefix on the way; it gives up when that falls below ``least``.
+    """
+    width = ranked.dtype.itemsize
+    signs = ranked.view(np.uint8).reshape(-1, width)
+    common = np.zeros(len(ranked) + 1, np.int32)  # of places i - 1 and i
+    for i in range(1, len(ranked), COMPARED_STRINGS):
+        differ = signs[i : i + COMPARED_STRINGS] != signs[i - 1 : i - 1 + COMPARED_STRINGS][: len(signs) - i]
+        common[i : i + len(differ)] = np.where(differ.any(1), differ.argmax(1), width)
+    before = _closest_smaller(docs, common[:-1], least)
+    after = _closest_smaller(docs[::-1], common[:0:-1], least)[::-1]
+    return np.maximum(before, after)
+
+
+def _closest_smaller(docs: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """Prefix shared with the closest place before that has a smaller document; 0 if none shares ``least``."""
+    shared, to = common.copy(), np.arange(-1, len(docs) - 1)
+    shared[shared < least] = 0
+    going = np.flatnonzero(shared)
+    while True:
+        going = going[docs[to[going]] >= docs[going]]
+        if not len(going):
+            return shared
+        over = to[going]
+        shared[going] = np.minimum(shared[going], shared[over])
+        to[going] = to[over]
+        shared[going[to[going] < 0]] = 0
+        going = going[shared[going] > 0]
+
+
 def _slices(data: bytes, at: np.ndarray) -> Iterator[np.ndarray]:
     """Strings at ``at`` as consecutive slices of their order, cut where the first eight bytes change."""
     if len(at) <= SORTED_STRINGS:

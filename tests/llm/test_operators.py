@@ -146,6 +146,30 @@ def test_suffix_dedup(docs, spark):
     assert result(suffix_dedup.dedup(both), *names) == sorted(expected, key=repr)
 
 
+def test_previous_factors():
+    rng = np.random.default_rng(5)
+    for n, width, signs, ids in [(0, 4, 2, 3), (1, 4, 2, 1), (60, 6, 2, 9), (60, 6, 2, 60), (200, 3, 2, 4), (90, 8, 1, 30)]:
+        strings = np.array(sorted(bytes((97 + rng.integers(0, signs, width)).tolist()) for _ in range(n)), f"S{width}")
+        docs = rng.integers(0, ids, n)
+
+        def shared(a, b):
+            return next((k for k in range(width) if a[k] != b[k]), width)
+
+        expected = [max([shared(a, b) for b, e in zip(strings, docs) if e < d], default=0) for a, d in zip(strings, docs)]
+        assert suffix_dedup.previous_factors(strings, docs).tolist() == expected
+        for least in (2, width):
+            found = suffix_dedup.previous_factors(strings, docs, least)
+            assert found.tolist() == [e if e >= least else 0 for e in expected]
+
+
+def test_previous_factors_compared_in_parts(monkeypatch):
+    strings = np.array(sorted(bytes([97 + k % 3, 97 + k % 2, 97 + k % 5]) for k in range(50)), "S3")
+    docs = np.arange(50)[::-1].copy()
+    plain = suffix_dedup.previous_factors(strings, docs).tolist()
+    monkeypatch.setattr(suffix_dedup, "COMPARED_STRINGS", 7)
+    assert suffix_dedup.previous_factors(strings, docs).tolist() == plain
+
+
 def test_suffix_dedup_splits_hot_anchors(docs, monkeypatch):
     plain = result(suffix_dedup.dedup(docs), "doc_id", "n_removed", "n_spans", "kept_sha256")
     monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 1)
