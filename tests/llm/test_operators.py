@@ -243,6 +243,34 @@ def test_near_duplicates(docs, spark, monkeypatch):
     assert sum(t == PROSE for _, t in rows_of(kept)) == 1
 
 
+def test_next_depth():
+    ask = lambda found, depth: ngram_join.next_depth(found, depth, 5, 0.8, 24, 0.9999)
+    assert ask([0] * 20, 8) == 5  # nothing found proves nothing
+    assert ask([0] * 18 + [10**6, 0], 8) is None  # near copies meet at whole signatures
+    assert ask([10**6] + [0] * 19, 8) == 5 and ask([10**6] + [0] * 19, 5) is None
+    assert ask([0] * 4 + [10**6] + [0] * 15, 8) == 6  # similarity of 0.84
+
+
+def test_forest_rounds_give_what_one_round_gives(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 100)]
+        for c in range(3):
+            at = set(rng.choice(100, int(rng.integers(0, 4)), replace=False).tolist())
+            rows.append((len(rows), " ".join(f"new{k}x{c}" if i in at else w for i, w in enumerate(words))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(jaccard_classes(rows), key=repr)
+    names = ["doc_id", "class_id", "n_links"]
+    depths, asked = [8], ngram_join.next_depth
+    monkeypatch.setattr(ngram_join, "next_depth", lambda *a: depths.append(asked(*a)) or depths[-1])
+    assert result(ngram_join.near_duplicates(docs), *names) == expected
+    assert depths[-1] is None and depths[-2] < 8
+    steps = iter([7, 6, 5, None])
+    monkeypatch.setattr(ngram_join, "next_depth", lambda *a: next(steps))
+    assert result(ngram_join.near_duplicates(docs), *names) == expected
+
+
 def test_prefix_length():
     depth = ngram_join.prefix_length(0.8, 24, 0.9999)
     assert 1 - (1 - 0.8**depth) ** 24 >= 0.9999 > 1 - (1 - 0.8 ** (depth + 1)) ** 24
