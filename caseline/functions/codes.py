@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ CITATION_OVERRIDES = {
 }
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _table(pairs: Mapping[str, object]) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
@@ -54,18 +59,23 @@ def citation(code: Column, overrides: Mapping[str, str] = CITATION_OVERRIDES) ->
     The number in front names the section; what follows is read as levels, each a run of digits, of
     small or of capital letters. A lone capital over a number stands for the small ``a``.
     """
+    zeros = "^0+(?=[0-9])"
+
+    def levels(marks: Column) -> Column:
+        lone = F.get(marks, F.lit(1)).rlike("^[A-Z]$") & F.get(marks, F.lit(2)).rlike("^[0-9]")
+        plain = F.slice(marks, 2, F.size(marks))
+        return F.when(lone, F.concat(F.array(F.lit("a")), F.slice(marks, 3, F.size(marks)))).otherwise(plain)
+
+    def bracketed(level: Column) -> Column:
+        return F.concat(F.lit("("), F.when(level.startswith("0"), F.regexp_replace(level, zeros, "")).otherwise(level), F.lit(")"))
 
-    def label(level: Column, i: Column) -> Column:
-        return F.when((i == 0) & level.rlike("^[A-Z]$"), "a").otherwise(F.regexp_replace(level, "^0+(?=[0-9])", ""))
+    def cited(plain: Column) -> Column:
+        # inside a function on arrays nothing is evaluated once by itself
+        marks = F.regexp_extract_all(plain, F.lit("[0-9]+|[a-z]+|[A-Z]+"), F.lit(0))
+        return F.when(
+            plain.rlike("^[0-9]"),
+            bind(marks, lambda m: F.concat(F.get(m, F.lit(0)), F.array_join(F.transform(levels(m), bracketed), ""))),
+        )
 
     plain = F.regexp_replace(code, r"[\p{P}\s]+", "")
-    marks = F.regexp_extract_all(plain, F.lit("[0-9]+|[a-z]+|[A-Z]+"), F.lit(0))
-    levels = F.slice(marks, 2, F.size(marks))
-    lone = F.get(levels, F.lit(1)).rlike("^[0-9]")
-    named = F.transform(
-        levels,
-        lambda level, i: F.when(lone, label(level, i)).otherwise(F.regexp_replace(level, "^0+(?=[0-9])", "")),
-    )
-    cited = F.array_join(F.transform(named, lambda level: F.concat(F.lit("("), level, F.lit(")"))), "")
-    section = F.when(plain.rlike("^[0-9]"), F.get(marks, F.lit(0)))
-    return F.coalesce(F.try_element_at(_table(overrides), code), F.concat(section, cited))
+    return F.coalesce(F.try_element_at(_table(overrides), code), bind(plain, cited))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ CAPITALS = (
     "ABC", "BIA", "CAT", "CFV", "CPC", "DHS", "EOIR", "IJ", "INA", "ORR", "PD", "ROP", "V/D", "VD", "WCAT",
 )
 
-# Anything but printable ASCII may hide a control character or an exotic blank.
-_UNUSUAL = r"[^ -~]"
+# A blank at an end or two of them; anything but printable ASCII may hide a control character or an exotic blank.
+# Each begins with a class of characters, so that a search passes over all others quickly.
+_UNCLEAN = r"[^!-~](?:(?<=[^ -~])|(?= |$)|(?<=^ ))"
+# The same for cells with bars between them.
+_UNCLEAN_ROW = r"[^!-~](?:(?<=[^ -~])|(?=[ |]|$)|(?<=^ |\| ))"
 
 # One word by Unicode word breaking: letters and digits run together, and an apostrophe or full
 # stop joins only if there is a letter on both sides.
@@ -38,13 +42,17 @@ def strip_controls(text: Column) -> Column:
 def clean_cell(text: Column) -> Column:
     """Strip controls, squish, and turn an empty cell into NULL.
 
-    Nearly all cells are clean already, so cheap checks decide whether the rewriting runs at all.
+    Nearly all cells are clean already, so a cheap check decides whether the rewriting runs at all.
     """
-    suspicious = (text != F.trim(text)) | text.contains("  ") | text.rlike(_UNUSUAL)
-    cleaned = F.when(suspicious, squish(strip_controls(text))).otherwise(text)
+    cleaned = F.when(text.rlike(_UNCLEAN), squish(strip_controls(text))).otherwise(text)
     return F.nullif(cleaned, F.lit(""))
 
 
+def may_be_unclean(cells: Sequence[Column]) -> Column:
+    """Whether one of a row's cells may need cleaning, by one check of them all; a cell with a bar beside a blank does no harm."""
+    return F.concat_ws("|", *cells).rlike(_UNCLEAN_ROW)
+
+
 def zip5(text: Column) -> Column:
     """Leading three to five digits of a postal code, padded to five; NULL without them."""
     return F.lpad(F.regexp_substr(text, F.lit(r"^\d{3,5}")), 5, "0")

@@ -189,8 +189,14 @@ def last_per_code(
 def distinct_first(
     df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem], nulls: str = "last"
 ) -> DataFrame:
-    """One whole row per distinct key, the first by ``order``."""
+    """One whole row per distinct key, the first by ``order``.
+
+    Where the order is the only other column, its smallest value is the row; unlike a struct, a number needs no sort
+    to be aggregated.
+    """
     rest = {c: c for c in df.columns if c not in keys}
+    if nulls == "last" and len(rest) == len(order) == 1 and isinstance(order[0], str) and order[0] in rest:
+        return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
     kept = collapse_ends(df, keys, order, first=rest, nulls=nulls)
     return kept.select(*df.columns)
 

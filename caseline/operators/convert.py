@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,7 @@ _MOMENT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}"
 def _number(text: Column) -> Column:
     # A trailing type letter, as in ``1d``, is a Java habit and not a number.
     suffixed = F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F")
-    value = F.when(~suffixed, text.try_cast("double"))
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.when(~suffixed, text.try_cast("double")), F.lit(None).cast("double"))
 
 
 def parse(text: Column, kind: str) -> Column:
@@ -115,14 +116,9 @@ def failure_examples(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
 
 def unparsed(kinds: Mapping[str, str]) -> Column:
     """The filled cells of a row of ``with_parsed`` that did not parse, as (variable, value); null if all did."""
-    cells = F.array(
-        *[
-            F.when(F.coalesce(_filled(F.col(c)), F.lit(False)) & F.col(parsed_column(c)).isNull(), F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")))
-            for c in kinds
-        ]
-    )
-    found = F.filter(cells, lambda x: x.isNotNull())
-    return F.when(F.size(found) > 0, found)
+    wrong = {c: F.coalesce(_filled(F.col(c)), F.lit(False)) & F.col(parsed_column(c)).isNull() for c in kinds}
+    cells = F.array(*[F.when(w, F.struct(F.lit(c).alias("variable"), F.col(c).alias("value"))) for c, w in wrong.items()])
+    return F.when(reduce(or_, wrong.values(), F.lit(False)), F.filter(cells, lambda x: x.isNotNull()))
 
 
 def smallest_values(cells: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from caseline.functions import codes, text, values
 from caseline.operators import collapse, columns, convert, filters, joins, profile, repair, rules
 from caseline.plans import areas, extracts, final, specs, stages
-from caseline.session import work_folder, written
+from caseline.session import with_small_methods, work_folder, written
 from caseline.sources import delimited, reports, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -746,7 +746,7 @@ def _days(df: DataFrame) -> DataFrame:
 
 
 def _stage(build: Callable[..., stages.Stage], name: str, spark: SparkSession, folder: str, *more: object) -> DataFrame:
-    raw = getattr(extracts, name)(spark, folder)
+    raw = getattr(extracts, name)(with_small_methods(spark), folder)
     return _days(build(raw, extracts.lookups(spark, folder), *more).table)
 
 
@@ -803,7 +803,7 @@ def court_decision_lookups(spark, folder):
 
 def _written_stages(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """By-case tables in buckets and lookups, each written once and read again as the job does."""
-    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(spark, folder).items()}
+    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(with_small_methods(spark), folder).items()}
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
     return {n: tables.write_bucketed(s.table, work_folder(spark, n), "idncase", buckets) for n, s in built.items()}, lookups
@@ -822,7 +822,7 @@ def release_table(spark, folder):
 @query
 def stage_counts(spark, folder):
     """SRC-2 REP-4: rows of every source table in and out of the repair, counted in committed files and held against a manifest."""
-    parts = None
+    parts, spark = None, with_small_methods(spark)
     for spec in specs.TABLES:
         marked = repair.repair_shifts(getattr(extracts, spec.name)(spark, folder), spec.shift).marked
         counts = repair.counts_of(written(marked.select(repair.MEND), spec.name)).select(
@@ -849,7 +849,7 @@ def untouched_fingerprint(spark, folder):
 @query
 def stage_rules(spark, folder):
     """DQ-1..7 TYP-1 DQ-3: the rule lines of all seven stages, from marks and codes in committed rows."""
-    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(spark, folder).items()}
+    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(with_small_methods(spark), folder).items()}
     lines = None
     for name, stage in stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF).items():
         checked = written(stage.checked, f"{name}.rows")
