@@ -58,7 +58,13 @@ def citation(code: Column, overrides: Mapping[str, str] = CITATION_OVERRIDES) ->
 
     The number in front names the section; what follows is read as levels, each a run of digits, of
     small or of capital letters. A lone capital over a number stands for the small ``a``.
+
+    A code of nothing but plain letters and digits, as nearly all are, needs no list of its levels: two patterns
+    bracket them in place.
     """
+    simple = code.rlike(r"\A[0-9][0-9A-Za-z]*\z")
+    small = F.when(code.rlike("^[0-9]+[A-Z][0-9]"), F.regexp_replace(code, "^([0-9]+)[A-Z](?=[0-9])", "$1a")).otherwise(code)
+    in_place = F.regexp_replace(small, "(?<=[A-Za-z])0*([0-9]+)|([a-z]+|[A-Z]+)", "($1$2)")
     zeros = "^0+(?=[0-9])"
 
     def levels(marks: Column) -> Column:
@@ -78,4 +84,4 @@ def citation(code: Column, overrides: Mapping[str, str] = CITATION_OVERRIDES) ->
         )
 
     plain = F.regexp_replace(code, r"[\p{P}\s]+", "")
-    return F.coalesce(F.try_element_at(_table(overrides), code), bind(plain, cited))
+    return F.coalesce(F.try_element_at(_table(overrides), code), F.when(simple, in_place).otherwise(bind(plain, cited)))

@@ -91,13 +91,16 @@ class _Layout:
 
     def first_violation(self, cells: Column) -> Column:
         """Position of the first cell that breaks its column's date rule, NULL without one."""
-        kinds = _texts(["date" if c in self.dates else "other" if c in self.others else "" for c in self.names])
+        if not self.checked:
+            return F.lit(None).cast("int")
+        # places of the columns with a rule alone, those of columns that never hold a date below zero
+        places = [i if c in self.dates else -i for i, c in enumerate(self.names, 1) if c in self.checked]
 
-        def wrong(cell: Column, i: Column) -> Column:
-            kind = F.get(kinds, i)
-            return F.when(kind == "date", _not_a_date(cell)).when(kind == "other", _is_a_date(cell)).otherwise(False)
+        def wrong(place: Column) -> Column:
+            cell = F.get(cells, F.abs(place) - 1)
+            return F.when(place > 0, _not_a_date(cell)).otherwise(_is_a_date(cell))
 
-        return F.nullif(F.array_position(F.transform(cells, wrong), True), F.lit(0))
+        return F.abs(F.get(F.filter(F.expr("array(" + ", ".join(map(str, places)) + ")"), wrong), F.lit(0)))
 
     def _picked(self, cells: Column, names: Sequence[str]) -> Column:
         """The cells of these columns, in this order."""
@@ -155,18 +158,18 @@ class _Layout:
         return shift_left(merged, found["start"], n)
 
     def fix(self, cells: Column, found: Column, n: Column) -> Column:
-        """One shift, then up to ``retries`` more by one cell while a start is still found."""
-        def again(current: Column) -> Column:
-            one = F.lit(1)
+        """One shift, then up to ``retries`` more by one cell while a start is still found; without one the row is done."""
+        one = F.lit(1)
+
+        def again(current: Column, left: int) -> Column:
+            if left == 0:
+                return current
             return _bind(
                 self.find(current, one),
-                lambda f: F.when(f["start"].isNull(), current).otherwise(self.shift(current, f, one)),
+                lambda f: F.when(f["start"].isNull(), current).otherwise(_bind(self.shift(current, f, one), lambda c: again(c, left - 1))),
             )
 
-        fixed = self.shift(cells, found, n)
-        for _ in range(self.rules.retries):
-            fixed = _bind(fixed, again)
-        return fixed
+        return _bind(self.shift(cells, found, n), lambda c: again(c, self.rules.retries))
 
 
 def shift_left(cells: Column, start: Column, n: Column) -> Column:

@@ -6,6 +6,8 @@ all rows of its source. Some rows get a stray cell, as real extracts have.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,15 +209,19 @@ def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {b.__name__: b(spark, folder) for b in builders}
 
 
-def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def lookups(
+    spark: SparkSession, folder: str, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+) -> dict[str, DataFrame]:
     """Code tables made of the codes that occur in the tables.
 
     Every key comes from a column: a constant one would fold into the join condition and leave no equality.
+    ``keep`` may write the codes of a table down, so that all code tables made of them read it once.
     """
-    orders = _table(spark, folder, "orders").select("o_orderpriority").distinct()
-    segments = _table(spark, folder, "customer").select("c_mktsegment").distinct()
+    orders, segments, letters = (
+        keep(_table(spark, folder, name).select(code).distinct(), f"{name}.codes")
+        for name, code in (("orders", "o_orderpriority"), ("customer", "c_mktsegment"), ("lineitem", "l_returnflag"))
+    )
     nation = _table(spark, folder, "nation")
-    letters = _table(spark, folder, "lineitem").select("l_returnflag").distinct()
     word = F.substring("o_orderpriority", 3, 20)
 
     def codes(key: str, code: Column, value: str, label: Column, source: DataFrame = orders) -> DataFrame:

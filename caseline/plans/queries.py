@@ -801,12 +801,25 @@ def court_decision_lookups(spark, folder):
     )
 
 
+def _written_lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Lookups, each written once; so are the codes that they are made of, which take a scan of the large tables."""
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return written(df.coalesce(1), name)
+
+    return {n: kept(df, n) for n, df in extracts.lookups(with_small_methods(spark), folder, kept).items()}
+
+
+def _by_case(stage: stages.Stage) -> DataFrame:
+    """The by-case table of a stage; rows that are collapsed in two reads are written before, so that they are typed once."""
+    return stage.collapse(written(stage.rows(stage.checked), f"{stage.spec.name}.rows")) if stage.read_twice else stage.table
+
+
 def _written_stages(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """By-case tables in buckets and lookups, each written once and read again as the job does."""
-    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(with_small_methods(spark), folder).items()}
+    lookups = _written_lookups(spark, folder)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     built = stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF)
-    return {n: tables.write_bucketed(s.table, work_folder(spark, n), "idncase", buckets) for n, s in built.items()}, lookups
+    return {n: tables.write_bucketed(_by_case(s), work_folder(spark, n), "idncase", buckets) for n, s in built.items()}, lookups
 
 
 @query
@@ -849,7 +862,7 @@ def untouched_fingerprint(spark, folder):
 @query
 def stage_rules(spark, folder):
     """DQ-1..7 TYP-1 DQ-3: the rule lines of all seven stages, from marks and codes in committed rows."""
-    lookups = {n: written(df.coalesce(1), n) for n, df in extracts.lookups(with_small_methods(spark), folder).items()}
+    lookups = _written_lookups(spark, folder)
     lines = None
     for name, stage in stages.all_stages(extracts.sources(spark, folder), lookups, AS_OF).items():
         checked = written(stage.checked, f"{name}.rows")

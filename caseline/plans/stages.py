@@ -35,7 +35,10 @@ def _same(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Stage:
-    """A by-case table in the making: ``checked`` are its typed rows with their marks, ``collapse`` makes the table of them."""
+    """A by-case table in the making: ``checked`` are its typed rows with their marks, ``collapse`` makes the table of them.
+
+    ``read_twice`` says that the collapse reads its rows twice.
+    """
 
     spec: TableSpec
     lookups: Lookups
@@ -43,6 +46,7 @@ class Stage:
     collapse: Callable[[DataFrame], DataFrame] = _same
     extra_rules: Sequence[Rule] = field(default_factory=list)
     result_known: Known = ()
+    read_twice: bool = False
 
     @property
     def table(self) -> DataFrame:
@@ -234,7 +238,7 @@ def _case_applications(df: DataFrame) -> DataFrame:
 
 def bonds(raw: DataFrame, lookups: Lookups) -> Stage:
     """First, second and last bond hearing per case."""
-    return Stage(specs.BONDS, lookups, _prepare(specs.BONDS, raw), _case_bonds)
+    return Stage(specs.BONDS, lookups, _prepare(specs.BONDS, raw), _case_bonds, read_twice=True)
 
 
 def _case_bonds(df: DataFrame) -> DataFrame:
