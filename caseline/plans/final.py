@@ -174,43 +174,77 @@ def final_rules(excused: Sequence[str] = specs.CHECKED_GRANTS) -> list[Rule]:
     ]
 
 
-def by_case(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """The seven tables joined on the case, one row per case.
+#: Columns that the final table needs only for a join.
+USED_UP = ("alien_zipcode", "dec_code", "other_comp")
+
 
+def _packed(stages: Mapping[str, DataFrame]) -> tuple[DataFrame, dict[str, str]]:
+    """The seven tables joined on the case, their columns in one struct ``_case``, and where each column is.
+
+    A join copies every column of a row by itself but a struct in one piece, so rows stay cheap through all joins and decodes.
+    Columns that are used up on the way stay outside: Spark takes a struct apart below the joins where a plan drops a field of it.
     Stage tables that were written in buckets of the case join without an exchange.
     """
-    cases = joins.left_by_key(stages["proceedings"], "idncase", stages["custody"])
-    cases = joins.inner_by_key(cases, stages["cases"], "idncase")
     bonds = stages["bonds"].withColumnsRenamed({f"hearing_location_code_{p}": f"bond_hearing_location_code_{p}" for p in PLACES})
-    return joins.left_by_key(cases, "idncase", stages["appeals"], stages["applications"], bonds, stages["charges"])
+    tables = {**stages, "bonds": bonds}
+    places, packed = {"idncase": "idncase"}, {}
+    for name in ("proceedings", "custody", "cases", "appeals", "applications", "bonds", "charges"):
+        rest = [c for c in tables[name].columns if c != "idncase"]
+        if name == "cases":  # an inner join that adds only the columns that are not there yet
+            rest = [c for c in rest if c not in places]
+        twice = [c for c in rest if c in places]
+        if twice:
+            raise ValueError(f"{name} repeats columns of other tables: {', '.join(twice)}")
+        kept = [c for c in rest if c not in USED_UP]
+        packed[name] = tables[name].select("idncase", *[c for c in rest if c in USED_UP], F.struct(*kept).alias(f"_{name}"))
+        places |= {c: c if c in USED_UP else f"_case._{name}.{c}" for c in rest}
+    cases = joins.left_by_key(packed["proceedings"], "idncase", packed["custody"])
+    cases = joins.inner_by_key(cases, packed["cases"], "idncase")
+    cases = joins.left_by_key(cases, "idncase", *[packed[n] for n in ("appeals", "applications", "bonds", "charges")])
+    return _pack(cases, [f"_{name}" for name in packed], "_case"), places
+
+
+def _pack(cases: DataFrame, names: Sequence[str], into: str) -> DataFrame:
+    """These columns in one struct."""
+    return cases.select(*[c for c in cases.columns if c not in names], F.struct(*names).alias(into))
 
 
-def _assemble(stages: Mapping[str, DataFrame], crosswalk: DataFrame, lookups: Lookups) -> DataFrame:
-    """All by-case tables joined on the case, with areas, dates, amounts and outcomes settled."""
-    areas = {c: c for c in crosswalk.columns if c != "zcta"}
-    cases = joins.many_to_one(by_case(stages), crosswalk, {"alien_zipcode": "zcta"}, areas).drop("alien_zipcode")
-    cases = columns.rename(
-        cases,
-        {
-            "first_hearing_location_code": "hearing_location_code_first",
-            "last_hearing_location_code": "hearing_location_code_last",
-        },
-    )
+def by_case(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """The seven tables joined on the case, one row per case."""
+    cases, places = _packed(stages)
+    return cases.select(*[F.col(at).alias(c) for c, at in places.items()])
+
+
+#: Names in the joined tables of the columns that are renamed on the way.
+RENAMED = {
+    "first_hearing_location_code": "hearing_location_code_first",
+    "last_hearing_location_code": "hearing_location_code_last",
+    "lang": "language_code",
+    "nat": "nationality_code",
+    "appeal_type": "appeal_type_code",
+    "bia_decision": "bia_decision_code",
+}
+
+
+def _attach_areas(cases: DataFrame, places: Mapping[str, str], crosswalk: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Areas in one struct, and where each is."""
+    areas = [c for c in crosswalk.columns if c != "zcta"]
+    cases = joins.many_to_one(cases, crosswalk, {places["alien_zipcode"]: "zcta"}, {c: c for c in areas}).drop("alien_zipcode")
+    return _pack(cases, areas, "_areas"), {c: f"_areas.{c}" for c in areas}
 
+
+def _attach_outcomes(cases: DataFrame, places: Mapping[str, str], lookups: Lookups) -> DataFrame:
     decided, other = court_decisions(lookups)
-    cases = joins.many_to_one(
-        cases, decided, {"case_type_code": "case_type_code", "dec_code": "dec_code"}, {"case_outcome": "case_outcome"}, null_safe=True
-    )
-    cases = joins.many_to_one(
-        cases,
-        other,
-        {"case_type_code": "case_type_code", "other_comp": "other_comp"},
-        {"other_completion": "other_completion"},
-        null_safe=True,
-    )
+    for lookup, code, label in ((decided, "dec_code", "case_outcome"), (other, "other_comp", "other_completion")):
+        on = {places[c]: c for c in ("case_type_code", code)}
+        cases = joins.many_to_one(cases, lookup, on, {label: label}, null_safe=True).drop(code)
+    return cases.withColumn("case_outcome", F.coalesce("case_outcome", "other_completion")).drop("other_completion")
+
+
+def _settled(cases: DataFrame) -> DataFrame:
+    """Dates and amounts settled, codes with fixed labels decoded."""
     settled = {
         "ij_or_bia_completion_date_last": values.later_date(F.col("final_completion_date"), F.col("bia_decision_date")),
-        "case_outcome": F.coalesce("case_outcome", "other_completion"),
         **{
             f"new_bond_amount_{p}": values.null_zero_unless(
                 F.col(f"new_bond_amount_{p}"), F.col(f"bond_decision_{p}"), specs.BOND_GRANTS
@@ -222,48 +256,55 @@ def _assemble(stages: Mapping[str, DataFrame], crosswalk: DataFrame, lookups: Lo
         "asylum_claim_type": codes.recode_strict(F.col("asylum_claim_type_code"), CLAIM_LABELS),
         "custody_at_appeal": codes.recode_strict(F.col("custody_at_appeal_code"), CUSTODY_LABELS),
     }
-    cases = cases.withColumns(settled).drop("dec_code", "other_comp", "other_completion")
-    return columns.rename(
-        cases,
-        {
-            "lang": "language_code",
-            "nat": "nationality_code",
-            "appeal_type": "appeal_type_code",
-            "bia_decision": "bia_decision_code",
-        },
-    )
+    return cases.withColumns(settled)
 
 
-def _decode_all(cases: DataFrame, lookups: Lookups, measure: bool) -> DataFrame:
-    """All codes decoded. Labels are cased inside the lookups, once per code instead of per case."""
+def _decode_all(cases: DataFrame, lookups: Lookups, at: Mapping[str, str], measure: bool) -> tuple[DataFrame, dict[str, str]]:
+    """All codes decoded, and where each label is; ``at`` says where each code is.
+
+    Labels are cased inside the lookups, once per code instead of per case.
+    """
+    def placed(targets: Mapping[str, str]) -> dict[str, str]:
+        return {at[c]: out for c, out in targets.items()}
+
+    done: dict[str, str] = {}
+
+    def packed(cases: DataFrame, names: Sequence[str], into: str) -> DataFrame:
+        done.update({c: f"{into}.{c}" for c in names})
+        return _pack(cases, names, into)
+
     for name, key, value, targets in DECODES:
-        cases = joins.decode(cases, lookups[name], key, value, targets, label=text.label_case, measure=measure)
+        cases = joins.decode(cases, lookups[name], key, value, placed(targets), label=text.label_case, measure=measure)
+    cases = packed(cases, [out for *_, targets in DECODES for out in targets.values()], "_labels")
 
     city = lookups["tblLookupBaseCity"]
     courts = city.select("base_city_code", text.name_with_code(F.col("base_city"), F.col("base_city_code")).alias("court"))
     targets = {"first_court_code": "first_court", "final_court_code": "final_court"}
     targets |= {f"bond_court_code_{p}": f"bond_court_{p}" for p in PLACES}
     cases = joins.decode(
-        cases, courts, "base_city_code", "court", targets, label=text.title_before_bracket, measure=measure
+        cases, courts, "base_city_code", "court", placed(targets), label=text.title_before_bracket, measure=measure
     )
+    cases = packed(cases, list(targets.values()), "_courts")
 
     targets = {"first_judge_code": "first_judge_name", "last_judge_code": "last_judge_name"}
     targets |= {f"bond_judge_code_{p}": f"bond_judge_name_{p}" for p in PLACES}
-    cases = joins.decode(cases, lookups["tblLookupJudge"], "judge_code", "judge_name", targets, measure=measure)
+    cases = joins.decode(cases, lookups["tblLookupJudge"], "judge_code", "judge_name", placed(targets), measure=measure)
+    cases = packed(cases, list(targets.values()), "_judges")
 
     # A place code shared by several places cannot be resolved and stays without a name.
     places = lookups["tblLookupHloc"].select("hearing_loc_code", "hearing_loc_name")
     targets = {f"hearing_location_code_{p}": f"hearing_location_{p}" for p in ("first", "last")}
     targets |= {f"bond_hearing_location_code_{p}": f"bond_hearing_location_{p}" for p in PLACES}
-    return joins.decode(
+    cases = joins.decode(
         cases,
         joins.unique_keys_only(places, "hearing_loc_code"),
         "hearing_loc_code",
         "hearing_loc_name",
-        targets,
+        placed(targets),
         label=text.label_case,
         measure=measure,
     )
+    return cases, {**done, **{c: c for c in targets.values()}}
 
 
 def _is_label(name: str) -> bool:
@@ -302,7 +343,14 @@ def assembled(
     A job writes this table, counts the marks of the committed files and goes on only if they pass.
     ``measure`` measures each lookup before it may be broadcast instead of trusting the size estimate.
     """
-    cases = _decode_all(_assemble(stages, crosswalk, lookups), lookups, measure)
+    cases, places = _packed(stages)
+    named = {RENAMED.get(c, c): at for c, at in places.items()}
+    cases, areas = _attach_areas(cases, places, crosswalk)
+    cases, labels = _decode_all(_attach_outcomes(cases, places, lookups), lookups, named, measure)
+    added = {**areas, "case_outcome": "case_outcome", **labels}
+    every = {c: at for c, at in named.items() if c not in added and c not in USED_UP} | added
+    cases = _settled(cases.select(*[F.col(at).alias(c) for c, at in every.items()]))
+    cases = columns.to_front(cases, [c for c in cases.columns if c not in labels])
     return cases.withColumn(MARKS, rules.marks([r for r in final_rules(excused) if r.code is None]))
 
 

@@ -271,6 +271,30 @@ def test_by_case_joins_need_no_exchange(spark, folder, release, lookups):
     assert plan.count("SortMergeJoin") == 6 and "Exchange" not in plan and "Bucketed: true" in plan
 
 
+def joined_widths(df):
+    """Columns that come out of each join of the optimised plan."""
+    nodes, widths = [df._jdf.queryExecution().optimizedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        widths += [node.output().size()] if node.nodeName() == "Join" else []
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return widths
+
+
+def test_joins_carry_few_columns(spark, release, written, lookups, crosswalk):
+    """Each join copies its columns one by one, so a case's columns go through all of them in one piece."""
+    area = tables.read_crosswalk(spark, crosswalk)
+    made = final.assembled(written, lookups, area, excused=specs.BOND_GRANTS)
+    published = final.build_final(written, lookups, area).select(*column_order())
+    for df in (made, published):
+        widths = joined_widths(df)
+        assert len(widths) == 35 and max(widths) <= 25 < len(df.columns)
+    by_number = {r["idncase"]: r.asDict() for r in final.by_case(written).collect()}
+    assert by_number.keys() == {r["idncase"] for r in made.select("idncase").collect()}
+    kept = [c for c in made.columns if c in written["custody"].columns + written["charges"].columns + ["nta_date", "birth_year", "e27_date"]]
+    assert all({c: by_number[r["idncase"]][c] for c in kept} == r.asDict() for r in made.select(*kept).collect())
+
+
 def test_a_bucket_is_one_file(folder, release):
     for spec in specs.TABLES:
         names = [p.name for p in (folder / "work" / spec.name).iterdir() if p.name.startswith("part-")]
